@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import asof_join
 from millrace.operators.ordered import OrderedGroups
 
 
@@ -32,3 +34,78 @@ def rolling_sums(df: DataFrame, keys: Sequence[str], at: str, seconds: int, sums
     run = OrderedGroups(marks, keys, ["__t", "__leaves"]).running(
         {out: ("sum", F.col(x)) for out, x in names.items()}, peers=True)
     return run.where("__leaves = 0").result().drop("__t", "__leaves", *names.values())
+
+
+@dataclass(frozen=True)
+class TimeWindow:
+    """``continuous``: ``[t - size, t]`` at each row; ``tumbling``; ``sliding`` by ``slide``. Seconds."""
+
+    kind: str
+    size: int
+    slide: int | None = None
+
+
+@dataclass(frozen=True)
+class Feature:
+    name: str
+    function: str  # sum, avg, count, min, max, stddev_samp, ...
+    column: str
+    where: str | None = None
+
+
+FUNCTIONS = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max,
+             "stddev_samp": F.stddev_samp, "stddev_pop": F.stddev_pop, "approx_count_distinct": F.approx_count_distinct}
+
+
+def window_features(df: DataFrame, entity: Sequence[str], at: str, window: TimeWindow, features: Sequence[Feature]) -> DataFrame:
+    """Features of each entity over a time window, from a declarative list.
+
+    Tumbling and sliding windows give one row per entity and window (``window_start``,
+    ``window_end``) and combine map-side; continuous windows give one row per input row.
+    """
+    aggs = {}
+    for f in features:
+        value = F.col(f.column) if f.where is None else F.when(F.expr(f.where), F.col(f.column))
+        aggs[f.name] = FUNCTIONS[f.function](value)
+    if window.kind == "continuous":
+        groups = OrderedGroups(df, entity, [at])
+        return groups.range_frame(window.size * 1_000_000, aggs).result()
+    size = f"{window.size} seconds"
+    span = F.window(at, size) if window.kind == "tumbling" else F.window(at, size, f"{window.slide} seconds")
+    out = df.groupBy(*entity, span.alias("w")).agg(*[c.alias(n) for n, c in aggs.items()])
+    return out.select(*entity, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *aggs)
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """Columns of a feature table by key; with ``at`` the row in force at the label's time."""
+
+    table: DataFrame
+    keys: Sequence[str]
+    columns: Sequence[str]
+    at: str | None = None
+    tiebreak: Sequence[str] = ()
+
+
+def training_set(labels: DataFrame, label_ts: str, lookups: Sequence[Lookup], exclude: Sequence[str] = ()) -> DataFrame:
+    """Labels with all looked-up features; nothing later than the label's time is used."""
+    out = labels
+    for look in lookups:
+        if look.at is None:
+            out = out.join(look.table.select(*look.keys, *look.columns), list(look.keys), "left")
+        else:
+            out = asof_join(out, look.table, look.keys, label_ts, look.at, look.columns, look.tiebreak).drop(f"matched_{look.at}")
+    return out.drop(*exclude)
+
+
+def categories(df: DataFrame, column: str, most: int = 1000) -> list:
+    """Distinct values for one-hot columns; more than ``most`` is refused."""
+    values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(values)
+
+
+def one_hot(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    return df.withColumns({
+        f"{column}_{v}": F.when(F.col(column) == v, 1).otherwise(0) for v in values}).drop(column)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["relational", "aggregates", "windows"]
+AREAS = ["relational", "aggregates", "windows", "changes", "quality", "metrics", "features"]
 
 
 def load_all() -> None:

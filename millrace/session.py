@@ -66,12 +66,10 @@ def plan_bytes(df: DataFrame) -> int | None:
     Leaf sizes are real file sizes; the estimate of a whole plan is not used because it
     multiplies the sides of every join.
     """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes = [int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size())]
-        return sum(sizes)
-    except Exception:  # remote sessions have no JVM handle
+    if not hasattr(df, "_jdf"):  # remote sessions have no JVM handle: treat as large
         return None
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def conf_int(spark: SparkSession, name: str, default: int) -> int:
