@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["relational", "aggregates", "windows", "changes", "quality", "metrics", "features"]
+AREAS = ["relational", "aggregates", "windows", "changes", "quality", "metrics", "features", "scalars", "governance", "monitoring", "texts"]
 
 
 def load_all() -> None:
