@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["relational", "aggregates", "windows", "changes", "quality", "metrics", "features", "scalars", "governance", "monitoring", "texts", "analytics"]
+AREAS = ["relational", "aggregates", "windows", "changes", "quality", "metrics", "features", "scalars", "governance", "monitoring", "texts", "analytics", "files", "streams"]
 
 
 def load_all() -> None:
