@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +28,11 @@ def strip_markup(html: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE, " "))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
@@ -37,11 +42,13 @@ def word_chunks(text: Column, size: int, overlap: int) -> Column:
 
     The last chunk is the first one that reaches the end, so no chunk lies inside another.
     """
-    tokens = words(text)
     stride = size - overlap
-    count = F.greatest(F.lit(1), F.ceil((F.size(tokens) - overlap) / F.lit(float(stride)))).cast("int")
-    starts = F.sequence(F.lit(0), count - 1)
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i * stride + 1, size), " "))
+
+    def cut(tokens: Column) -> Column:
+        count = F.greatest(F.lit(1), F.ceil((F.size(tokens) - overlap) / F.lit(float(stride)))).cast("int")
+        return F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.array_join(F.slice(tokens, i * stride + 1, size), " "))
+
+    return bind(words(text), cut)
 
 
 def section_chunks(html: Column, cap: int, least: int) -> Column:
@@ -53,17 +60,18 @@ def section_chunks(html: Column, cap: int, least: int) -> Column:
     body = F.regexp_replace(html, "(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->", " ")
     blocks = F.transform(F.split(body, "(?i)(?=<h[1-6][ >])|(?=<p[ >])"), strip_markup)
     pieces = F.flatten(F.transform(F.filter(blocks, lambda b: b != ""), lambda b: word_chunks(b, cap, 0)))
-    length = lambda s: F.size(words(s))
-    # fold: (finished chunks, chunk being filled)
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    counted = F.transform(pieces, lambda p: F.struct(p.alias("text"), F.size(words(p)).alias("n")))
+    # fold: finished chunks, and the chunk being filled with its word count
+    item = "struct<text:string,n:int>"
+    start = F.struct(F.array().cast(f"array<{item}>").alias("done"), F.lit("").alias("text"), F.lit(0).alias("n"))
 
     def add(acc: Column, piece: Column) -> Column:
-        fits = (acc["open"] == "") | (length(acc["open"]) + length(piece) <= cap)
-        return F.when(fits, F.struct(acc["done"].alias("done"), F.trim(F.concat_ws(" ", acc["open"], piece)).alias("open"))).otherwise(
-            F.struct(F.array_append(acc["done"], acc["open"]).alias("done"), piece.alias("open")))
+        grown = F.struct(acc["done"].alias("done"), F.trim(F.concat_ws(" ", acc["text"], piece["text"])).alias("text"), (acc["n"] + piece["n"]).alias("n"))
+        closed = F.struct(F.array_append(acc["done"], F.struct(acc["text"], acc["n"])).alias("done"), piece["text"].alias("text"), piece["n"].alias("n"))
+        return F.when((acc["n"] == 0) | (acc["n"] + piece["n"] <= cap), grown).otherwise(closed)
 
-    chunks = F.aggregate(pieces, start, add, lambda acc: F.array_append(acc["done"], acc["open"]))
-    return F.filter(chunks, lambda c: length(c) >= least)
+    chunks = F.aggregate(counted, start, add, lambda acc: F.array_append(acc["done"], F.struct(acc["text"], acc["n"])))
+    return F.transform(F.filter(chunks, lambda c: c["n"] >= least), lambda c: c["text"])
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import OrderedGroups, order_number
 from millrace.session import materialize
 
 
@@ -58,3 +59,40 @@ def rollup_components(demand: DataFrame, bom: DataFrame, levels: int) -> DataFra
         frontier = materialize(frontier, f"bom-level{level}")
         total = total.unionByName(frontier)
     return total.groupBy("part").agg(F.sum("need").alias("total_need"), F.max("depth").alias("deepest"))
+
+
+def ranks(df: DataFrame, keys: Sequence[str], value: str, rank: str, dense: str) -> DataFrame:
+    """``rank`` and ``dense_rank`` by descending ``value``, from counts of equal values.
+
+    Only distinct values are ordered; the rows get their rank by an equality join, which
+    splits hot keys, instead of all rows of a key passing through one window task.
+    """
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    back = counts.withColumn("__v", -order_number(counts, value))
+    done = OrderedGroups(back, keys, ["__v"]).running({"__upto": ("sum", F.col("__n")), dense: ("count", F.lit(1))}).result()
+    table = done.select(*keys, value, (F.col("__upto") - F.col("__n") + 1).alias(rank), dense)
+    return df.join(table, [*keys, value])
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, marks: Mapping[str, float]) -> DataFrame:
+    """Exact interpolated percentiles per key without holding a key's values in one task.
+
+    Values are counted, numbered by a running sum, and the two neighbours of each mark are
+    picked by combinable minima. (The built-in aggregate keeps every distinct value of a
+    group in the memory of one task.)
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    upto = OrderedGroups(counts, keys, [value]).running({"__upto": ("sum", F.col("__n"))}).result()
+    totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__all"))
+    if keys:
+        both = upto.join(totals, list(keys))
+    else:
+        both = upto.withColumn("__all", totals.select("__all").scalar())
+    picks, out = [], []
+    for i, (name, p) in enumerate(marks.items()):
+        spot = F.lit(p) * (F.col("__all") - 1)
+        picks += [F.min(F.when(F.col("__upto") > F.floor(spot), F.col(value))).alias(f"__lo{i}"), F.min(F.when(F.col("__upto") > F.ceil(spot), F.col(value))).alias(f"__hi{i}"),
+                  F.max(spot - F.floor(spot)).alias(f"__w{i}")]
+        low, high = F.col(f"__lo{i}").cast("double"), F.col(f"__hi{i}").cast("double")
+        out.append((low + (high - low) * F.col(f"__w{i}")).alias(name))
+    return both.groupBy(*keys).agg(*picks).select(*keys, *out)

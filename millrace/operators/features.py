@@ -12,28 +12,38 @@ from millrace.operators.joins import asof_join
 from millrace.operators.ordered import OrderedGroups
 
 
-def rolling_sums(df: DataFrame, keys: Sequence[str], at: str, seconds: int, sums: Mapping[str, Column],
-                 count: str | None = None) -> DataFrame:
-    """Sums over ``[t - seconds, t]`` per key, for exact (decimal or integer) columns.
-
-    Each row enters at ``t`` and leaves just after ``t + seconds``; a running sum over both
-    kinds of marks is the rolling sum. Work is linear in the rows whatever the frame holds
-    (a sliding frame is recomputed per row), and hot keys are split with a carry.
+def rolling(df: DataFrame, keys: Sequence[str], at: str, seconds: int, aggs: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """``sum``/``count``/``min``/``max`` over ``[t - seconds, t]`` per key, linear in the rows.
+
+    A sliding frame is recomputed for every row, which is quadratic for a busy key. Here time
+    is cut into blocks as wide as the frame, so a frame is the end of one block and the start
+    of the next: a running aggregate forwards in the row's own block, and one backwards in the
+    block before, read at ``t - seconds``. Nothing is subtracted, so sums stay exact. Work is
+    grouped by (key, block); blocks still too large are split again with a carry.
     Rows that tie on time see each other, as in a RANGE frame.
     """
-    amounts = {**dict(sums), **({count: F.lit(1).cast("long")} if count else {})}
-    names = {out: f"__x{i}" for i, out in enumerate(amounts)}
-    micros = F.unix_micros(F.col(at).cast("timestamp"))
-    base = df.withColumns({x: amounts[out] for out, x in names.items()})
-    enter = base.withColumns({"__t": micros, "__leaves": F.lit(0)})
-    leave = base.select(
-        *keys, *[(-F.col(x)).alias(x) for x in names.values()],
-        (micros + F.lit(seconds * 1_000_000)).alias("__t"), F.lit(1).alias("__leaves"))
-    marks = enter.unionByName(leave, allowMissingColumns=True)
-    # at one instant rows enter first: a row exactly `seconds` old is still inside
-    run = OrderedGroups(marks, keys, ["__t", "__leaves"]).running(
-        {out: ("sum", F.col(x)) for out, x in names.items()}, peers=True)
-    return run.where("__leaves = 0").result().drop("__t", "__leaves", *names.values())
+    width = seconds * 1_000_000
+    values = {out: f"__x{i}" for i, out in enumerate(aggs)}
+    ops = {out: op for out, (op, _) in aggs.items()}
+    t = F.unix_micros(F.col(at).cast("timestamp"))
+    base = df.withColumns({**{values[o]: c for o, (_, c) in aggs.items()}, "__t": t}).withColumn("__block", F.floor(F.col("__t") / width))
+    groups = [*keys, "__block"]
+    forward = OrderedGroups(base, groups, ["__t"]).running({f"__f_{o}": (ops[o], F.col(x)) for o, x in values.items()}, peers=True).result()
+    # every row asks the block before for its tail from t - seconds on; backwards order is -t
+    asks = forward.drop(*values.values()).withColumns({"__block": F.col("__block") - 1, "__back": width - F.col("__t"), "__ask": F.lit(True)}).drop("__t")
+    rows = base.select(*groups, *values.values(), (-F.col("__t")).alias("__back"))
+    both = rows.unionByName(asks, allowMissingColumns=True)
+    back = OrderedGroups(both, groups, ["__back"]).running({f"__b_{o}": (ops[o], F.col(x)) for o, x in values.items()}, peers=True).where("__ask").result()
+    merged = {}
+    for o, op in ops.items():
+        f, b = F.col(f"__f_{o}"), F.col(f"__b_{o}")
+        if op == "count":
+            merged[o] = f + F.coalesce(b, F.lit(0))
+        elif op == "sum":
+            merged[o] = F.coalesce(f + b, f, b)
+        else:
+            merged[o] = F.greatest(f, b) if op == "max" else F.least(f, b)
+    return back.withColumns(merged).select(*df.columns, *aggs)
 
 
 @dataclass(frozen=True)
@@ -63,19 +73,43 @@ def window_features(df: DataFrame, entity: Sequence[str], at: str, window: TimeW
     Tumbling and sliding windows give one row per entity and window (``window_start``,
     ``window_end``) and combine map-side; continuous windows give one row per input row.
     """
-    aggs = {}
-    for f in features:
-        value = F.col(f.column) if f.where is None else F.when(F.expr(f.where), F.col(f.column))
-        aggs[f.name] = FUNCTIONS[f.function](value)
+    inputs = {f.name: F.col(f.column) if f.where is None else F.when(F.expr(f.where), F.col(f.column)) for f in features}
     if window.kind == "continuous":
-        groups = OrderedGroups(df, entity, [at])
-        return groups.range_frame(window.size * 1_000_000, aggs).result()
+        return _continuous(df, entity, at, window.size, features, inputs)
+    aggs = {f.name: FUNCTIONS[f.function](inputs[f.name]) for f in features}
     size = f"{window.size} seconds"
     span = F.window(at, size) if window.kind == "tumbling" else F.window(at, size, f"{window.slide} seconds")
     out = df.groupBy(*entity, span.alias("w")).agg(*[c.alias(n) for n, c in aggs.items()])
     return out.select(*entity, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *aggs)
 
 
+def _continuous(df: DataFrame, entity: Sequence[str], at: str, size: int, features: Sequence[Feature], inputs: Mapping[str, Column]) -> DataFrame:
+    """Continuous windows from rolling sums, counts and extremes."""
+    parts: dict[str, tuple[str, Column]] = {}
+    for f in features:
+        x = inputs[f.name]
+        if f.function in ("sum", "count", "min", "max"):
+            parts[f.name] = (f.function, x)
+            continue
+        if f.function not in ("avg", "stddev_samp", "stddev_pop"):
+            raise ValueError(f"{f.function} is not available over continuous windows")
+        # moments about the overall mean, so that squares do not swamp the spread
+        centred = x.cast("double") - F.coalesce(df.select(F.avg(x)).scalar(), F.lit(0.0))
+        parts |= {f"__n_{f.name}": ("count", x), f"__s_{f.name}": ("sum", x), f"__c_{f.name}": ("sum", centred), f"__q_{f.name}": ("sum", centred * centred)}
+        if f.function == "avg":
+            for extra in ("c", "q"):
+                parts.pop(f"__{extra}_{f.name}")
+    out = rolling(df, entity, at, size, parts)
+    for f in features:
+        n, s, c, q = (F.col(f"__{k}_{f.name}") for k in "nscq")
+        if f.function == "avg":
+            out = out.withColumn(f.name, F.try_divide(s, n))
+        elif f.function.startswith("stddev"):
+            spread = F.greatest(F.lit(0.0), q - c * c / n)
+            out = out.withColumn(f.name, F.sqrt(F.try_divide(spread, n - 1 if f.function == "stddev_samp" else n)))
+    return out.select(*df.columns, *[f.name for f in features])
+
+
 @dataclass(frozen=True)
 class Lookup:
     """Columns of a feature table by key; with ``at`` the row in force at the label's time."""

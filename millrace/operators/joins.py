@@ -55,8 +55,9 @@ def interval_join(facts: DataFrame, spans: DataFrame, keys: Sequence[str], at: s
     only, hence matches are never duplicated. Open ends stop at the last fact bucket.
     """
     bucket = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bucket_seconds)
-    last = facts.select(F.max(bucket(at)).alias("hi"), F.min(bucket(at)).alias("lo"))
-    hi, lo = last.select("hi").scalar(), last.select("lo").scalar()
+    # one subquery gives both ends of the facts' time range
+    ends = facts.select(F.struct(F.min(bucket(at)).alias("lo"), F.max(bucket(at)).alias("hi"))).scalar()
+    lo, hi = ends.getField("lo"), ends.getField("hi")
     first_bucket = F.greatest(bucket(start), lo)
     last_bucket = F.least(F.coalesce(bucket(end), hi), hi)
     cut = (

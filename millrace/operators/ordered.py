@@ -245,47 +245,6 @@ class OrderedGroups:
         })
         return self._with(df.drop(*summaries))
 
-    def range_frame(self, back: int, columns: Mapping[str, Column]) -> OrderedGroups:
-        """Aggregates over rows whose order number lies in ``[x - back, x]``.
-
-        Order numbers are those of :func:`order_number` (microseconds for timestamps). Chunks
-        of heavy keys get copies of the rows that reach into them; cuts closer together than
-        a quarter of the frame are skipped, so a row is copied about four times at most.
-        """
-        number = order_number(self.df, self.order[0])
-        w = Window.partitionBy(*self.keys, CHUNK).orderBy("__at").rangeBetween(-back, Window.currentRow)
-        if not self.split:
-            df = self.df.withColumn("__at", number)
-            return self._with(df.withColumns({o: c.over(w) for o, c in columns.items()}).drop("__at"))
-        wide: list = []
-        for cut in self.cuts:
-            if not wide or cut - wide[-1] >= back / 4:
-                wide.append(cut)
-        cut_key = F.col("__cutkey")
-        df = self.df.withColumn("__at", number)
-        # Only groups that were cut have rows beyond chunk 0; light keys stay whole.
-        marked = self._cut_flag(df)
-        home = F.when(cut_key, chunk_of(F.col("__at"), wide)).otherwise(F.lit(0))
-        reach = F.when(cut_key, chunk_of(F.col("__at") + F.lit(back), wide)).otherwise(F.lit(0))
-        spread = (
-            marked.withColumn("__home", home)
-            .withColumn("__to", F.explode(F.sequence(F.col("__home"), reach)))
-            .withColumn("__old", F.col(CHUNK))
-            .withColumn(CHUNK, F.col("__to"))
-        )
-        out = spread.withColumns({o: c.over(w) for o, c in columns.items()}).where("__to = __home")
-        out = out.withColumn(CHUNK, F.col("__old")).drop("__at", "__cutkey", "__home", "__to", "__old")
-        return self._with(out)
-
-    def _cut_flag(self, df: DataFrame) -> DataFrame:
-        if not self.keys:
-            return df.withColumn("__cutkey", F.lit(True))
-        heavy = df.where(F.col(CHUNK) > 0).select(*self.keys).distinct()
-        # distinct heavy keys: at most 1/share rows
-        side, on = null_safe(df, heavy.withColumn("__cutkey", F.lit(True)), self.keys)
-        joined = df.join(F.broadcast(side), on, "left").drop(*[f"__key{i}" for i in range(len(self.keys))])
-        return joined.withColumn("__cutkey", F.coalesce("__cutkey", F.lit(False)))
-
 
 def global_numbers(df: DataFrame, order: Sequence[str], name: str, start: int = 1, step: int = 1) -> DataFrame:
     """Gap-free numbering in a global order, without a single-task window."""

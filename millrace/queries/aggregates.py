@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.aggregates import totals_at_levels, trailing_months
+from millrace.operators.aggregates import exact_percentiles, totals_at_levels, trailing_months
 from millrace.queries.registry import Tables, day, ntz, query, rnd
 
 
@@ -83,11 +83,8 @@ def agg_stddev(t: Tables):
 SELECT event_type, round(quantile_cont(value, 0.1), 6) AS p10, round(quantile_cont(value, 0.5), 6) AS p50,
  round(quantile_cont(value, 0.95), 6) AS p95, round(median(value), 6) AS med FROM events GROUP BY 1""")
 def agg_percentile(t: Tables):
-    # exact: values are counted per (group, value) map-side, so repeated values stay compact
-    counted = t.events.groupBy("event_type", "value").agg(F.count("*").alias("n"))
-    at = lambda p: rnd(F.percentile("value", F.lit(p), F.col("n")), 6)
-    return counted.groupBy("event_type").agg(
-        at(0.1).alias("p10"), at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.5).alias("med"))
+    out = exact_percentiles(t.events, ["event_type"], "value", {"p10": 0.1, "p50": 0.5, "p95": 0.95})
+    return out.select("event_type", rnd("p10", 6).alias("p10"), rnd("p50", 6).alias("p50"), rnd("p95", 6).alias("p95"), rnd("p50", 6).alias("med"))
 
 
 @query("agg_percentile_approx")

@@ -59,8 +59,9 @@ def weights(t: Tables):
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("c_mktsegment").alias("portfolio"), F.col("p_brand").alias("ticker"), ntz(F.date_trunc("year", "o_orderdate")).alias("eff"))
         .agg(F.sum("l_quantity").alias("shares")))
-    total = held.groupBy("portfolio", "eff").agg(F.sum("shares").alias("all"))
-    shares = held.join(total, ["portfolio", "eff"]).select("portfolio", "ticker", "eff", (F.col("shares") / F.col("all")).alias("weight"))
+    # one row per portfolio, ticker and year by now
+    share = F.col("shares") / F.sum("shares").over(Window.partitionBy("portfolio", "eff"))
+    shares = held.select("portfolio", "ticker", "eff", share.alias("weight"))
     return close_intervals(shares, ["portfolio", "ticker"], "eff", "eff_end")
 
 
@@ -208,13 +209,11 @@ WITH h AS (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS hour, avg(val
 SELECT h.event_type, hour, round(mean, 6) AS mean, round(sd, 6) AS sd, round(p10, 6) AS p10, round(p90, 6) AS p90, CASE WHEN s IS NULL THEN 'ok' ELSE 'abnormal' END AS state FROM h LEFT JOIN st ON h.event_type = st.event_type AND hour >= s AND hour < e""")
 def sensor_features(t: Tables):
     hour = ntz(F.date_trunc("hour", "ts")).alias("hour")
-    # repeated readings are counted first, so percentile buffers hold distinct values only
-    counted = t.events.groupBy("event_type", hour, "value").agg(F.count("*").alias("n"))
-    total = F.sum("n")
-    mean = F.sum(F.col("value") * F.col("n")) / total
-    hourly = counted.groupBy("event_type", "hour").agg(
-        mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.sum(F.col("value") * F.col("value") * F.col("n")) / total - mean * mean)).alias("sd"),
-        F.percentile("value", F.lit(0.1), F.col("n")).alias("p10"), F.percentile("value", F.lit(0.9), F.col("n")).alias("p90"))
+    from millrace.operators.aggregates import exact_percentiles
+
+    rows = t.events.select("event_type", hour, "value")
+    hourly = rows.groupBy("event_type", "hour").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd")).join(
+        exact_percentiles(rows, ["event_type", "hour"], "value", {"p10": 0.1, "p90": 0.9}), ["event_type", "hour"])
     d = ntz(F.date_trunc("day", "ts"))
     bad = t.events.groupBy("event_type", d.alias("s")).agg(F.count_if(F.col("value") > 150).alias("high")).where("high >= 6").select(
         "event_type", "s", (F.col("s") + F.expr("INTERVAL 1 DAY")).alias("e"))

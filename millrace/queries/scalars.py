@@ -224,9 +224,10 @@ def value_counts(t: Tables):
 SELECT 'o_totalprice' AS col, count(*) AS n, round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS sd, min(o_totalprice) AS lo,
  round(quantile_cont(o_totalprice, 0.25), 4) AS q25, round(median(o_totalprice), 4) AS q50, round(quantile_cont(o_totalprice, 0.75), 4) AS q75, max(o_totalprice) AS hi FROM orders""")
 def describe(t: Tables):
-    counted = t.orders.groupBy("o_totalprice").agg(F.count("*").alias("k"))
-    v = F.col("o_totalprice")
-    q = lambda p: rnd(F.percentile(v, F.lit(p), F.col("k")))
+    from millrace.operators.aggregates import exact_percentiles
+
+    v, name = F.col("o_totalprice"), F.lit("o_totalprice").alias("col")
     moments = t.orders.agg(F.count("*").alias("n"), rnd(F.avg(v)).alias("mean"), rnd(F.stddev(v)).alias("sd"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-    quart = counted.agg(q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"))
-    return moments.withColumn("col", F.lit("o_totalprice")).join(quart.withColumn("col", F.lit("o_totalprice")), "col")
+    marks = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    quart = exact_percentiles(t.orders, [], "o_totalprice", marks).select(name, *[rnd(q).alias(q) for q in marks])
+    return moments.select("*", name).join(quart, "col")

@@ -32,11 +32,10 @@ def win_qualify(t: Tables):
 SELECT o_custkey, o_orderkey, rank() OVER w AS rk, dense_rank() OVER w AS drk FROM orders
 WINDOW w AS (PARTITION BY o_custkey ORDER BY date_trunc('month', o_orderdate) DESC) QUALIFY dense_rank() OVER w <= 2""")
 def win_rank(t: Tables):
-    w = Window.partitionBy("o_custkey").orderBy(F.desc("m"))
-    ranked = t.orders.withColumn("m", F.date_trunc("month", "o_orderdate")).withColumn("drk", F.dense_rank().over(w)).where("drk <= 2")
-    # the limit on dense_rank is pushed below the shuffle; rank over the survivors is unchanged
-    return ranked.withColumn("rk", F.rank().over(w)).select(
-        "o_custkey", "o_orderkey", F.col("rk").cast("long"), F.col("drk").cast("long"))
+    from millrace.operators.aggregates import ranks
+
+    rows = t.orders.select("o_custkey", "o_orderkey", F.date_trunc("month", "o_orderdate").alias("m"))
+    return ranks(rows, ["o_custkey"], "m", "rk", "drk").where("drk <= 2").select("o_custkey", "o_orderkey", "rk", "drk")
 
 
 @query("win_lag_lead", sql="""
@@ -78,10 +77,10 @@ def win_running(t: Tables):
 SELECT event_id, user_id, round(sum(value) OVER w, 2) AS sum_7d, count(*) OVER w AS n_7d FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)""")
 def win_range_7d(t: Tables):
-    from millrace.operators.features import rolling_sums
+    from millrace.operators.features import rolling
 
-    out = rolling_sums(t.events.select("event_id", "user_id", "ts", "value"), ["user_id"], "ts", 7 * 86400,
-                       {"sum_7d": F.col("value").cast("decimal(20,2)")}, count="n_7d")
+    out = rolling(t.events.select("event_id", "user_id", "ts", "value"), ["user_id"], "ts", 7 * 86400,
+                  {"sum_7d": ("sum", F.col("value")), "n_7d": ("count", F.lit(1))})
     return out.select("event_id", "user_id", rnd("sum_7d", 2).alias("sum_7d"), "n_7d")
 
 
