@@ -10,9 +10,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import work_dir
+
 
 def prepare(numbers: Sequence[str], labels: Sequence[str] = ()) -> Pipeline:
     """Mean-impute and standardise numbers, one-hot encode labels, assemble ``features``."""
@@ -38,7 +40,19 @@ def fit_classifier(rows: DataFrame, numbers: Sequence[str], labels: Sequence[str
     up = (n - ones) / ones if ones else 1.0
     weighted = rows.withColumn("weight", F.when(F.col(label) == 1, F.lit(float(up))).otherwise(1.0))
     head = LogisticRegression(labelCol=label, weightCol="weight", maxIter=10, regParam=0.01)
-    return Pipeline(stages=[*prepare(numbers, labels).getStages(), head]).fit(weighted)
+    fitted = Pipeline(stages=[*prepare(numbers, labels).getStages(), head]).fit(weighted)
+    return publish_model(rows.sparkSession, fitted, "classifier")
+
+
+def publish_model(spark: SparkSession, model: PipelineModel, label: str) -> PipelineModel:
+    """Save a fitted model to the shared folder and load it back.
+
+    A loaded model carries no training summary; the summary holds the session, which cannot
+    be shipped to tasks once the session has observed metrics.
+    """
+    path = work_dir(spark, f"model-{label}")
+    model.write().save(path)
+    return PipelineModel.load(path)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import words
+from millrace.operators.learning import publish_model
 
 SEGMENT_TURNS = 1000
 
@@ -43,6 +44,7 @@ def train_text_classifier(rows: DataFrame, text: str, label: str, dim: int = 409
     model = Pipeline(stages=[
         HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=dim), IDF(inputCol="__tf", outputCol="__x"),
         LogisticRegression(featuresCol="__x", labelCol=label, maxIter=10, regParam=0.01)]).fit(fit_rows)
+    model = publish_model(rows.sparkSession, model, "text")
     keep = ["prediction"]
     return lambda df: model.transform(df.withColumn("__tokens", words(F.lower(text)))).select(*df.columns, *keep)
 
