@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import OrderedGroups, order_number
+from millrace.operators.ordered import OrderedGroups, order_number, settle
 from millrace.session import materialize
 
 
@@ -68,6 +68,7 @@ def ranks(df: DataFrame, keys: Sequence[str], value: str, rank: str, dense: str)
     splits hot keys, instead of all rows of a key passing through one window task.
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = settle(counts, "value-counts")
     back = counts.withColumn("__v", -order_number(counts, value))
     done = OrderedGroups(back, keys, ["__v"]).running({"__upto": ("sum", F.col("__n")), dense: ("count", F.lit(1))}).result()
     table = done.select(*keys, value, (F.col("__upto") - F.col("__n") + 1).alias(rank), dense)
@@ -82,6 +83,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, marks: Map
     group in the memory of one task.)
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = settle(counts, "value-counts")
     upto = OrderedGroups(counts, keys, [value]).running({"__upto": ("sum", F.col("__n"))}).result()
     totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__all"))
     if keys:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import asof_join
-from millrace.operators.ordered import OrderedGroups
+from millrace.operators.ordered import OrderedGroups, settle
 
 
 def rolling(df: DataFrame, keys: Sequence[str], at: str, seconds: int, aggs: Mapping[str, tuple[str, Column]]) -> DataFrame:
@@ -29,9 +29,10 @@ def rolling(df: DataFrame, keys: Sequence[str], at: str, seconds: int, aggs: Map
     base = df.withColumns({**{values[o]: c for o, (_, c) in aggs.items()}, "__t": t}).withColumn("__block", F.floor(F.col("__t") / width))
     groups = [*keys, "__block"]
     forward = OrderedGroups(base, groups, ["__t"]).running({f"__f_{o}": (ops[o], F.col(x)) for o, x in values.items()}, peers=True).result()
+    forward = settle(forward, "rolling")
     # every row asks the block before for its tail from t - seconds on; backwards order is -t
     asks = forward.drop(*values.values()).withColumns({"__block": F.col("__block") - 1, "__back": width - F.col("__t"), "__ask": F.lit(True)}).drop("__t")
-    rows = base.select(*groups, *values.values(), (-F.col("__t")).alias("__back"))
+    rows = forward.select(*groups, *values.values(), (-F.col("__t")).alias("__back"))
     both = rows.unionByName(asks, allowMissingColumns=True)
     back = OrderedGroups(both, groups, ["__back"]).running({f"__b_{o}": (ops[o], F.col(x)) for o, x in values.items()}, peers=True).where("__ask").result()
     merged = {}
@@ -128,6 +129,8 @@ def training_set(labels: DataFrame, label_ts: str, lookups: Sequence[Lookup], ex
         if look.at is None:
             out = out.join(look.table.select(*look.keys, *look.columns), list(look.keys), "left")
         else:
+            # each lookup reads its input more than once; large inputs are settled in between
+            out = settle(out, "labels")
             out = asof_join(out, look.table, look.keys, label_ts, look.at, look.columns, look.tiebreak).drop(f"matched_{look.at}")
     return out.drop(*exclude)
 

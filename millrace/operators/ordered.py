@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import conf_int, plan_bytes
+from millrace.session import conf_int, materialize, plan_bytes
 
 CHUNK = "__chunk"
+WHOLE = -1  # chunk of keys that are not cut
 # Inputs below this size are never split: no task can get more than that.
 SMALL_BYTES_CONF = "spark.millrace.split.smallBytes"
 SMALL_BYTES = 256 << 20
@@ -32,6 +33,11 @@ def is_small(df: DataFrame) -> bool:
     return size is not None and size < conf_int(df.sparkSession, SMALL_BYTES_CONF, SMALL_BYTES)
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result once if it is large and about to be read several times."""
+    return df if is_small(df) else materialize(df, label)
+
+
 def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> DataFrame:
     """Keys holding more than ``share`` of the rows: at most ``1/share`` of them.
 
@@ -105,13 +111,14 @@ class OrderedGroups:
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
-                 chunks: int | None = None, share: float = HEAVY_SHARE, _cuts: list | None = None):
+                 chunks: int | None = None, share: float = HEAVY_SHARE, _cuts: list | None = None, _carried: bool = False):
         self.keys, self.order = list(keys), list(order)
         self.cuts: list = []
+        self._has_carry = _carried
         if _cuts is not None:
             self.df, self.cuts = df, _cuts
             return
-        self.df = df.withColumn(CHUNK, F.lit(0))
+        self.df = df.withColumn(CHUNK, F.lit(WHOLE))
         if self.keys and is_small(df):
             return
         number = order_number(df, self.order[0])
@@ -130,7 +137,7 @@ class OrderedGroups:
         marked = df.join(F.broadcast(marks), on, "left").drop(*[f"__key{i}" for i in range(len(self.keys))])
         self.cuts = cut_points(marked.where("__heavy"), number, n)
         self.df = marked.withColumn(
-            CHUNK, F.when(F.col("__heavy"), chunk_of(number, self.cuts)).otherwise(F.lit(0))
+            CHUNK, F.when(F.col("__heavy"), chunk_of(number, self.cuts)).otherwise(F.lit(WHOLE))
         ).drop("__heavy")
 
     # -- plumbing ---------------------------------------------------------------------
@@ -138,8 +145,8 @@ class OrderedGroups:
     def split(self) -> bool:
         return bool(self.cuts)
 
-    def _with(self, df: DataFrame) -> OrderedGroups:
-        return OrderedGroups(df, self.keys, self.order, _cuts=self.cuts)
+    def _with(self, df: DataFrame, carried: bool = False) -> OrderedGroups:
+        return OrderedGroups(df, self.keys, self.order, _cuts=self.cuts, _carried=carried or self._has_carry)
 
     def window(self) -> Window:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)
@@ -156,11 +163,15 @@ class OrderedGroups:
     def _carried(self, summaries: Mapping[str, Column], scans: Mapping[str, Column], back: bool = False) -> DataFrame:
         """Join each chunk's carry-in: ``scans`` over the per-chunk ``summaries`` before it.
 
-        The summary table has at most (heavy keys x chunks) rows with neighbours to speak
-        of; light keys have one chunk and are filtered out, so the join side stays small
-        whatever the table size, and being keyed by chunk the join cannot skew either.
+        Only cut keys are summarised, so the summary has at most (heavy keys x chunks) rows
+        whatever the table size; being keyed by chunk, the join cannot skew either. Rows are
+        read twice here (summary and result). A second step would read its input twice again,
+        so a result that already holds a carry is written once first: cost stays linear.
         """
-        per_chunk = self.df.groupBy(*self.keys, CHUNK).agg(*[c.alias(n) for n, c in summaries.items()])
+        if self._has_carry:
+            self.df, self._has_carry = materialize(self.df, "ordered"), False
+        cut = self.df.where(F.col(CHUNK) > WHOLE)
+        per_chunk = cut.groupBy(*self.keys, CHUNK).agg(*[c.alias(n) for n, c in summaries.items()])
         if self.keys:
             order = F.desc(CHUNK) if back else F.asc(CHUNK)
             w = Window.partitionBy(*self.keys).orderBy(order)
@@ -192,7 +203,7 @@ class OrderedGroups:
         df = self._carried({"__edge": edge}, {"__edge": F.last("__edge")}, back)
         df = df.withColumn("__near", F.coalesce(shift(packed).over(self.window()), F.col("__edge")))
         df = df.withColumns({out: F.col(f"__near.f{i}") for i, out in enumerate(columns)})
-        return self._with(df.drop("__near", "__edge"))
+        return self._with(df.drop("__near", "__edge"), carried=True)
 
     def running(self, columns: Mapping[str, tuple[str, Column]], peers: bool = False) -> OrderedGroups:
         """Running ``sum``/``count``/``max``/``min`` up to and including the current row.
@@ -219,13 +230,13 @@ class OrderedGroups:
             else:
                 made[out] = F.coalesce(here + before, here, before)
         df = df.withColumns(made).drop(*summaries)
-        return self._with(df)
+        return self._with(df, carried=True)
 
     def running_before(self, columns: Mapping[str, tuple[str, Column]]) -> OrderedGroups:
         """Like :meth:`running`, but without the current row."""
         inner = {f"__r_{out}": spec for out, spec in columns.items()}
         step = self.running(inner).lag({out: f"__r_{out}" for out in columns})
-        return self._with(step.df.drop(*inner))
+        return step._with(step.df.drop(*inner))
 
     def row_number(self, name: str) -> OrderedGroups:
         return self.running({name: ("count", F.lit(1))})
@@ -243,7 +254,7 @@ class OrderedGroups:
         df = df.withColumns({
             out: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"__v_{out}")) for out, c in columns.items()
         })
-        return self._with(df.drop(*summaries))
+        return self._with(df.drop(*summaries), carried=True)
 
 
 def global_numbers(df: DataFrame, order: Sequence[str], name: str, start: int = 1, step: int = 1) -> DataFrame:

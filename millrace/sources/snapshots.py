@@ -78,6 +78,11 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def changed_buckets(self, old: int | None, new: int) -> list[int]:
+        before = {} if old is None else self._files(old)
+        after = self._files(new)
+        return [b for b in {*before, *after} if b >= 0 and before.get(b) != after.get(b)]
+
     def _schema_version(self, version: int) -> int:
         folders = self._fs(f"{self.root}/_schema")
         names = [s.getPath().getName() for s in folders[0].listStatus(folders[1])]

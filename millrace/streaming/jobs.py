@@ -106,7 +106,11 @@ def upsert_stream(stream: DataFrame, table: VersionedTable, label: str, make: Ca
 
 
 def publish_changes(table: VersionedTable, path: str, keys: Sequence[str], old: int | None, new: int) -> None:
-    """Write the row changes between two versions to a feed folder that streams can follow."""
-    after = table.read(new)
-    before = table.read(old) if old is not None else table.spark.createDataFrame([], after.schema)
+    """Write the row changes between two versions to a feed folder that streams can follow.
+
+    Buckets whose folder is the same in both versions hold the same rows and are not read.
+    """
+    changed = table.changed_buckets(old, new)
+    after = table.read(new, changed)
+    before = table.read(old, changed) if old is not None else after.where("false")
     cdc.change_feed(before, after, keys, new).write.mode("append").parquet(path)
