@@ -99,7 +99,8 @@ def consolidate_visits(enc: DataFrame, kinds: Mapping[str, str]) -> tuple[DataFr
     stays = rows.where("kind = 'inpatient'").select("patient", "kind", F.col("start").alias("v_start"), F.col("stop").alias("v_end"))
     stays = pack_intervals(stays, ["patient", "kind"], "v_start", "v_end", slack=F.expr("INTERVAL 1 DAY")).drop("merged")
     short = rows.where("kind <> 'inpatient'").groupBy("patient", "kind", F.col("start").alias("v_start")).agg(F.max("stop").alias("v_end"))
-    visits = stays.unionByName(short.select(*stays.columns))
+    # numbering reads its input three times (cuts, counts per chunk, rows)
+    visits = materialize(stays.unionByName(short.select(*stays.columns)), "visit-spans")
     visits = global_numbers(visits, ["patient", "v_start", "kind"], "visit_id")
     visits = materialize(visits.withColumnRenamed("kind", "visit_kind"), "visits")
     points = rows.select("id", "patient", "kind", F.col("start").alias("e_from"), F.col("start").alias("e_to"))

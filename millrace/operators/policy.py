@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import rebalanced
+
 
 @dataclass(frozen=True)
 class RowFilter:
@@ -97,8 +99,7 @@ def unseal(df: DataFrame, columns: Sequence[str], secret: Column) -> DataFrame:
 def export_slices(df: DataFrame, grants: DataFrame, column: str, path: str) -> None:
     """One folder per recipient holding only the rows granted to it.
 
-    ``grants(recipient, value)``. Rows of a recipient are spread over tasks by their own
-    content, so one big recipient is not written by one task.
+    ``grants(recipient, value)``. A big recipient is split over tasks by the rebalance.
     """
     rows = df.join(grants, F.col(column) == F.col("value")).drop("value")
-    rows.repartition("recipient", F.pmod(F.xxhash64(*df.columns), F.lit(32))).write.partitionBy("recipient").parquet(path)
+    rebalanced(rows, "recipient").write.partitionBy("recipient").parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from millrace.operators import cdc
 from millrace.queries.registry import Tables, day, query, rnd
-from millrace.session import work_dir
+from millrace.session import rebalanced, work_dir
 from millrace.sources import files
 from millrace.sources.snapshots import VersionedTable, morton_key
 
@@ -28,14 +28,16 @@ def scan_formats(t: Tables):
 @query("scan_partitioned", sql="SELECT o_orderkey, year(o_orderdate)::INTEGER AS y, month(o_orderdate)::INTEGER AS m FROM orders WHERE year(o_orderdate) = 1998 AND month(o_orderdate) IN (3, 4)")
 def scan_partitioned(t: Tables):
     path = work_dir(t.spark, "partitioned")
-    t.orders.withColumns({"y": F.year("o_orderdate"), "m": F.month("o_orderdate")}).repartition("y", "m").write.partitionBy("y", "m").parquet(path)
+    dated = t.orders.withColumns({"y": F.year("o_orderdate"), "m": F.month("o_orderdate")})
+    rebalanced(dated, "y", "m").write.partitionBy("y", "m").parquet(path)
     return files.read_files(t.spark, path, "parquet").where("y = 1998 AND m IN (3, 4)").select("o_orderkey", "y", "m")
 
 
 @query("scan_glob", sql="SELECT count(*) AS n, count(DISTINCT c_nationkey) AS nations FROM customer WHERE c_nationkey BETWEEN 10 AND 19")
 def scan_glob(t: Tables):
     path = work_dir(t.spark, "glob")
-    t.customer.withColumn("part", F.concat(F.lit("n"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"))).repartition("part").write.partitionBy("part").parquet(path)
+    named = t.customer.withColumn("part", F.concat(F.lit("n"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")))
+    rebalanced(named, "part").write.partitionBy("part").parquet(path)
     rows = files.read_files(t.spark, f"{path}/part=n1*", "parquet", glob="*.parquet")
     return rows.agg(F.count("*").alias("n"), F.count_distinct("c_nationkey").alias("nations"))
 
@@ -124,12 +126,13 @@ def direct_file_sql(t: Tables):
 
 @query("scan_binary", sql="SELECT page_id, length(html) AS chars, md5(html) AS digest FROM pages")
 def scan_binary(t: Tables):
-    # one file per page is written by tasks, then read back as bytes
+    # pages are written as lines of encoded bytes, and the files read back whole
     path = work_dir(t.spark, "binary")
-    t.pages.select(F.col("page_id").alias("id"), F.base64(F.col("html").cast("binary")).alias("value")).repartition("id").write.partitionBy("id").text(path)
-    rows = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(path)
-    html = F.unbase64(F.trim(F.col("content").cast("string"))).cast("string")
-    found = rows.select(F.regexp_extract("path", "id=([0-9]+)", 1).cast("long").alias("page_id"), html.alias("h"))
+    t.pages.select(F.concat_ws(" ", F.col("page_id"), F.translate(F.base64(F.col("html").cast("binary")), "\r\n", "")).alias("value")).write.text(path)
+    rows = files.read_files(t.spark, path, "binaryFile", glob="*.txt")
+    lines = rows.select(F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).where("line <> ''")
+    html = F.unbase64(F.split_part("line", F.lit(" "), F.lit(2))).cast("string")
+    found = lines.select(F.split_part("line", F.lit(" "), F.lit(1)).cast("long").alias("page_id"), html.alias("h"))
     return found.select("page_id", F.length("h").cast("long").alias("chars"), F.md5("h").alias("digest"))
 
 
@@ -171,10 +174,10 @@ SELECT o_orderkey, year(o_orderdate)::INTEGER AS y, CASE WHEN year(o_orderdate)
 def ctas_overwrite(t: Tables):
     path = work_dir(t.spark, "ctas")
     rows = t.orders.select("o_orderkey", rnd("o_totalprice", 2).alias("total"), F.year("o_orderdate").alias("y"))
-    rows.repartition("y").write.partitionBy("y").parquet(path)
+    rebalanced(rows, "y").write.partitionBy("y").parquet(path)
     # replaces only the partitions present in the new rows
     fixed = rows.where("y = 1999").withColumn("total", F.lit(0.0))
-    fixed.repartition("y").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("y").parquet(path)
+    rebalanced(fixed, "y").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("y").parquet(path)
     return t.spark.read.parquet(path)
 
 
@@ -236,3 +239,14 @@ def mark_and_skip(t: Tables):
     picked = (hash_bucket(F.col("event_id"), 100, "queue") < 10) | F.col("feedback").isNotNull()
     return queue.join(feedback, "event_id", "left").withColumn(
         "status", F.coalesce("status", F.when(picked, "to_process").otherwise("skipped"))).drop("feedback")
+
+
+@query("retention", sql="SELECT 2 AS folders_removed, count(*) AS n, round(sum(s_acctbal), 2) AS balance FROM supplier WHERE s_acctbal > 0")
+def retention(t: Tables):
+    import datetime as dt
+
+    table = VersionedTable(t.spark, work_dir(t.spark, "retention"))
+    for floor in (-100_000, -500, 0):
+        table.publish(t.supplier.where(F.col("s_acctbal") > floor), "write")
+    removed = table.vacuum(dt.datetime.now() + dt.timedelta(hours=1))
+    return table.read().agg(F.count("*").alias("n"), rnd(F.sum("s_acctbal"), 2).alias("balance")).select(F.lit(removed).alias("folders_removed"), "n", "balance")

@@ -59,3 +59,10 @@ def recipient_slice(t: Tables):
     path = work_dir(t.spark, "share")
     policy.export_slices(t.customer, grants, "c_mktsegment", path)
     return t.spark.read.parquet(path).groupBy("recipient").agg(F.count("*").alias("n"), rnd(F.sum("c_acctbal"), 2).alias("balance"))
+
+
+@query("tag_policy", sql="SELECT c_custkey, repeat('*', length(c_name) - 4) || right(c_name, 4) AS c_name, 0::DOUBLE AS c_acctbal, c_mktsegment FROM customer")
+def tag_policy(t: Tables):
+    tagged = policy.tag(t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), {"c_name": {"pii": "name"}, "c_acctbal": {"pii": "money"}})
+    masks = {("pii", "name"): mask_tail, ("pii", "money"): lambda c: F.lit(0.0)}
+    return policy.apply_tag_masks(tagged, masks, groups=["analysts"], exempt=["stewards"])

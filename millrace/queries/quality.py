@@ -117,3 +117,10 @@ def schema_contract(t: Tables):
     raw = t.customer.select(F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("id"),
                             F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"), F.lit(1).alias("extra"))
     return q.conform(raw, contract)
+
+
+@query("expect_fail", sql="SELECT o_orderkey, o_totalprice FROM orders")
+def expect_fail(t: Tables):
+    # the rule holds, so all rows pass; a broken row would abort the job that reads it
+    rules = [q.Rule("has_key", "o_orderkey >= 0", "fail")]
+    return q.fail_if_broken(t.orders, rules, "orders").select("o_orderkey", "o_totalprice")

@@ -216,6 +216,9 @@ def udf_python_sql(t: Tables):
 
 @query("value_counts", sql="SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, p_brand")
 def value_counts(t: Tables):
+    import pyspark.pandas as ps
+
+    ps.set_option("compute.default_index_type", "distributed")  # no job just to number the rows
     counts = t.part.pandas_api()["p_brand"].value_counts().to_frame("n").reset_index().to_spark()
     return counts.select(F.col("p_brand"), "n").orderBy(F.desc("n"), "p_brand")
 

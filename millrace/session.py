@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -74,3 +75,12 @@ def plan_bytes(df: DataFrame) -> int | None:
 
 def conf_int(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(name, str(default)))
+
+
+def rebalanced(df: DataFrame, *by: str) -> DataFrame:
+    """Rows brought together by columns before a partitioned write, in even parts.
+
+    With AQE the rebalance step splits a value that holds much of the table over several
+    tasks and files, and joins small ones, so files come out near the advisory size.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in by])

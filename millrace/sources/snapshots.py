@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import rebalanced
+
 MANIFEST = "version long, bucket int, path string, operation string, rows long, written_at timestamp, batch string"
 
 
@@ -100,9 +102,8 @@ class VersionedTable:
             out = df.observe(seen, F.count(F.lit(1)).alias("n"))
             (clustered(out) if clustered else out).write.parquet(base)
             return {0: base}, {0: seen.get["n"]}
-        # rows of one bucket may spread over several tasks and files: no bucket needs one task
         tagged = df.withColumn("__bucket", self.bucket_of())
-        tagged = clustered(tagged) if clustered else tagged.repartition("__bucket", *self.keys)
+        tagged = clustered(tagged) if clustered else rebalanced(tagged, "__bucket")
         tagged.write.partitionBy("__bucket").parquet(base)
         counts = self.spark.read.parquet(base).groupBy("__bucket").count().collect() if self._has_data(base) else []
         rows = {r["__bucket"]: r["count"] for r in counts}
