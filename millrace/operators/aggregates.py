@@ -40,16 +40,20 @@ def trailing_months(df: DataFrame, keys: Sequence[str], at: str, anchor: Column,
     return df.where(inside(max(months))).groupBy(*keys).agg(*columns)
 
 
-def rollup_components(demand: DataFrame, bom: DataFrame, levels: int) -> DataFrame:
+MAX_LEVELS = 100
+
+
+def rollup_components(demand: DataFrame, bom: DataFrame, levels: int | None = None) -> DataFrame:
     """Push demand down a bill of materials level by level and total it per part.
 
     ``demand(part, need)``, ``bom(parent, child, qty)``. Each level aggregates before the next
-    join, so the frontier never exceeds one row per part; the number of levels is the bound.
+    join, so the frontier never exceeds one row per part. Without ``levels`` it goes on until
+    no demand is left; a bill that still has some after ``MAX_LEVELS`` is circular and refused.
     Each level is written once to the shared folder, so a lost executor costs one level.
     """
     frontier = demand.withColumn("depth", F.lit(0))
     total = frontier
-    for level in range(1, levels + 1):
+    for level in range(1, (levels or MAX_LEVELS) + 1):
         frontier = (
             frontier.join(bom, F.col("part") == F.col("parent"))
             .groupBy(F.col("child").alias("part"))
@@ -57,7 +61,12 @@ def rollup_components(demand: DataFrame, bom: DataFrame, levels: int) -> DataFra
             .withColumn("depth", F.lit(level))
         )
         frontier = materialize(frontier, f"bom-level{level}")
+        if levels is None and frontier.isEmpty():
+            break
         total = total.unionByName(frontier)
+    else:
+        if levels is None:
+            raise ValueError(f"the bill of materials is deeper than {MAX_LEVELS} levels")
     return total.groupBy("part").agg(F.sum("need").alias("total_need"), F.max("depth").alias("deepest"))
 
 

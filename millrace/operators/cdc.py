@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import OrderedGroups, global_numbers
+from millrace.operators.ordered import OrderedGroups, global_numbers, null_safe
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Se
     A target row matched by several source rows is an error, raised while the plan runs.
     """
     copies = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
-    src = source.join(copies, list(keys)).withColumn("__s", F.lit(True)).alias("s")
+    counted, same = null_safe(source, copies, keys)  # a null key matches no target but is still inserted
+    src = source.join(counted, same).drop(*[f"__key{i}" for i in range(len(keys))]).withColumn("__s", F.lit(True)).alias("s")
     tgt = target.withColumn("__t", F.lit(True)).alias("t")
     on = F.lit(True)
     for k in keys:

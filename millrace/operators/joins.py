@@ -22,7 +22,10 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     lcols = [c for c in left.columns]
     ties = [f"__tie{i}" for i in range(len(tiebreak))]
     carried = [F.col(right_ts).alias("ts"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]]
-    facts = right.select(
+    known = F.col(right_ts).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()  # null keys and times match nothing
+    facts = right.where(known).select(
         *keys, F.col(right_ts).alias("__ts"), F.lit(0).alias("__side"),
         *[F.col(t).alias(n) for t, n in zip(tiebreak, ties)], F.struct(*carried).alias("__fact"),
     )

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.ordered import null_safe
+
 
 def _levels(df: DataFrame, window: Column, slices: Mapping[str, str]) -> tuple[DataFrame, list[str], list[list[str]]]:
     """Rows with ``win`` and one column per slice expression, and the grouping levels."""
@@ -104,9 +106,16 @@ def custom_metrics(df: DataFrame, by: Sequence[str], columns: Sequence[str], agg
     return out.withColumns({n: F.expr(e) for n, e in derived.items()})
 
 
+def with_total(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """Add the sum of a column over each group, by a combinable aggregate and a join."""
+    totals = df.groupBy(*keys).agg(F.sum(column).alias(name))
+    side, on = null_safe(df, totals, keys)
+    return df.join(side, on).drop(*[f"__key{i}" for i in range(len(keys))])
+
+
 def shares(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Counts as shares of their group; groups are small sets of categories."""
-    return histogram.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*keys)))
+    """Counts as shares of their group."""
+    return with_total(histogram, keys, "n", "__all").withColumn("share", F.col("n") / F.col("__all")).drop("__all")
 
 
 def pair_previous(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -134,8 +143,7 @@ def drift(paired: DataFrame, keys: Sequence[str]) -> DataFrame:
     p, q = F.col("p"), F.col("q")
     m = (p + q) / 2
     part = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-    expected = q * F.sum("n_now").over(Window.partitionBy(*keys))
-    rows = paired.withColumn("__e", expected)
+    rows = with_total(paired, keys, "n_now", "__all").withColumn("__e", q * F.col("__all"))
     chi = F.when(F.col("__e") > 0, F.pow(F.col("n_now") - F.col("__e"), F.lit(2)) / F.col("__e"))
     return rows.groupBy(*keys).agg(
         F.sqrt(F.greatest(F.lit(0.0), F.sum((part(p) + part(q)) / 2))).alias("js_distance"), (F.sum(F.abs(p - q)) / 2).alias("total_variation"),

@@ -34,6 +34,19 @@ def test_merge_refuses_ambiguous_source(spark):
     assert cdc.upsert(t, table(spark, [(9, "x", 1), (9, "y", 2)]), ["id"]).count() == 3
 
 
+def test_null_keys_are_inserted_never_matched(spark):
+    t, s = table(spark, [(None, "old", 1), (1, "a", 1)]), table(spark, [(None, "new", 2)])
+    assert rows(cdc.upsert(t, s, ["id"]), "id", "v") == [(1, "a"), (None, "new"), (None, "old")]
+
+
+def test_bill_of_materials_to_the_end(spark):
+    from millrace.operators.aggregates import rollup_components
+
+    bom = spark.createDataFrame([(1, 2, 3), (1, 3, 1), (2, 3, 2), (3, 4, 10)], "parent long, child long, qty long")
+    need = spark.createDataFrame([(1, 5), (3, 1)], "part long, need long")
+    assert rows(rollup_components(need, bom), "part", "total_need") == [(1, 5), (2, 15), (3, 36), (4, 360)]
+
+
 def test_merge_is_idempotent(spark):
     t, s = table(spark, [(1, "a", 1), (2, "b", 2)]), table(spark, [(2, "B", 3), (3, "c", 4)])
     once = cdc.upsert(t, s, ["id"])
