@@ -68,7 +68,7 @@ def weights(t: Tables):
 @query("portfolio_returns", sql=f"""
 WITH {RET}, {HOLD}, r AS (SELECT portfolio, month, sum(weight * ret) AS pr FROM ret JOIN w ON ret.ticker = w.ticker AND month >= eff AND (eff_end IS NULL OR month < eff_end) WHERE ret IS NOT NULL GROUP BY 1, 2),
  b AS (SELECT month, avg(ret) AS br FROM ret WHERE ret IS NOT NULL GROUP BY 1)
-SELECT portfolio, month, round(pr, 8) AS ret, round(exp(sum(ln(1 + pr)) OVER v) - 1, 6) AS cumulative, round(exp(sum(ln(1 + br)) OVER v) - 1, 6) AS benchmark FROM r JOIN b USING (month)
+SELECT portfolio, month, round(pr, 8) AS ret, round(ln(exp(sum(ln(1 + pr)) OVER v)), 7) AS log_growth, round(ln(exp(sum(ln(1 + br)) OVER v)), 7) AS log_benchmark FROM r JOIN b USING (month)
 WINDOW v AS (PARTITION BY portfolio ORDER BY month ROWS UNBOUNDED PRECEDING)""")
 def portfolio_returns(t: Tables):
     r = returns(t).where("ret IS NOT NULL").select("ticker", "month", "ret")
@@ -77,7 +77,8 @@ def portfolio_returns(t: Tables):
     bench = r.groupBy("month").agg(F.avg("ret").alias("br"))
     both = port.join(bench, "month")
     out = an.compound(an.compound(both, ["portfolio"], "month", "pr", "cumulative"), ["portfolio"], "month", "br", "benchmark")
-    return out.select("portfolio", "month", rnd("pr", 8).alias("ret"), rnd("cumulative", 6).alias("cumulative"), rnd("benchmark", 6).alias("benchmark"))
+    # growth is reported as its logarithm: compounded over years it outgrows fixed decimals
+    return out.select("portfolio", "month", rnd("pr", 8).alias("ret"), rnd(F.log1p("cumulative"), 7).alias("log_growth"), rnd(F.log1p("benchmark"), 7).alias("log_benchmark"))
 
 
 @query("risk_metrics", sql=f"""

@@ -107,7 +107,7 @@ def win_partition_max(t: Tables):
 WITH m AS (SELECT p_brand, date_trunc('month', l_shipdate)::TIMESTAMP AS month, avg(l_extendedprice / l_quantity) AS price
  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
  r AS (SELECT *, price / lag(price) OVER (PARTITION BY p_brand ORDER BY month) - 1 AS ret FROM m)
-SELECT p_brand, month, round(exp(sum(ln(1 + ret)) OVER (PARTITION BY p_brand ORDER BY month ROWS UNBOUNDED PRECEDING)) - 1, 6) AS cumulative FROM r""")
+SELECT p_brand, month, round(ln(exp(sum(ln(1 + ret)) OVER (PARTITION BY p_brand ORDER BY month ROWS UNBOUNDED PRECEDING))), 7) AS log_growth FROM r""")
 def win_compound(t: Tables):
     monthly = (
         t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
@@ -116,7 +116,7 @@ def win_compound(t: Tables):
     w = Window.partitionBy("p_brand").orderBy("month")
     returns = monthly.withColumn("ret", F.col("price") / F.lag("price").over(w) - 1)
     grown = F.exp(F.sum(F.log1p("ret")).over(w.rowsBetween(Window.unboundedPreceding, 0))) - 1
-    return returns.select("p_brand", "month", rnd(grown, 6).alias("cumulative"))
+    return returns.select("p_brand", "month", rnd(F.log1p(grown), 7).alias("log_growth"))
 
 
 @query("win_pack_intervals", sql="""
