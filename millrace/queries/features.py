@@ -91,7 +91,7 @@ def label_within_days(t: Tables):
 WITH o AS (SELECT o_custkey, count(*) AS orders, sum(o_totalprice) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS done FROM orders GROUP BY 1),
  e AS (SELECT user_id, count(*) AS events, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1)
 SELECT c_custkey, coalesce(orders, 0)::BIGINT AS orders, coalesce(events, 0)::BIGINT AS events, round(coalesce(done / nullif(orders, 0), 0), 6) AS done_rate,
- round(coalesce(errors / nullif(events, 0), 0), 6) AS error_rate, round(coalesce(total, 0) / (1 + coalesce(events, 0)), 2) AS total_per_event
+ round(coalesce(errors / nullif(events, 0), 0), 6) AS error_rate, round(coalesce(total, 0) / (1 + coalesce(events, 0)), 7) AS total_per_event
 FROM customer LEFT JOIN o ON c_custkey = o_custkey LEFT JOIN e ON c_custkey = user_id""")
 def feat_consolidate(t: Tables):
     o = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
@@ -101,7 +101,7 @@ def feat_consolidate(t: Tables):
     all_ = t.customer.select("c_custkey").join(o, "c_custkey", "left").join(e, "c_custkey", "left").fillna(0)
     return all_.select("c_custkey", "orders", "events", rnd(F.coalesce(F.try_divide("done", "orders"), F.lit(0)), 6).alias("done_rate"),
                        rnd(F.coalesce(F.try_divide("errors", "events"), F.lit(0)), 6).alias("error_rate"),
-                       rnd(F.col("total") / (1 + F.col("events")), 2).alias("total_per_event"))
+                       rnd(F.col("total") / (1 + F.col("events")), 7).alias("total_per_event"))
 
 
 @query("feat_c360", sql="""
