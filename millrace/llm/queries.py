@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exact, mixing
+from millrace.llm import bpe, exact, licences, lines, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_licence_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir)).drop("spans")
+
+
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -43,3 +48,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
            doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept, sha256(coalesce(text, '')) AS text_sha256 FROM documents""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir))
+
+
+@query("op9_line_rules", lines.ORACLE_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_rules(table(spark, sf_dir)).drop("clean_text")
