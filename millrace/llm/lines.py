@@ -164,18 +164,18 @@ def _quoted(text: str) -> str:
 _SPACE = r"[\x20\x09-\x0D]+"
 _LAST_CHAR = f"right(words[-1], 1) IN ({', '.join(map(_quoted, TERMINAL))})"
 _SQL_RULES = {
-    "punctuation": f"NOT {_LAST_CHAR} AND len(list_filter(words, w -> right(w, 1) IN ('.', '!', '?'))) = 0",
-    "menu": f"len(list_filter(words, w -> w IN ({', '.join(map(_quoted, SEPARATORS))}))) >= {MIN_SEPARATORS}",
+    "punctuation": f"NOT {_LAST_CHAR} AND len(list_filter(words, lambda w: right(w, 1) IN ('.', '!', '?'))) = 0",
+    "menu": f"len(list_filter(words, lambda w: w IN ({', '.join(map(_quoted, SEPARATORS))}))) >= {MIN_SEPARATORS}",
     "boilerplate": f"regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{'|'.join(BOILERPLATE)}')",
     "symbols": rf"{CHARS_PER_SYMBOL} * (length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) > chars",
     "shouting": "letters >= 10 AND 2 * upper > letters",
-    "echo": f"len(list_filter(range(2, len(words) + 1), i -> words[i] = words[i - 1])) > {MAX_ECHO} * len(words)",
+    "echo": f"len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) > {MAX_ECHO} * len(words)",
 }
 ORACLE_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 cut AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM d),
-worded AS (SELECT *, list_filter(regexp_split_to_array(line, '{_SPACE}'), w -> w <> '') AS words FROM cut),
-lined AS (SELECT *, list_sum(list_transform(words, w -> length(w))) AS chars, length(line) - length(regexp_replace(line, '[A-Z]', '', 'g')) AS upper,
+worded AS (SELECT *, list_filter(regexp_split_to_array(line, '{_SPACE}'), lambda w: w <> '') AS words FROM cut),
+lined AS (SELECT *, list_sum(list_transform(words, lambda w: length(w))) AS chars, length(line) - length(regexp_replace(line, '[A-Z]', '', 'g')) AS upper,
                  length(line) - length(regexp_replace(line, '[A-Za-z]', '', 'g')) AS letters,
                  row_number() OVER (PARTITION BY doc_id, line ORDER BY line_no) > 1 AS again
           FROM worded WHERE len(words) > 0),
