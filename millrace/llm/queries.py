@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exact, licences, lines, mixing, near, quality, toxicity
+from millrace.llm import bpe, exact, licences, lines, mixing, near, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +60,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir))
 
 
+@query("op7_pii_pseudonyms")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise_documents(table(spark, sf_dir), spark.conf.get("spark.millrace.pii.key", "a key for trials").encode())
+
+
 @query("op8_near_duplicates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir)).drop("text_key")
