@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exact, licences, lines, mixing, near, pii, quality, toxicity
+from millrace.llm import bpe, exact, licences, lines, lm, mixing, near, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_line_rules", lines.ORACLE_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_rules(table(spark, sf_dir)).drop("clean_text")
+
+
+@query("op10_lm_scores")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lm.score_texts(table(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
