@@ -67,8 +67,9 @@ class Shingler:
         if len(self.hashes) > MAX_WORDS:
             self.hashes.clear()
         known = self.hashes
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = max(1, len(ids) - SHINGLE_WORDS + 1)
         run = np.zeros(n, np.uint64)

@@ -126,7 +126,7 @@ class Scorer:
             self.buckets.clear()
         split = [t.split() for t in texts]
         sets = [set(words) for words in split]
-        self.buckets.update({w: bucket(w) for w in set().union(*sets) - self.buckets.keys()})
+        self.buckets.update({w: bucket(w) for words in sets for w in words if w not in self.buckets})
         get = self.buckets.__getitem__
         words = [np.fromiter(map(get, s), np.int64, len(s)) for s in sets]
         logits = self.machine.logits(words, np.array([statistics(t, w) for t, w in zip(texts, split)]))

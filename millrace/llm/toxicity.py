@@ -129,7 +129,7 @@ class Scorer:
         self.word_odds: dict[str, float] = {}
 
     def learn_words(self, words: set[str]) -> None:
-        new = list(words - self.word_odds.keys())
+        new = [w for w in words if w not in self.word_odds]
         if new:
             grams, owner = word_grams(new)
             count = np.maximum(np.bincount(owner, minlength=len(new)), 1)
