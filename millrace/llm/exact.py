@@ -141,8 +141,8 @@ def exact_duplicates(documents: DataFrame, primes: tuple[int, int] = PRIMES) ->
 
 def drop_exact_duplicates(documents: DataFrame) -> DataFrame:
     """``documents`` without the rows that :func:`exact_duplicates` drops; all columns stay."""
-    stay = exact_duplicates(documents).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    rows = documents.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("_sha")), "left_semi")
+    stay = exact_duplicates(documents).where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
+    rows = documents.join(stay, F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("__kept_sha")), "left_semi")
     return rows.dropDuplicates(["doc_id", "text"]) if _repeats(documents) else rows
 
 

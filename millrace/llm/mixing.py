@@ -45,18 +45,17 @@ def source_rates(documents: DataFrame, weights: dict[str | None, float] | None,
     get none), or the sizes raised to ``power``. ``ratio`` is the wanted size of the mixture over the input's.
     """
     size = F.sum(F.length(F.coalesce("text", F.lit(""))) + 1).alias("size")
-    sizes = documents.groupBy("source").agg(size)
+    sizes = documents.select("source", "text").groupBy("source").agg(size)
     if weights is None:
         target = F.pow(F.col("size").cast("double"), F.lit(float(power)))
     else:
         target = F.lit(0.0)
         for name, weight in weights.items():
             target = F.when(F.col("source").eqNullSafe(F.lit(name)), float(weight)).otherwise(target)
-    sizes = sizes.withColumn("target", target)
-    totals = sizes.agg(F.sum("size").alias("all_size"), F.sum("target").alias("all_target"))
-    share = F.col("target") / F.nullif(F.col("all_target"), F.lit(0.0))
-    rate = F.coalesce(F.lit(float(ratio)) * share * F.col("all_size") / F.col("size"), F.lit(0.0))
-    return sizes.join(F.broadcast(totals)).select(F.col("source").alias("_source"), rate.alias("rate"))  # totals is one row
+    sizes = materialize(sizes.withColumn("target", target), "source-sizes")
+    all_size, all_target = sizes.agg(F.sum("size"), F.sum("target")).first()
+    rate = F.lit(float(ratio)) * F.col("target") / F.lit(float(all_target or 1)) * F.lit(int(all_size or 0)) / F.col("size")
+    return sizes.select(F.col("source").alias("__mix_source"), rate.alias("rate"))
 
 
 def mix_sources(documents: DataFrame, weights: dict[str | None, float] | None = None, power: float = 0.5, ratio: float = 1.0,
@@ -72,18 +71,18 @@ def mix_sources(documents: DataFrame, weights: dict[str | None, float] | None =
     The copies' text moves once, in the global shuffle by hash.
     """
     documents = documents.drop("copy_no", "mix_order")
-    rates = materialize(source_rates(documents, weights, power, ratio).where("rate > 0").withColumn("cdf", poisson_cdf(F.col("rate"))).drop("rate"), "mix-rates")
-    same = F.col("source").eqNullSafe(F.col("_source"))
+    rates = materialize(source_rates(documents, weights, power, ratio).where("rate > 0").select("__mix_source", poisson_cdf(F.col("rate")).alias("__mix_cdf")), "mix-rates")
+    same = F.col("source").eqNullSafe(F.col("__mix_source"))
     if rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rated = documents.join(F.broadcast(rates), same)
     else:
-        salted = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = rates.withColumn("__mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-        rated = documents.withColumn("_own", salt).join(salted, same & (F.col("_own") == F.col("_salt"))).drop("_own", "_salt")
+        rated = documents.withColumn("__mix_own", salt).join(salted, same & (F.col("__mix_own") == F.col("__mix_salt"))).drop("__mix_own", "__mix_salt")
     drawn = uniform(F.lit(seed), F.col("doc_id"))
-    copies = F.size(F.filter("cdf", lambda c: c <= F.col("_drawn")))
-    rows = rated.withColumn("_drawn", drawn).withColumn("_copies", copies).where("_copies > 0").drop("_source", "cdf", "_drawn")
-    rows = rows.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    copies = F.size(F.filter("__mix_cdf", lambda c: c <= F.col("__mix_drawn")))
+    rows = rated.withColumn("__mix_drawn", drawn).withColumn("__mix_copies", copies).where("__mix_copies > 0").drop("__mix_source", "__mix_cdf", "__mix_drawn")
+    rows = rows.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))).drop("__mix_copies")
     rows = rows.withColumn("mix_order", uniform(F.lit(seed + 1), F.col("doc_id"), F.col("copy_no")))
     return rows.repartition("mix_order").sortWithinPartitions("mix_order")
 

@@ -415,8 +415,8 @@ def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of each class of near duplicates; all columns stay."""
-    stay = near_duplicates(documents).where("stays").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"))
+    stay = near_duplicates(documents).where("stays").select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__kept_key"))
     rows = documents.join(stay, same, "left_semi")
     repeated = not documents.groupBy("doc_id").count().where("count > 1").isEmpty()
     return rows.dropDuplicates(["doc_id", "text"]) if repeated else rows

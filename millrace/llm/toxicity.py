@@ -1,7 +1,7 @@
 """Toxicity by averaged subword embeddings and a linear softmax, trained jointly in numpy.
 
 A word is the bag of its character n-grams (with a begin and an end mark), hashed to buckets that hold small
-vectors. A few neighbouring words are averaged, and a linear softmax turns the average into log odds; a text's
+vectors; the bag is averaged (over WINDOW neighbouring words, one by default) and a linear softmax turns it into log odds. A text's
 log odds are the log mean of the exponentials over its windows, so some bad words count in a long text too.
 A misspelling shares most n-grams, and so most of the vector, with the word it comes from.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import in_fold, map_slices, with_text, worker_state
 from millrace.llm.labelled import MAX_CHARS, MAX_ROWS, labelled_sample
 
-BUCKETS, WIDTH, NGRAMS, WINDOW = 1 << 18, 8, (3, 4, 5), 4
+BUCKETS, WIDTH, NGRAMS, WINDOW = 1 << 18, 8, (3, 4, 5), 1
 EPOCHS, BATCH, RATE = 8, 32, 0.5
 #: Distinct words whose log odds a worker keeps.
 MAX_WORDS = 400_000
