@@ -4,13 +4,14 @@ A text is the set of its runs of five words. Sets that are equal are joined firs
 set is embedded as MinHash tokens: of a pair with Jaccard similarity s, a token is shared with probability s. Buckets of
 sets are split on sampled tokens, again and again: a set goes on to one bucket for each sampled position, named by the path
 so far and its token there; positions are sampled 1/threshold at a time, by a hash of the path, so similar pairs stay
-together in one bucket per level on average. Small buckets are compared by brute force. Buckets that stay large after the
-last level hold sets that are nearly alike; they are compared in blocks, a pair of blocks at a time. The whole is run as often as
-the wanted recall needs.
-
-A bucket first drops sets whose compact sketches have no likely partner in it; only the rest is compared exactly, on the
-shingles of their texts. A pair that meets in several buckets counts in the one with the smallest name, so
-links are counted without ever writing pairs.
+together in one bucket per level on average. Small buckets are compared by brute force. The whole is run as often as the
+wanted recall needs. A large bucket that a split leaves nearly whole, or that is large after the last level, holds sets that are
+nearly alike, and every run finds it again; such buckets are joined where they share sets, and each of these
+families is compared once and wholly, a pair of blocks at a time.
+
+A group first drops sets whose compact sketches have no likely partner in it; only the rest is compared exactly, on the
+shingles of their texts. A pair counts in its family if it has one, else in the bucket with the smallest name of those in which it
+meets, so links are counted without ever writing pairs.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from millrace.llm.common import map_slices, with_text, worker_state
 from millrace.session import materialize
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
-#: MinHash tokens of a set, levels of splitting, largest bucket that is compared as it is, rows of a block beyond that.
-TOKENS, LEVELS, LEAF_ROWS, BLOCK_ROWS = 64, 5, 256, 256
+#: MinHash tokens of a set, levels of splitting, largest bucket that is compared as it is, rows of a family's block.
+TOKENS, LEVELS, LEAF_ROWS, BLOCK_ROWS = 64, 5, 256, 512
+#: A large bucket is not split again once it holds this share of the bucket it came from.
+STAYS_WHOLE = 0.7
 #: Wanted chance that a pair at the threshold meets in some bucket.
 RECALL = 0.9999
 #: Sketch bytes that must agree for a pair to be compared exactly: four deviations under what the threshold gives.
@@ -142,13 +145,13 @@ def root_positions(runs: int, seed: int) -> list[tuple[int, int]]:
 
 
 def _bucketed(rows: DataFrame, label: str) -> DataFrame:
-    """path, row, size of the rows whose bucket holds another row too."""
+    """path, row, parent, size of the rows whose bucket holds another row too."""
     sizes = rows.groupBy("path").count().where("count > 1").withColumnRenamed("count", "size")
     return materialize(rows.join(sizes, "path"), label)
 
 
 def _children(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The next level's path, row of the rows of large buckets."""
+    """The next level's path, row, parent (size of the bucket they come from) of the rows of large buckets."""
     path = F.col("path")
     first = F.pmod(F.xxhash64(path, F.lit("first")), F.lit(TOKENS)).cast("int")
     other = F.pmod(first + 1 + F.pmod(F.xxhash64(path, F.lit("other")), F.lit(TOKENS - 1)).cast("int"), F.lit(TOKENS)).cast("int")
@@ -158,34 +161,48 @@ def _children(rows: DataFrame, tokens: DataFrame) -> DataFrame:
         return F.xxhash64(path, at, F.get("tokens", at))
 
     paths = F.when(both, F.array(child(first), child(other))).otherwise(F.array(child(first)))
-    return rows.join(tokens, "row").select(F.explode(paths).alias("path"), "row")
+    return rows.join(tokens, "row").select(F.explode(paths).alias("path"), "row", F.col("size").alias("parent"))
 
 
-def find_buckets(sets: DataFrame, runs: int, levels: int, leaf_rows: int, seed: int) -> DataFrame:
-    """leaf, row, size of the final buckets; sizes over ``leaf_rows`` are left only after the last level."""
+def find_buckets(sets: DataFrame, runs: int, levels: int, leaf_rows: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(leaf, row) of the small buckets, and (leaf, row) of the large ones that splitting does not take apart."""
     roots = F.array(*[F.xxhash64(F.lit(run), F.lit(at), F.get("tokens", F.lit(at))) for run, at in root_positions(runs, seed)])
-    level = _bucketed(sets.select(F.explode(roots).alias("path"), "row"), "paths-1")
-    found = []
+    level = _bucketed(sets.select(F.explode(roots).alias("path"), "row", F.lit(None).cast("long").alias("parent")), "paths-1")
+    small, whole = [], []
     for depth in range(2, levels + 2):
+        small.append(level.where(F.col("size") <= leaf_rows))
         large = level.where(F.col("size") > leaf_rows)
-        if depth > levels or large.isEmpty():
-            found.append(level)
+        stays = F.coalesce(F.col("size") >= STAYS_WHOLE * F.col("parent"), F.lit(False)) | F.lit(depth > levels)
+        whole.append(large.where(stays))
+        split = large.where(~stays)
+        if split.isEmpty():
             break
-        found.append(level.where(F.col("size") <= leaf_rows))
-        level = _bucketed(_children(large, sets.select("row", "tokens")), f"paths-{depth}")
-    leaves = found[0]
-    for more in found[1:]:
-        leaves = leaves.unionByName(more)
-    return leaves.select(F.col("path").alias("leaf"), "row", "size")
+        level = _bucketed(_children(split, sets.select("row", "tokens")), f"paths-{depth}")
+
+    def union(parts: list[DataFrame], label: str) -> DataFrame:
+        made = parts[0]
+        for more in parts[1:]:
+            made = made.unionByName(more)
+        return materialize(made.select(F.col("path").alias("leaf"), "row"), label)
+
+    return union(small, "small-buckets"), union(whole, "large-buckets")
+
+
+def find_families(large: DataFrame) -> DataFrame:
+    """row, family: large buckets that share sets belong to one family."""
+    if large.isEmpty():
+        return large.select("row", F.col("leaf").alias("family"))
+    heads = large.groupBy("leaf").agg(F.min("row").alias("v"))
+    return components(large.join(heads, "leaf").select(F.col("row").alias("u"), "v").distinct(), loops=True).select("row", F.col("label").alias("family"))
 
 
-def _blocked(leaves: DataFrame, leaf_rows: int, block_rows: int) -> DataFrame:
-    """leaf, row, a, b, block: buckets of up to ``leaf_rows`` as one block; larger ones once for each pair of blocks."""
-    blocks = F.when(F.col("size") > leaf_rows, F.ceil(F.col("size") / block_rows)).otherwise(1).cast("int")
+def _groups(small: DataFrame, families: DataFrame, block_rows: int) -> DataFrame:
+    """leaf, row, a, b, block: a small bucket is one group (a and b are -1), a family one for each pair of its blocks."""
+    whole = small.select("leaf", "row", F.lit(-1).alias("a"), F.lit(-1).alias("b"), F.lit(0).alias("block"))
+    sizes = families.groupBy("family").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("row", F.lit("block")), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return (leaves.withColumn("blocks", blocks).withColumn("block", block).withColumn("other", other)
-            .select("leaf", "row", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block"))
+    dealt = families.join(sizes, "family").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return whole.unionByName(dealt.select(F.col("family").alias("leaf"), "row", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block"))
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -229,7 +246,7 @@ def _likely_pairs(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.nd
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, TOKENS)
     block, a, b = (table.column(k).to_numpy() for k in ("block", "a", "b"))
     leaf, leaves = table.column("leaf").to_numpy(), table.column("leaves").combine_chunks()
-    ends, flat = leaves.offsets.to_numpy(), leaves.values.to_numpy()
+    ends, flat, family = leaves.offsets.to_numpy(), leaves.values.to_numpy(), table.column("family").to_numpy()
     bounds = _bounds(table, GROUP)
     group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     left, right = [], []
@@ -249,7 +266,9 @@ def _likely_pairs(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.nd
     cuts = np.searchsorted(group[left], np.arange(len(bounds)))
     for g in np.unique(group[left]):
         i, j = left[cuts[g]:cuts[g + 1]], right[cuts[g]:cuts[g + 1]]
-        own = _first_meeting(leaf[bounds[g]], bounds[g], bounds[g + 1], ends, flat, i, j)
+        own = np.ones(len(i), bool)
+        if a[bounds[g]] < 0:
+            own = ((family[i] != family[j]) | (family[i] < 0)) & _first_meeting(leaf[bounds[g]], bounds[g], bounds[g + 1], ends, flat, i, j)
         if own.any():
             yield int(bounds[g]), int(bounds[g + 1]), i[own], j[own]
 
@@ -340,12 +359,14 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"row": pa.array(rows[hit]), "links": pa.array(links[hit]), "root": pa.array(rows[[top(x) for x in hit]])})
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, loops: bool = False) -> DataFrame:
     """row, label: the smallest row of each connected component of edges (u, v), by least labels and pointer jumping.
 
-    Every round is written to the shared folder; labels that do not change any more end it.
+    Every round is written to the shared folder; labels that do not change any more end it. Nodes that
+    have an edge to themselves alone are left out, unless ``loops`` asks for them.
     """
-    both = materialize(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct(), "edges")
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = materialize((both if loops else both.where("u <> v")).distinct(), "edges")
     labels = materialize(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("row"), F.least("u", "v").alias("label")), "labels")
     while True:
         near = both.join(labels, both.v == labels.row).groupBy("u").agg(F.min("label").alias("near"))
@@ -374,16 +395,19 @@ def near_duplicates(documents: DataFrame, recall: float = RECALL, levels: int =
     sets = filled.groupBy(*KEY).agg(F.min("row").alias("row"), F.count("*").alias("copies"), F.min("tokens").alias("tokens"),
                                     F.min("sketch").alias("sketch"), F.min_by("doc_id", "row").alias("doc_id"))
     sets = materialize(sets, "shingle-sets")
-    leaves = materialize(find_buckets(sets, runs_needed(recall, levels), levels, leaf_rows, seed), "leaves")
-    lists = leaves.groupBy("row").agg(F.collect_list("leaf").alias("leaves"))  # as many as runs and levels make
-    facts = materialize(sets.select("row", "copies", "sketch", "doc_id", *KEY).join(lists, "row"), "bucketed-sets")
-    members = _blocked(leaves, leaf_rows, block_rows).join(facts.select("row", "sketch", "leaves"), "row")
+    small, large = find_buckets(sets, runs_needed(recall, levels), levels, leaf_rows, seed)
+    families = find_families(large)
+    lists = small.groupBy("row").agg(F.collect_list("leaf").alias("leaves"))  # as many as runs and levels make
+    facts = sets.select("row", "copies", "sketch", "doc_id", *KEY).join(lists, "row", "left").join(families, "row", "left").where("leaves is not null or family is not null")
+    empty = F.array().cast("array<long>")
+    facts = materialize(facts.withColumn("leaves", F.coalesce("leaves", empty)).withColumn("family", F.coalesce("family", F.lit(-1))), "bucketed-sets")
+    members = _groups(small, families, block_rows).join(facts.select("row", "sketch", "leaves", "family"), "row")
     dealt = members.repartition(*GROUP).sortWithinPartitions(*GROUP)
-    likely = materialize(dealt.select("leaf", "a", "b", "row", "block", "sketch", "leaves")
+    likely = materialize(dealt.select("leaf", "a", "b", "row", "block", "sketch", "leaves", "family")
                          .mapInArrow(_survivors, "leaf long, a int, b int, row long, block int"), "likely-members")
     wanted = materialize(facts.join(likely.select("row").distinct(), "row", "left_semi").select("row", "doc_id", *KEY), "likely-sets")
-    joined = likely.join(_shingle_sets(documents, wanted), "row").join(facts.select("row", "copies", "sketch", "leaves"), "row")
-    found = joined.repartition(*GROUP).sortWithinPartitions(*GROUP).select("leaf", "a", "b", "row", "block", "sketch", "leaves", "copies", "shingles")
+    joined = likely.join(_shingle_sets(documents, wanted), "row").join(facts.select("row", "copies", "sketch", "leaves", "family"), "row")
+    found = joined.repartition(*GROUP).sortWithinPartitions(*GROUP).select("leaf", "a", "b", "row", "block", "sketch", "leaves", "family", "copies", "shingles")
     found = materialize(found.mapInArrow(_links, "row long, links long, root long"), "links")
     labels = components(found.select(F.col("row").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("row").agg(F.sum("links").alias("links"))
