@@ -40,20 +40,19 @@ def trailing_months(df: DataFrame, keys: Sequence[str], at: str, anchor: Column,
     return df.where(inside(max(months))).groupBy(*keys).agg(*columns)
 
 
-MAX_LEVELS = 100
-
-
 def rollup_components(demand: DataFrame, bom: DataFrame, levels: int | None = None) -> DataFrame:
     """Push demand down a bill of materials level by level and total it per part.
 
     ``demand(part, need)``, ``bom(parent, child, qty)``. Each level aggregates before the next
     join, so the frontier never exceeds one row per part. Without ``levels`` it goes on until
-    no demand is left; a bill that still has some after ``MAX_LEVELS`` is circular and refused.
+    no demand is left, however deep the bill is; a path with more levels than there are parents goes in
+    a circle, and is refused.
     Each level is written once to the shared folder, so a lost executor costs one level.
     """
     frontier = demand.withColumn("depth", F.lit(0))
     total = frontier
-    for level in range(1, (levels or MAX_LEVELS) + 1):
+    most = bom.select("parent").distinct().count() if levels is None else levels
+    for level in range(1, most + 2 if levels is None else most + 1):
         frontier = (
             frontier.join(bom, F.col("part") == F.col("parent"))
             .groupBy(F.col("child").alias("part"))
@@ -66,7 +65,7 @@ def rollup_components(demand: DataFrame, bom: DataFrame, levels: int | None = No
         total = total.unionByName(frontier)
     else:
         if levels is None:
-            raise ValueError(f"the bill of materials is deeper than {MAX_LEVELS} levels")
+            raise ValueError("the bill of materials goes in a circle")
     return total.groupBy("part").agg(F.sum("need").alias("total_need"), F.max("depth").alias("deepest"))
 
 

@@ -158,8 +158,9 @@ def scd2_refresh(table: DataFrame, history: DataFrame, batch: DataFrame, keys: S
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
     """Row changes between two versions, with pre- and post-image of updates."""
     cols = old.columns
-    joined = old.select(*keys, F.struct(*cols).alias("__old")).join(
-        new.select(*keys, F.struct(*cols).alias("__new")), list(keys), "full")
+    left = old.select(*keys, F.struct(*cols).alias("__old"))
+    right, on = null_safe(left, new.select(*keys, F.struct(*cols).alias("__new")), keys)
+    joined = left.join(right, on, "full")
     image = lambda kind, side: F.struct(F.lit(kind).alias("kind"), F.col(side).alias("row"))
     events = (
         F.when(F.col("__old").isNull(), F.array(image("insert", "__new")))

@@ -22,10 +22,14 @@ WHOLE = -1  # chunk of keys that are not cut
 # Inputs below this size are never split: no task can get more than that.
 SMALL_BYTES_CONF = "spark.millrace.split.smallBytes"
 SMALL_BYTES = 256 << 20
-# A key is heavy above this share of all rows, so there are at most 1/share heavy keys.
+# A key is heavy above this share of all rows, so there are at most 1/share heavy keys. Where the input's
+# size is known, the share is lowered until it stands for HEAVY_BYTES: a light key then fits one task at any size.
 HEAVY_SHARE = 1.0 / 4096
+HEAVY_BYTES = 1 << 30
+# Inputs that are not files have no true size; their estimate lies above this.
+UNKNOWN_BYTES = 1 << 60
 TARGET_CHUNK_BYTES = 128 << 20
-MAX_CHUNKS = 1024
+MAX_CHUNKS = 8192
 
 
 def is_small(df: DataFrame) -> bool:
@@ -65,6 +69,11 @@ def order_number(df: DataFrame, name: str) -> Column:
         return F.unix_micros(F.col(name).cast("timestamp"))
     if isinstance(kind, T.NumericType):
         return F.col(name)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        # the first seven bytes as a number: never falls as the text rises; texts that share them stay in one chunk
+        return F.conv(F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int")
     raise TypeError(f"cannot cut groups along {name} of type {kind.simpleString()}")
 
 
@@ -106,8 +115,8 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[D
 class OrderedGroups:
     """Rows grouped by ``keys`` and ordered by ``order`` (ascending, ideally a total order).
 
-    The first order column must be a number, date or timestamp; groups are cut along it, so
-    rows that tie on it always stay together.
+    Groups are cut along the first order column (a number, date, timestamp, boolean, text or binary), so rows that
+    tie on it, or texts that share their first seven bytes, always stay together.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
@@ -129,7 +138,7 @@ class OrderedGroups:
             self.cuts = cut_points(df, number, n)
             self.df = df.withColumn(CHUNK, chunk_of(number, self.cuts))
             return
-        heavy = heavy_keys(df, self.keys, share)
+        heavy = heavy_keys(df, self.keys, min(share, HEAVY_BYTES / size) if size and size < UNKNOWN_BYTES else share)
         if heavy.isEmpty():
             return
         marks, on = null_safe(df, heavy.withColumn("__heavy", F.lit(True)), self.keys)

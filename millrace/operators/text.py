@@ -63,10 +63,17 @@ def annotate(df: DataFrame, key: str, text: str, model: Callable[[str], str], sh
     return parsed.withColumn("__item", F.explode("__items")).select(*df.columns, "__item.*")
 
 
+def with_last_turn(turns: DataFrame) -> DataFrame:
+    """Turns with the number and role of the last turn of their conversation (a combinable maximum, joined back)."""
+    last = turns.groupBy("conv_id").agg(F.max("turn").alias("last_turn"), F.max_by("role", "turn").alias("last_role"))
+    return turns.join(last, "conv_id")
+
+
 def conversation_segments(turns: DataFrame, size: int = SEGMENT_TURNS) -> DataFrame:
     """Ordered turns per conversation as an array, in segments of at most ``size`` turns.
 
-    Segments bound the row a long conversation would become; every turn is kept.
+    Segments bound the row a long conversation would become; every turn is kept. Whether a conversation
+    is used, and which of its turns, is for :func:`with_last_turn` to say before it is cut.
     """
     seg = F.floor(F.col("turn") / size).alias("segment")
     return turns.groupBy("conv_id", seg).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))

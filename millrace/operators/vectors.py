@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,42 +12,73 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.sampling import top_per_group
+from millrace.session import materialize
 
-MAX_QUERIES = 10_000
+#: Query vectors that one pass over the items compares; more queries take more passes.
+QUERIES_AT_ONCE = 10_000
+#: Rows times queries of one product, which bounds its memory.
+PRODUCT_CELLS = 4_000_000
 
 
-def query_matrix(queries: DataFrame, key: str, vector: str) -> tuple[list, np.ndarray]:
-    """Query keys and unit vectors on the driver; more than ``MAX_QUERIES`` is refused."""
-    rows = queries.select(key, vector).limit(MAX_QUERIES + 1).collect()
-    if len(rows) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors; search them in parts")
-    rows.sort(key=lambda r: r[0])
-    m = np.array([r[1] for r in rows], dtype="float64")
-    return [r[0] for r in rows], m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+def query_blocks(queries: DataFrame, key: str, vector: str) -> Iterator[tuple[list, np.ndarray]]:
+    """Query keys and unit vectors, a bounded block at a time on the driver."""
+    held: list = []
+
+    def block() -> tuple[list, np.ndarray]:
+        m = np.array([r[1] for r in held], dtype="float64")
+        return [r[0] for r in held], m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+    for row in queries.select(key, vector).orderBy(key).toLocalIterator():
+        held.append(row)
+        if len(held) == QUERIES_AT_ONCE:
+            yield block()
+            held = []
+    if held:
+        yield block()
 
 
 def nearest(items: DataFrame, item_id: str, vector: str, queries: DataFrame, query_id: str, query_vector: str, k: int) -> DataFrame:
-    """Exact ``k`` most similar items (cosine) per query.
+    """Exact ``k`` most similar items (cosine) per query; of equal ones the smaller ids.
 
-    Queries are a bounded matrix shipped to the tasks. Every Arrow batch is one matrix product
-    and keeps only its own best ``k`` per query, so a task sends little whatever it read.
+    Queries go to the tasks in blocks of bounded size. A task keeps the best ``k`` per query over all of its
+    items and sends them once, at its end; batches are cut so that no product exceeds ``PRODUCT_CELLS``.
     """
-    keys, matrix = query_matrix(queries, query_id, query_vector)
     schema = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(item_id, items.schema[item_id].dataType),
                            T.StructField("similarity", T.DoubleType())])
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if b.empty:
-                continue
-            v = np.stack(b[vector].to_numpy()).astype("float64")
-            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-            sims, ids = v @ matrix.T, b[item_id].to_numpy()
-            for j, key in enumerate(keys):
-                top = np.lexsort((ids, -sims[:, j]))[:k]
-                yield pd.DataFrame({query_id: [key] * len(top), item_id: ids[top], "similarity": sims[top, j]})
-
-    scored = items.select(item_id, vector).mapInPandas(best, schema)
+    def search(keys: list, matrix: np.ndarray) -> DataFrame:
+        step = max(1, PRODUCT_CELLS // len(keys))
+
+        def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, sims = None, np.full((len(keys), 0), -np.inf)
+            for b in batches:
+                for at in range(0, len(b), step):
+                    part = b.iloc[at:at + step]
+                    v = np.stack(part[vector].to_numpy()).astype("float64")
+                    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+                    new = np.broadcast_to(part[item_id].to_numpy(), (len(keys), len(part)))
+                    ids = new if ids is None else np.concatenate([ids, new], 1)
+                    sims = np.concatenate([sims, matrix @ v.T], 1)
+                    if sims.shape[1] > k:
+                        # all ties of the k-th value stay until ids decide
+                        edge = -np.partition(-sims, k - 1, axis=1)[:, k - 1:k]
+                        keep = max(k, int((sims >= edge).sum(1).max()))
+                        if keep < sims.shape[1]:
+                            top = np.argpartition(-sims, keep - 1, axis=1)[:, :keep]
+                            ids, sims = np.take_along_axis(ids, top, 1), np.take_along_axis(sims, top, 1)
+            if ids is not None:
+                order = np.lexsort((ids, -sims), axis=1)[:, :k]
+                ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
+                yield pd.DataFrame({query_id: np.repeat(np.array(keys), ids.shape[1]), item_id: ids.ravel(), "similarity": sims.ravel()})
+
+        return items.select(item_id, vector).mapInPandas(best, schema)
+
+    found = [search(*block) for block in query_blocks(queries, query_id, query_vector)]
+    if not found:
+        return items.sparkSession.createDataFrame([], schema)
+    scored = found[0]
+    for more in found[1:]:
+        scored = scored.unionByName(more)
     return top_per_group(scored, [query_id], [F.desc("similarity"), F.asc(item_id)], k)
 
 
@@ -68,22 +100,30 @@ def signatures(df: DataFrame, vector: str, dim: int, tables: int = 8, bits: int
     return df.select("*", F.posexplode(sign_codes(vector)).alias("table", "bucket"))
 
 
+#: Items that a bucket of the index should hold on average.
+BUCKET_ITEMS = 64
+
+
+def index_bits(items: int) -> int:
+    """Bits of a sign pattern so that buckets keep their size however many items there are."""
+    return min(30, max(3, round(math.log2(max(1, items) / BUCKET_ITEMS))))
+
+
 def nearest_approx(items: DataFrame, item_id: str, vector: str, queries: DataFrame, query_id: str, k: int, dim: int,
-                   tables: int = 8, bits: int = 12, seed: int = 7) -> DataFrame:
-    """Approximate neighbours: rescore exactly the items sharing a bucket with the query.
+                   tables: int = 8, bits: int | None = None, seed: int = 7) -> DataFrame:
+    """Approximate neighbours: rescore exactly the items sharing a bucket with the query, ``k`` for each query.
 
-    Queries also probe the buckets one bit away. The query side is bounded and broadcast, so a
-    full bucket stays spread over the tasks that hold its rows.
+    Queries also probe the buckets one bit away. ``bits`` follows the number of items unless given. Only ids and bucket
+    numbers meet in the join, which splits hot buckets; vectors join the distinct pairs afterwards. Queries
+    that find fewer than ``k`` items are searched exactly.
     """
-    if queries.limit(MAX_QUERIES + 1).count() > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors; search them in parts")
-    q = signatures(queries.select(F.col(query_id), F.col(vector).alias("qv")), "qv", dim, tables, bits, seed)
+    bits = bits or index_bits(items.count())
+    q = signatures(queries.select(F.col(query_id), F.col(vector).alias("qv")), "qv", dim, tables, bits, seed).drop("qv")
     flips = F.array(F.lit(0), *[F.lit(1 << b) for b in range(bits)])
     probes = q.withColumn("bucket", F.explode(F.transform(flips, lambda f: F.col("bucket").bitwiseXOR(f))))
-    index = signatures(items.select(item_id, F.col(vector).alias("iv")), "iv", dim, tables, bits, seed)
-    # an item found through several tables is scored once: the pair is kept as ids and vectors
-    pairs = index.join(F.broadcast(probes), ["table", "bucket"]).groupBy(query_id, item_id).agg(
-        F.any_value("qv").alias("qv"), F.any_value("iv").alias("iv"))
+    index = signatures(items.select(item_id, F.col(vector).alias("iv")), "iv", dim, tables, bits, seed).drop("iv")
+    pairs = index.join(probes, ["table", "bucket"]).select(query_id, item_id).distinct()
+    pairs = pairs.join(items.select(item_id, F.col(vector).alias("iv")), item_id).join(queries.select(query_id, F.col(vector).alias("qv")), query_id)
 
     @F.pandas_udf(T.DoubleType())
     def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -91,7 +131,12 @@ def nearest_approx(items: DataFrame, item_id: str, vector: str, queries: DataFra
         return pd.Series((x * y).sum(axis=1) / np.maximum(np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1), 1e-300))
 
     scored = pairs.select(query_id, item_id, cosine("qv", "iv").alias("similarity"))
-    return top_per_group(scored, [query_id], [F.desc("similarity"), F.asc(item_id)], k)
+    top = materialize(top_per_group(scored, [query_id], [F.desc("similarity"), F.asc(item_id)], k), "neighbours")
+    full = top.groupBy(query_id).count().where(F.col("count") >= k)
+    short = queries.join(full, query_id, "left_anti")
+    if short.isEmpty():
+        return top
+    return top.join(full, query_id, "left_semi").unionByName(nearest(items, item_id, vector, short, query_id, vector, k))
 
 
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:

@@ -24,9 +24,11 @@ def agg_distinct(t: Tables):
         F.count_distinct("user_id").alias("users"), F.count_distinct(F.to_date("ts")).alias("days"), F.count("*").alias("n"))
 
 
-@query("agg_approx_distinct")
+@query("agg_approx_distinct", sql="SELECT event_type, count(DISTINCT user_id) AS users, true AS estimate_close FROM events GROUP BY 1")
 def agg_approx_distinct(t: Tables):
-    return t.events.groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("users"))
+    # the estimate beside the exact count: within three of its standard errors
+    both = t.events.groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("guess"), F.count_distinct("user_id").alias("users"))
+    return both.select("event_type", "users", (F.abs(F.col("guess") - F.col("users")) <= 0.06 * F.col("users")).alias("estimate_close"))
 
 
 @query("agg_filter", sql="""
@@ -54,12 +56,13 @@ def agg_conditional(t: Tables):
 
 
 @query("agg_minby", sql="""
-SELECT user_id, arg_min(event_type, ts) AS first_type, arg_max(event_type, ts) AS last_type, arg_max(value, ts) AS last_value
+SELECT user_id, arg_min(event_type, (ts, event_id)) AS first_type, arg_max(event_type, (ts, event_id)) AS last_type, arg_max(value, (ts, event_id)) AS last_value
 FROM events GROUP BY 1""")
 def agg_minby(t: Tables):
+    at = F.struct("ts", "event_id")
     return t.events.groupBy("user_id").agg(
-        F.min_by("event_type", "ts").alias("first_type"), F.max_by("event_type", "ts").alias("last_type"),
-        F.max_by("value", "ts").alias("last_value"))
+        F.min_by("event_type", at).alias("first_type"), F.max_by("event_type", at).alias("last_type"),
+        F.max_by("value", at).alias("last_value"))
 
 
 @query("agg_first_det", sql="""
@@ -87,11 +90,17 @@ def agg_percentile(t: Tables):
     return out.select("event_type", rnd("p10", 6).alias("p10"), rnd("p50", 6).alias("p50"), rnd("p95", 6).alias("p95"), rnd("p50", 6).alias("med"))
 
 
-@query("agg_percentile_approx")
+@query("agg_percentile_approx", sql="SELECT event_type, count(value) AS n, true AS p10_close, true AS p50_close, true AS p95_close FROM events GROUP BY 1")
 def agg_percentile_approx(t: Tables):
-    return t.events.groupBy("event_type").agg(
-        F.percentile_approx("value", [0.1, 0.5, 0.95], 10000).alias("q")).select(
-        "event_type", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p95"))
+    # the estimates beside exact ranks: the share of values below each is within a thousandth of what it stands for
+    marks = {"p10": 0.1, "p50": 0.5, "p95": 0.95}
+    guess = t.events.groupBy("event_type").agg(F.percentile_approx("value", list(marks.values()), 10000).alias("q"))
+    below = [F.count_if(F.col("value") < F.col("q")[i]).alias(f"{m}_under") for i, m in enumerate(marks)]
+    upto = [F.count_if(F.col("value") <= F.col("q")[i]).alias(f"{m}_upto") for i, m in enumerate(marks)]
+    ranks = t.events.join(guess, "event_type").groupBy("event_type").agg(F.count("value").alias("n"), *below, *upto)
+    slack = 0.001 * F.col("n") + 1
+    return ranks.select("event_type", "n", *[((F.col(f"{m}_under") <= p * F.col("n") + slack) & (F.col(f"{m}_upto") >= p * F.col("n") - slack)).alias(f"{m}_close")
+                                            for m, p in marks.items()])
 
 
 @query("agg_grouping_sets", sql="""

@@ -134,12 +134,12 @@ def lift_by_group(t: Tables):
 
 @query("weeks_of_cover", sql=f"""
 WITH RECURSIVE {BOM}, walk AS (SELECT part, need, 0 AS depth FROM demand
- UNION ALL SELECT part, need, depth FROM (SELECT child AS part, sum(need * qty)::BIGINT AS need, depth + 1 AS depth FROM walk JOIN bom ON part = parent WHERE depth < 2 GROUP BY child, depth)),
+ UNION ALL SELECT part, need, depth FROM (SELECT child AS part, sum(need * qty)::BIGINT AS need, depth + 1 AS depth FROM walk JOIN bom ON part = parent GROUP BY child, depth)),
  n AS (SELECT part, sum(need)::BIGINT AS need FROM walk GROUP BY 1)
 SELECT p_partkey, need, (p_size * 100)::BIGINT AS on_hand, round(p_size * 100 / nullif(need / 52.0, 0), 4) AS weeks,
  CASE WHEN p_size * 100 / nullif(need / 52.0, 0) < 10 THEN 'critical' WHEN p_size * 100 / nullif(need / 52.0, 0) < 40 THEN 'low' ELSE 'fine' END AS status FROM part JOIN n ON p_partkey = part""")
 def weeks_of_cover(t: Tables):
-    need = rollup_components(part_demand(t), bill_of_materials(t), levels=2).select("part", F.col("total_need").alias("need"))
+    need = rollup_components(part_demand(t), bill_of_materials(t)).select("part", F.col("total_need").alias("need"))
     stock = t.part.select("p_partkey", (F.col("p_size") * 100).cast("long").alias("on_hand"))
     weeks = F.try_divide(F.col("on_hand"), F.col("need") / 52.0)
     return stock.join(need, F.col("p_partkey") == F.col("part")).select(

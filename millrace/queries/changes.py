@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from millrace.operators import cdc
 from millrace.queries.registry import Tables, day, query, rnd
 
-# Accounts: state of each customer after orders before 2000; the feed is what came later.
+# Accounts: state of each customer after the orders before one date; the updates are all orders from that date on.
 BASE = """
 acc AS (SELECT o_custkey AS id, arg_max(o_orderstatus, o_orderkey) AS status, arg_max(o_totalprice, o_orderkey) AS amount FROM orders
-  WHERE o_orderdate < TIMESTAMP '1996-06-01' GROUP BY 1),
+  WHERE o_orderdate < TIMESTAMP '2000-01-01' GROUP BY 1),
  upd AS (SELECT o_custkey AS id, arg_max(o_orderstatus, o_orderkey) AS status, arg_max(o_totalprice, o_orderkey) AS amount FROM orders
-  WHERE o_orderdate >= TIMESTAMP '2001-03-01' GROUP BY 1)"""
+  WHERE o_orderdate >= TIMESTAMP '2000-01-01' GROUP BY 1)"""
 
 
 def accounts(t: Tables, where: str):
@@ -21,11 +21,11 @@ def accounts(t: Tables, where: str):
 
 
 def base(t):
-    return accounts(t, "o_orderdate < '1996-06-01'")
+    return accounts(t, "o_orderdate < '2000-01-01'")
 
 
 def updates(t):
-    return accounts(t, "o_orderdate >= '2001-03-01'")
+    return accounts(t, "o_orderdate >= '2000-01-01'")
 
 
 @query("merge_upsert", sql=f"""

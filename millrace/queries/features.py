@@ -105,24 +105,24 @@ def feat_consolidate(t: Tables):
 
 
 @query("feat_c360", sql="""
-WITH o AS (SELECT o_custkey, count(*) AS order_count, round(sum(o_totalprice), 2) AS total_amount, count(DISTINCT o_orderpriority) AS kinds,
-  max(o_orderdate) AS last_order FROM orders WHERE o_totalprice > 1000 GROUP BY 1),
- e AS (SELECT user_id, count(*) AS event_count, count(DISTINCT CAST(ts AS DATE)) AS active_days, arg_min(event_type, ts) AS first_type, max(ts) AS last_event FROM events GROUP BY 1)
-SELECT c_custkey, lower(c_mktsegment) AS segment, order_count, total_amount, kinds, event_count, active_days, first_type,
- date_diff('day', CAST(last_order AS DATE), DATE '2024-02-01')::INTEGER AS days_since_order, date_diff('day', CAST(last_event AS DATE), DATE '2024-02-01')::INTEGER AS days_since_event
+WITH o AS (SELECT o_custkey, count(*) AS bought, round(sum(o_totalprice), 2) AS spent, count(DISTINCT o_orderpriority) AS priorities,
+  max(o_orderdate) AS newest FROM orders WHERE o_totalprice > 1000 GROUP BY 1),
+ e AS (SELECT user_id, count(*) AS visits, count(DISTINCT CAST(ts AS DATE)) AS visit_days, arg_min(event_type, (ts, event_id)) AS entered_by, max(ts) AS latest FROM events GROUP BY 1)
+SELECT c_custkey, lower(c_mktsegment) AS segment, bought, spent, priorities, visits, visit_days, entered_by,
+ date_diff('day', CAST(newest AS DATE), DATE '2024-02-01')::INTEGER AS order_age_days, date_diff('day', CAST(latest AS DATE), DATE '2024-02-01')::INTEGER AS visit_age_days
 FROM customer JOIN o ON c_custkey = o_custkey JOIN e ON c_custkey = user_id""")
 def feat_c360(t: Tables):
     clean = drop_failed(t.orders, [Rule("real_amount", "o_totalprice > 1000", "drop")])
     o = clean.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count("*").alias("order_count"), rnd(F.sum("o_totalprice"), 2).alias("total_amount"),
-        F.count_distinct("o_orderpriority").alias("kinds"), F.max("o_orderdate").alias("last_order"))
+        F.count("*").alias("bought"), rnd(F.sum("o_totalprice"), 2).alias("spent"),
+        F.count_distinct("o_orderpriority").alias("priorities"), F.max("o_orderdate").alias("newest"))
     e = t.events.groupBy(F.col("user_id").alias("c_custkey")).agg(
-        F.count("*").alias("event_count"), F.count_distinct(F.to_date("ts")).alias("active_days"),
-        F.min_by("event_type", "ts").alias("first_type"), F.max("ts").alias("last_event"))
+        F.count("*").alias("visits"), F.count_distinct(F.to_date("ts")).alias("visit_days"),
+        F.min_by("event_type", F.struct("ts", "event_id")).alias("entered_by"), F.max("ts").alias("latest"))
     as_of = F.to_date(F.lit("2024-02-01"))
     return t.customer.join(o, "c_custkey").join(e, "c_custkey").select(
-        "c_custkey", F.lower("c_mktsegment").alias("segment"), "order_count", "total_amount", "kinds", "event_count", "active_days", "first_type",
-        F.datediff(as_of, F.to_date("last_order")).alias("days_since_order"), F.datediff(as_of, F.to_date("last_event")).alias("days_since_event"))
+        "c_custkey", F.lower("c_mktsegment").alias("segment"), "bought", "spent", "priorities", "visits", "visit_days", "entered_by",
+        F.datediff(as_of, F.to_date("newest")).alias("order_age_days"), F.datediff(as_of, F.to_date("latest")).alias("visit_age_days"))
 
 
 @query("feat_count_flags", sql="""

@@ -229,7 +229,9 @@ def table_copy_verify(t: Tables):
     return copy_and_verify(t.spark, {n: getattr(t, n) for n in names}, work_dir(t.spark, "copy-tables"))
 
 
-@query("mark_and_skip")
+@query("mark_and_skip", sql="""
+SELECT event_id, user_id, CASE WHEN ('0x' || substr(md5(event_id::VARCHAR || 'queue'), 1, 15))::BIGINT % 100 < 10 OR event_type = 'error' THEN 'to_process' ELSE 'skipped' END AS status
+FROM events""")
 def mark_and_skip(t: Tables):
     """Requests without a status: a sample and all with feedback are processed, the rest skipped."""
     from millrace.functions.columns import hash_bucket

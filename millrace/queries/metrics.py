@@ -1,113 +1,115 @@
-"""Metric views over orders, customers and events."""
+"""Metric views over shipped lines and events."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from millrace.plans.metric_view import MetricView
-from millrace.queries.registry import Tables, ntz, query, rnd
+from millrace.queries.registry import Tables, query, rnd
 
-ORDERS_VIEW = MetricView.from_yaml("""
-source: orders
-filter: o_orderdate > '1995-06-01'
+SHIPMENTS = MetricView.from_yaml("""
+source: lineitem
+filter: l_quantity >= 2
 joins:
-  - name: customer
-    source: customer
-    on: source.o_custkey = customer.c_custkey
-  - name: nation
+  - name: maker
+    source: supplier
+    on: source.l_suppkey = maker.s_suppkey
+  - name: land
     source: nation
-    on: customer.c_nationkey = nation.n_nationkey
+    on: maker.s_nationkey = land.n_nationkey
+  - name: item
+    source: part
+    on: source.l_partkey = item.p_partkey
 dimensions:
-  - {name: Segment, expr: customer.c_mktsegment}
-  - {name: Nation, expr: nation.n_name}
-  - {name: Status, expr: "CASE o_orderstatus WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Processing' WHEN 'F' THEN 'Fulfilled' END"}
-  - {name: Month, expr: "CAST(date_trunc('month', o_orderdate) AS timestamp_ntz)"}
-  - {name: Priority, expr: "split(o_orderpriority, '-')[1]"}
+  - {name: Land, expr: land.n_name}
+  - {name: Brand, expr: item.p_brand}
+  - {name: Return code, expr: l_returnflag}
+  - {name: Lot, expr: "CASE WHEN l_quantity < 10 THEN 'small' WHEN l_quantity < 30 THEN 'middle' ELSE 'bulk' END"}
+  - {name: Quarter, expr: "CAST(date_trunc('quarter', l_shipdate) AS timestamp_ntz)"}
 measures:
-  - {name: Orders, expr: count(*)}
-  - {name: Revenue, expr: sum(o_totalprice)}
-  - {name: Customers, expr: count(DISTINCT o_custkey)}
-  - {name: Revenue per customer, expr: sum(o_totalprice) / count(DISTINCT o_custkey)}
-  - {name: Average order, expr: "MEASURE(Revenue) / MEASURE(Orders)"}
-  - {name: Fulfilled orders, expr: "count(*) FILTER (WHERE `Status` = 'Fulfilled')"}
-  - {name: Fulfilled share, expr: "MEASURE(`Fulfilled orders`) / MEASURE(Orders)"}
-  - name: Previous month
-    expr: sum(o_totalprice)
-    window: [{order: Month, range: trailing 1 month, semiadditive: last}]
-  - name: Current month
-    expr: sum(o_totalprice)
-    window: [{order: Month, range: current, semiadditive: last}]
-  - {name: Change, expr: "MEASURE(`Current month`) - MEASURE(`Previous month`)"}
-  - name: Customers trailing quarter
-    expr: count(DISTINCT o_custkey)
-    window: [{order: Month, range: trailing 3 month, semiadditive: last}]
+  - {name: Lines, expr: count(*)}
+  - {name: Net value, expr: sum(l_extendedprice * (1 - l_discount))}
+  - {name: Pieces, expr: sum(l_quantity)}
+  - {name: Parts, expr: count(DISTINCT l_partkey)}
+  - {name: Pieces per part, expr: sum(l_quantity) / count(DISTINCT l_partkey)}
+  - {name: Net per piece, expr: "MEASURE(`Net value`) / MEASURE(Pieces)"}
+  - {name: Sent back, expr: "sum(l_quantity) FILTER (WHERE `Return code` = 'R')"}
+  - {name: Sent back share, expr: "MEASURE(`Sent back`) / MEASURE(Pieces)"}
+  - name: Pieces two quarters before
+    expr: sum(l_quantity)
+    window: [{order: Quarter, range: trailing 6 month, semiadditive: last}]
+  - name: Pieces now
+    expr: sum(l_quantity)
+    window: [{order: Quarter, range: current, semiadditive: last}]
+  - {name: Against half-year mean, expr: "MEASURE(`Pieces now`) - MEASURE(`Pieces two quarters before`) / 2"}
+  - name: Parts in half a year
+    expr: count(DISTINCT l_partkey)
+    window: [{order: Quarter, range: trailing 6 month, semiadditive: last}]
 """)
 
 
 def ask(t: Tables, dims, measures, where=None):
-    return ORDERS_VIEW.query(lambda name: getattr(t, name), dims, measures, where)
+    return SHIPMENTS.query(lambda name: getattr(t, name), dims, measures, where)
 
 
-@query("metric_basic", sql="""
-SELECT CASE o_orderstatus WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Processing' WHEN 'F' THEN 'Fulfilled' END AS status, count(*) AS orders,
- round(sum(o_totalprice), 2) AS revenue FROM orders WHERE o_orderdate > TIMESTAMP '1995-06-01' GROUP BY 1""")
+LOT = "CASE WHEN l_quantity < 10 THEN 'small' WHEN l_quantity < 30 THEN 'middle' ELSE 'bulk' END"
+
+
+@query("metric_basic", sql=f"""
+SELECT {LOT} AS lot, count(*) AS lines, round(sum(l_extendedprice * (1 - l_discount)), 2) AS net FROM lineitem WHERE l_quantity >= 2 GROUP BY 1""")
 def metric_basic(t: Tables):
-    return ask(t, ["Status"], ["Orders", "Revenue"]).select(
-        F.col("Status").alias("status"), F.col("Orders").alias("orders"), rnd("Revenue", 2).alias("revenue"))
+    return ask(t, ["Lot"], ["Lines", "Net value"]).select(F.col("Lot").alias("lot"), F.col("Lines").alias("lines"), rnd("Net value", 2).alias("net"))
 
 
 @query("metric_join", sql="""
-SELECT n_name AS nation, c_mktsegment AS segment, count(DISTINCT o_custkey) AS customers, round(sum(o_totalprice) / count(DISTINCT o_custkey), 6) AS per_customer
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderdate > TIMESTAMP '1995-06-01' GROUP BY 1, 2""")
+SELECT n_name AS land, p_brand AS brand, count(DISTINCT l_partkey) AS parts, round(sum(l_quantity) / count(DISTINCT l_partkey), 6) AS per_part
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 2 GROUP BY 1, 2""")
 def metric_join(t: Tables):
-    return ask(t, ["Nation", "Segment"], ["Customers", "Revenue per customer"]).select(
-        F.col("Nation").alias("nation"), F.col("Segment").alias("segment"), F.col("Customers").alias("customers"),
-        rnd("Revenue per customer", 6).alias("per_customer"))
+    return ask(t, ["Land", "Brand"], ["Parts", "Pieces per part"]).select(
+        F.col("Land").alias("land"), F.col("Brand").alias("brand"), F.col("Parts").alias("parts"), rnd("Pieces per part", 6).alias("per_part"))
 
 
 @query("metric_composed", sql="""
-SELECT split_part(o_orderpriority, '-', 2) AS priority, round(sum(o_totalprice) / count(*), 4) AS average_order,
- round(count(*) FILTER (WHERE o_orderstatus = 'F') / count(*), 6) AS fulfilled_share FROM orders WHERE o_orderdate > TIMESTAMP '1995-06-01' GROUP BY 1""")
+SELECT n_name AS land, round(sum(l_extendedprice * (1 - l_discount)) / sum(l_quantity), 4) AS net_per_piece,
+ round(sum(l_quantity) FILTER (WHERE l_returnflag = 'R') / sum(l_quantity), 6) AS sent_back_share
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_quantity >= 2 GROUP BY 1""")
 def metric_composed(t: Tables):
-    return ask(t, ["Priority"], ["Average order", "Fulfilled share"]).select(
-        F.col("Priority").alias("priority"), rnd("Average order").alias("average_order"), rnd("Fulfilled share", 6).alias("fulfilled_share"))
+    return ask(t, ["Land"], ["Net per piece", "Sent back share"]).select(
+        F.col("Land").alias("land"), rnd("Net per piece").alias("net_per_piece"), rnd("Sent back share", 6).alias("sent_back_share"))
 
 
-@query("metric_filtered", sql="""
-SELECT c_mktsegment AS segment, count(*) FILTER (WHERE o_orderstatus = 'F') AS fulfilled FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE o_orderdate > TIMESTAMP '1995-06-01' GROUP BY 1""")
+@query("metric_filtered", sql=f"""
+SELECT {LOT} AS lot, sum(l_quantity) FILTER (WHERE l_returnflag = 'R') AS sent_back FROM lineitem WHERE l_quantity >= 2 GROUP BY 1""")
 def metric_filtered(t: Tables):
-    return ask(t, ["Segment"], ["Fulfilled orders"]).select(F.col("Segment").alias("segment"), F.col("Fulfilled orders").alias("fulfilled"))
+    return ask(t, ["Lot"], ["Sent back"]).select(F.col("Lot").alias("lot"), F.col("Sent back").alias("sent_back"))
 
 
 @query("metric_trailing", sql="""
-WITH m AS (SELECT c_mktsegment AS segment, date_trunc('month', o_orderdate)::TIMESTAMP AS month, sum(o_totalprice) AS v FROM orders JOIN customer ON o_custkey = c_custkey
- WHERE o_orderdate > TIMESTAMP '1995-06-01' GROUP BY 1, 2)
-SELECT a.segment, a.month, round(a.v, 2) AS current_month, round(b.v, 2) AS previous_month, round(a.v - b.v, 2) AS change
-FROM m a LEFT JOIN m b ON a.segment = b.segment AND b.month = a.month - INTERVAL 1 MONTH""")
+WITH q AS (SELECT l_returnflag AS code, date_trunc('quarter', l_shipdate)::TIMESTAMP AS quarter, sum(l_quantity) AS v FROM lineitem WHERE l_quantity >= 2 GROUP BY 1, 2),
+ h AS (SELECT a.code, a.quarter, any_value(a.v) AS now, sum(b.v) AS half FROM q a LEFT JOIN q b ON a.code = b.code AND b.quarter >= a.quarter - INTERVAL 6 MONTH AND b.quarter < a.quarter GROUP BY 1, 2)
+SELECT code, quarter, now, half, round(now - half / 2, 4) AS against_mean FROM h""")
 def metric_trailing(t: Tables):
-    return ask(t, ["Segment", "Month"], ["Current month", "Previous month", "Change"]).select(
-        F.col("Segment").alias("segment"), F.col("Month").alias("month"), rnd("Current month", 2).alias("current_month"),
-        rnd("Previous month", 2).alias("previous_month"), rnd("Change", 2).alias("change"))
+    return ask(t, ["Return code", "Quarter"], ["Pieces now", "Pieces two quarters before", "Against half-year mean"]).select(
+        F.col("Return code").alias("code"), F.col("Quarter").alias("quarter"), F.col("Pieces now").alias("now"),
+        F.col("Pieces two quarters before").alias("half"), rnd("Against half-year mean").alias("against_mean"))
 
 
 @query("metric_distinct_trailing", sql="""
-WITH o AS (SELECT o_custkey, date_trunc('month', o_orderdate)::TIMESTAMP AS month FROM orders WHERE o_orderdate > TIMESTAMP '1995-06-01'),
- a AS (SELECT DISTINCT month FROM o)
-SELECT a.month, CASE WHEN count(o_custkey) > 0 THEN count(DISTINCT o_custkey) END AS customers FROM a LEFT JOIN o ON o.month >= a.month - INTERVAL 3 MONTH AND o.month < a.month GROUP BY 1""")
+WITH l AS (SELECT l_partkey, date_trunc('quarter', l_shipdate)::TIMESTAMP AS quarter FROM lineitem WHERE l_quantity >= 2), a AS (SELECT DISTINCT quarter FROM l)
+SELECT a.quarter, CASE WHEN count(l_partkey) > 0 THEN count(DISTINCT l_partkey) END AS parts
+FROM a LEFT JOIN l ON l.quarter >= a.quarter - INTERVAL 6 MONTH AND l.quarter < a.quarter GROUP BY 1""")
 def metric_distinct_trailing(t: Tables):
-    return ask(t, ["Month"], ["Customers trailing quarter"]).select(
-        F.col("Month").alias("month"), F.col("Customers trailing quarter").alias("customers"))
+    return ask(t, ["Quarter"], ["Parts in half a year"]).select(F.col("Quarter").alias("quarter"), F.col("Parts in half a year").alias("parts"))
 
 
-@query("metric_query", sql="""
-SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS month, c_mktsegment AS segment, count(*) AS orders, round(sum(o_totalprice), 2) AS revenue
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate > TIMESTAMP '1995-06-01' AND o_orderstatus = 'O'
- AND c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY ALL ORDER BY 1, 2""")
+@query("metric_query", sql=f"""
+SELECT date_trunc('quarter', l_shipdate)::TIMESTAMP AS quarter, n_name AS land, count(*) AS lines, round(sum(l_extendedprice * (1 - l_discount)), 2) AS net
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+WHERE l_quantity >= 2 AND {LOT} = 'bulk' AND n_name IN ('NATION_3', 'NATION_7', 'NATION_12') GROUP BY ALL ORDER BY 1, 2""")
 def metric_query(t: Tables):
-    rows = ask(t, ["Month", "Segment"], ["Orders", "Revenue"], "`Status` = 'Open' AND `Segment` IN ('BUILDING', 'MACHINERY')")
-    return rows.select(F.col("Month").alias("month"), F.col("Segment").alias("segment"), F.col("Orders").alias("orders"),
-                       rnd("Revenue", 2).alias("revenue")).orderBy("month", "segment")
+    rows = ask(t, ["Quarter", "Land"], ["Lines", "Net value"], "`Lot` = 'bulk' AND `Land` IN ('NATION_3', 'NATION_7', 'NATION_12')")
+    return rows.select(F.col("Quarter").alias("quarter"), F.col("Land").alias("land"), F.col("Lines").alias("lines"),
+                       rnd("Net value", 2).alias("net")).orderBy("quarter", "land")
 
 
 CAMPAIGN = MetricView.from_yaml("""

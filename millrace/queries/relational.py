@@ -226,8 +226,10 @@ SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey, f.l_shipdate, f.l
 def join_interval(t: Tables):
     facts = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", F.col("o_custkey").alias("pk"))
-    joined = interval_join(facts, price_list(t), ["pk"], "l_shipdate", "price_start", "price_end", 180 * 86400)
-    return joined.drop("price_start", "price_end")
+    # a customer's prices follow each other without overlap, so the last start at or before the date decides
+    joined = asof_join(facts, price_list(t), ["pk"], "l_shipdate", "price_start", ["price", "price_end"])
+    inside = F.col("matched_price_start").isNotNull() & (F.col("price_end").isNull() | (F.col("l_shipdate") < F.col("price_end")))
+    return joined.where(inside).drop("matched_price_start", "price_end")
 
 
 @query("join_theta_bucketed", sql="""
@@ -370,9 +372,9 @@ def part_demand(t: Tables):
 WITH RECURSIVE {BOM}, walk AS (
  SELECT part, need, 0 AS depth FROM demand
  UNION ALL SELECT part, need, depth FROM (SELECT child AS part, sum(need * qty)::BIGINT AS need, depth + 1 AS depth
-   FROM walk JOIN bom ON part = parent WHERE depth < 4 GROUP BY child, depth))
+   FROM walk JOIN bom ON part = parent GROUP BY child, depth))
 SELECT part, sum(need)::BIGINT AS total_need, max(depth)::INTEGER AS deepest FROM walk GROUP BY part""")
 def bom_rollup(t: Tables):
     from millrace.operators.aggregates import rollup_components
 
-    return rollup_components(part_demand(t), bill_of_materials(t), levels=4)
+    return rollup_components(part_demand(t), bill_of_materials(t))

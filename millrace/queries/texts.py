@@ -64,10 +64,14 @@ def vector_topk(t: Tables):
     return out.withColumn("similarity", rnd("similarity", 6))
 
 
-@query("vector_ann")
+@query("vector_ann", sql="SELECT DISTINCT label AS query_label, 10::BIGINT AS found, true AS recall_reached FROM embeddings")
 def vector_ann(t: Tables):
+    """Rows found by the index for each query, and whether all but one of the exact neighbours are among them."""
     asks = vectors.centroids(t.embeddings, "label", "embedding").select(F.col("label").alias("query_label"), F.col("center").alias("embedding"))
-    return vectors.nearest_approx(t.embeddings, "vec_id", "embedding", asks, "query_label", 10, 64).withColumn("similarity", rnd("similarity", 6))
+    found = vectors.nearest_approx(t.embeddings, "vec_id", "embedding", asks, "query_label", 10, 64).select("query_label", "vec_id", F.lit(1).alias("hit"))
+    exact = vectors.nearest(t.embeddings, "vec_id", "embedding", asks, "query_label", "embedding", 10).select("query_label", "vec_id", F.lit(1).alias("true"))
+    both = found.join(exact, ["query_label", "vec_id"], "full").groupBy("query_label")
+    return both.agg(F.count("hit").alias("found"), (F.count_if(F.col("hit") + F.col("true") == 2) >= 9).alias("recall_reached"))
 
 
 @query("text_similarity", sql=r"""
@@ -139,24 +143,25 @@ def sample_per_hour(t: Tables):
 
 
 @query("chat_dataset", sql=f"""
-WITH {SEGMENTS} SELECT conv_id, segment, n::INTEGER AS turns, roles,
- CASE WHEN ('0x' || substr(md5(conv_id::VARCHAR || 'chat'), 1, 15))::BIGINT % 10 < 9 THEN 'train' ELSE 'eval' END AS part FROM seg
- WHERE last_role = 'assistant'""")
+WITH {SEGMENTS}, whole AS (SELECT conv_id, arg_max(role, turn) AS closing FROM conversations GROUP BY 1)
+SELECT conv_id, segment, n::INTEGER AS turns, roles,
+ CASE WHEN ('0x' || substr(md5(conv_id::VARCHAR || 'chat'), 1, 15))::BIGINT % 10 < 9 THEN 'train' ELSE 'eval' END AS part FROM seg JOIN whole USING (conv_id)
+ WHERE closing = 'assistant'""")
 def chat_dataset(t: Tables):
-    seg = jobs.conversation_segments(t.conversations)
+    # training conversations end with the answer to learn; long ones are kept whole, in segments
+    full = jobs.conversation_segments(jobs.with_last_turn(t.conversations).where("last_role = 'assistant'"))
     part = F.when(hash_bucket(F.col("conv_id"), 10, "chat") < 9, "train").otherwise("eval")
-    # training examples end with the answer to learn
-    full = seg.where(F.element_at("turns", -1)["role"] == "assistant").withColumn("part", part)
+    full = full.withColumn("part", part)
     return full.select("conv_id", "segment", F.size("turns").alias("turns"), F.array_join(F.col("turns.role"), ",").alias("roles"), "part")
 
 
 @query("chat_eval_prompts", sql="""
-WITH l AS (SELECT conv_id, turn // 1000 AS segment, max(turn) AS last FROM conversations GROUP BY 1, 2)
-SELECT c.conv_id, segment, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS prompt FROM conversations c JOIN l ON c.conv_id = l.conv_id AND c.turn // 1000 = segment AND turn < last GROUP BY 1, 2""")
+WITH l AS (SELECT conv_id, max(turn) AS last FROM conversations GROUP BY 1)
+SELECT c.conv_id, turn // 1000 AS segment, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS prompt FROM conversations c JOIN l ON c.conv_id = l.conv_id AND turn < last GROUP BY 1, 2""")
 def chat_eval_prompts(t: Tables):
-    seg = jobs.conversation_segments(t.conversations).where(F.size("turns") > 1)
-    asked = F.slice("turns", 1, F.size("turns") - 1)
-    return seg.select("conv_id", "segment", F.array_join(F.transform(asked, lambda x: F.concat(x["role"], F.lit(": "), x["text"])), "\n").alias("prompt"))
+    # only the conversation's last turn is left out
+    seg = jobs.conversation_segments(jobs.with_last_turn(t.conversations).where("turn < last_turn"))
+    return seg.select("conv_id", "segment", F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit(": "), x["text"])), "\n").alias("prompt"))
 
 
 @query("assessment_merge", sql="""

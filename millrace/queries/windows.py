@@ -22,10 +22,10 @@ def win_latest(t: Tables):
 
 @query("win_qualify", sql="""
 SELECT user_id, event_id, event_type, ts FROM events WHERE event_type <> 'error'
-QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def win_qualify(t: Tables):
     live = t.events.where("event_type <> 'error'").select("user_id", "event_id", "event_type", "ts")
-    return top_per_group(live, ["user_id", "event_type"], [F.desc("ts")], 1)
+    return top_per_group(live, ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")], 1)
 
 
 @query("win_rank", sql="""
@@ -170,7 +170,8 @@ def topk(t: Tables):
     return t.orders.select("o_orderkey", "o_custkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25)
 
 
-@query("sample_seeded")
+@query("sample_seeded", sql="""
+SELECT o_orderkey, o_totalprice FROM orders WHERE ('0x' || substr(md5(o_orderkey::VARCHAR || 'seed-7'), 1, 15))::BIGINT % 1000000 < 100000""")
 def sample_seeded(t: Tables):
     return sample_share(t.orders, F.col("o_orderkey"), 0.1, "seed-7").select("o_orderkey", "o_totalprice")
 

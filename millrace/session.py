@@ -21,6 +21,7 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.driver.memory", os.environ.get("MILLRACE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,6 +40,8 @@ def shared_root(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="millrace-")
     spark.sparkContext.setCheckpointDir(root)
     return shared_root(spark)

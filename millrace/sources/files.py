@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -176,13 +177,27 @@ def plain_path(column: str) -> Column:
     return F.regexp_replace(column, "^file:/+", "/")
 
 
+def decoded_path(column: str) -> Column:
+    """The plain path behind ``_metadata.file_path``, which is URL-encoded but for plus signs."""
+    return plain_path(F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B"))))
+
+
+#: File names that one reader call is given.
+PATHS_AT_ONCE = 10_000
+
+
+def exactly(path: str) -> str:
+    """A path that readers take as it is, not as a pattern."""
+    return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
+
+
 def copy_into(spark: SparkSession, source: str, target: str, format: str, schema: T.StructType | str, **options) -> int:
     """Append files whose path was not loaded before; safe to run again. Returns the files loaded.
 
     The list of new paths is saved first, then the rows, and last the load is committed to the
     log. Readers (:func:`loaded`) only see committed loads, so a crash leaves nothing half done.
     """
-    picked = {k: v for k, v in options.items() if k == "pathGlobFilter"}
+    picked = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup")}
     # only paths are selected, so file contents are not read here
     listing = spark.read.format("binaryFile").options(**picked).load(source).select("path")
     log, load = f"{target}/_loaded", os.path.basename(work_dir(spark, "load"))
@@ -192,18 +207,25 @@ def copy_into(spark: SparkSession, source: str, target: str, format: str, schema
     pending = f"{target}/_pending/{load}"
     listing.withColumn("load", F.lit(load)).write.parquet(pending)
     fresh = spark.read.schema(LOADED).parquet(pending)
-    count = fresh.count()
-    if count:
-        rows = spark.read.format(format).schema(schema).options(**options).load(source).withColumn("__path", plain_path("_metadata.file_path"))
-        rows.join(fresh.select(plain_path("path").alias("__path")), "__path", "left_semi").drop("__path").write.parquet(f"{target}/load={load}")
+    names = [r.path for r in fresh.select("path").toLocalIterator()]  # the files of one load
+    for at in range(0, len(names), PATHS_AT_ONCE):
+        # only new files are opened, whatever was loaded before
+        rows = spark.read.format(format).schema(schema).options(**options).load([exactly(n) for n in names[at:at + PATHS_AT_ONCE]])
+        rows = rows.withColumn("__path", decoded_path("_metadata.file_path"))
+        rows.write.mode("append").parquet(f"{target}/load={load}")
+    if names:
+        found = spark.read.parquet(f"{target}/load={load}").select("__path").distinct()
+        strange = found.join(fresh.select(plain_path("path").alias("__path")), "__path", "left_anti").count()
+        if strange:
+            raise ValueError(f"{strange} files were read that are not in the load")
         fresh.write.mode("append").parquet(log)
-    return count
+    return len(names)
 
 
 def loaded(spark: SparkSession, target: str) -> DataFrame:
     """Rows of committed loads."""
     committed = spark.read.schema(LOADED).parquet(f"{target}/_loaded").select("load").distinct()
-    return spark.read.parquet(target).join(committed, "load", "left_semi").drop("load")
+    return spark.read.parquet(target).join(committed, "load", "left_semi").drop("load", "__path")
 
 
 def export_by_key(df: DataFrame, key: str, path: str, format: str = "json", files_per_key: int = 1) -> DataFrame:

@@ -156,3 +156,23 @@ def test_constraint_report(spark):
     child = spark.createDataFrame([(1, 10), (1, None), (2, 99)], "id long, parent long")
     got = cdc.constraint_report(child, {"small": "parent < 50"}, ["parent"], ["id"], {"fk": ("parent", spark.createDataFrame([(10,)], "p long"), "p")})
     assert dict(map(tuple, got.collect())) == {"check:small": 1, "not_null:parent": 1, "primary_key:id": 1, "foreign_key:fk": 1}
+
+
+def test_change_feed_matches_null_keys(spark):
+    old = spark.createDataFrame([(None, 1), (1, 1), (2, 5)], "id int, v int")
+    new = spark.createDataFrame([(None, 1), (1, 2)], "id int, v int")
+    rows = cdc.change_feed(old, new, ["id"], 1).collect()
+    assert sorted((r.id, r.v, r._change_type) for r in rows) == [(1, 1, "update_preimage"), (1, 2, "update_postimage"), (2, 5, "delete")]
+
+
+def test_bill_of_any_depth_and_circles(spark):
+    import pytest
+
+    from millrace.operators.aggregates import rollup_components
+
+    demand = spark.createDataFrame([(0, 1)], "part long, need long")
+    chain = spark.createDataFrame([(i, i + 1, 1) for i in range(7)], "parent long, child long, qty long")
+    assert {(r.part, r.deepest) for r in rollup_components(demand, chain).collect()} == {(i, i) for i in range(8)}
+    circle = spark.createDataFrame([(0, 1, 1), (1, 0, 1)], "parent long, child long, qty long")
+    with pytest.raises(ValueError):
+        rollup_components(demand, circle)

@@ -140,3 +140,22 @@ def test_chi_squared_tail(spark):
     df = spark.createDataFrame([(3.841458820694124, 1.0), (11.070497693516351, 5.0), (0.0, 3.0)], "x double, k double")
     p = [r["p"] for r in df.select(monitor.chi_squared_p("x", "k").alias("p")).collect()]
     assert p[0] == pytest.approx(0.05, abs=1e-6) and p[1] == pytest.approx(0.05, abs=1e-6) and p[2] == 1.0
+
+
+def test_copy_into_odd_file_names(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    names = ["a b.json", "100%.json", "ü+x[1].json", "c.json", "{y}*.json", "p%20q.json"]
+    for i, name in enumerate(names):
+        (source / name).write_text(f'{{"id": {i}}}\n')
+    from millrace.sources.files import copy_into, loaded
+
+    assert copy_into(spark, str(source), target, "json", "id int") == len(names)
+    assert sorted(r.id for r in loaded(spark, target).collect()) == list(range(len(names)))
+    assert copy_into(spark, str(source), target, "json", "id int") == 0
+    (source / "new one.json").write_text('{"id": 99}\n')
+    for name in names:  # old files are not opened again
+        (source / name).write_text('{"id": -1}\n')
+    assert copy_into(spark, str(source), target, "json", "id int") == 1
+    assert sorted(r.id for r in loaded(spark, target).collect()) == [*range(len(names)), 99]
+    assert loaded(spark, target).columns == ["id"]
