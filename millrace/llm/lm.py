@@ -257,9 +257,13 @@ class Model:
         self.before = np.where(starts_word, CLASSES, -1)
         self.added = causal(weights["distance"], STRIDE, LENGTH)
 
-    def log10(self, inputs: np.ndarray, goals: np.ndarray, sizes: np.ndarray, batch: int = 512) -> np.ndarray:
-        """log10 probability of each goal given the inputs up to its place; texts of these sizes follow each other."""
+    def log10(self, inputs: np.ndarray, goals: np.ndarray, sizes: np.ndarray, batch: int = 96) -> np.ndarray:
+        """log10 probability of each goal given the inputs up to its place; texts of these sizes follow each other.
+
+        A batch of windows is small enough that its scores and logits stay in the cache of a core.
+        """
         w = self.weights
+        out = np.vstack([w["out"], w["bias"]])
         starts = np.cumsum(sizes) - sizes
         blocks = -(-sizes // STRIDE)
         nth = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
@@ -271,29 +275,50 @@ class Model:
         for at in range(0, len(base), batch):
             b = base[at:at + batch]
             place = b[:, None] + reach
-            e = w["ids"][inputs[np.clip(place, 0, len(inputs) - 1)]]
+            e = w["ids"].take(inputs.take(place, mode="clip"), axis=0)
             s = np.matmul(e[:, BACK:, _Q], e[..., _K].transpose(0, 2, 1))
             s += self.added
             s[nth[at:at + batch] == 0, :, :BACK] = MASKED
-            s -= s.max(2, keepdims=True)
-            np.exp(s, out=s)
-            h = np.matmul(s, e[..., _V])
-            h /= s.sum(2, keepdims=True)
-            z = np.concatenate([h, e[:, BACK:, _L]], 2).reshape(-1, HEAD_WIDTH + LAST_WIDTH) @ w["out"]
-            z += w["bias"]
-            z -= z.max(1, keepdims=True)
+            a, total = _exp_rows(s.reshape(-1, LENGTH))
+            f = np.empty((len(b), STRIDE, len(out)), np.float32)
+            np.matmul(a.reshape(s.shape), e[..., _V], out=f[..., :HEAD_WIDTH])
+            f[..., :HEAD_WIDTH] /= total.reshape(len(b), STRIDE, 1)
+            f[..., HEAD_WIDTH:-1] = e[:, BACK:, _L]
+            f[..., -1] = 1
+            z = f.reshape(-1, len(out)) @ out
             place = place[:, BACK:].ravel()
             real = np.flatnonzero(place < np.repeat(stop[at:at + batch], STRIDE))
             place = place[real]
-            got = z[real, goal_class[place]]
-            np.exp(z, out=z)
-            made[place] = got - np.log(z.sum(1)[real])
+            p, total = _exp_rows(z)
+            made[place] = np.log(np.maximum(p[real, goal_class[place]], 1e-30)) - np.log(total[real])
         made /= math.log(10)
         before = self.before[goals]
         made += self.within[np.where(before < 0, self.class_of[inputs], before), goals]
         return made
 
 
+def _exp_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of rows, each up to a factor of its own, and their sums.
+
+    The largest of a row is taken off first only where plain exponentials would leave the range of floats.
+    """
+    ones = np.ones(x.shape[1], np.float32)
+    if x.max() < 60:
+        made = np.exp(x)
+        total = made @ ones
+        if total.min() > 1e-25:
+            return made, total
+    made = np.exp(x - x.max(1, keepdims=True))
+    return made, made @ ones
+
+
+class Head(dict):
+    """log10 probabilities of frequent words; other words are not a number."""
+
+    def __missing__(self, word: bytes) -> float:
+        return math.nan
+
+
 # ---- the jobs ------------------------------------------------------------------------------------------------------
 
 
@@ -424,7 +449,7 @@ def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int
         ranks = spark.sparkContext.broadcast(file.read())
     classes, model = fit_model(train, words, ranks, pattern, n_texts)
     top = words.orderBy(F.desc("n"), "word").limit(head_words).toLocalIterator()
-    head = {r.word.encode(): math.log10(r.n + 1) - log_all for r in top}
+    head = Head((r.word.encode(), math.log10(r.n + 1) - log_all) for r in top)
     end = (math.log10(n_texts + 1) - log_all, int(n_texts > 0))
     sent = spark.sparkContext.broadcast((head, classes.row_of, model))
     key = ("lm", total, distinct, float(model.weights["ids"].sum()), float(model.weights["out"].sum()))
@@ -439,11 +464,11 @@ def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int
             parts, n, value, unknown = [], 1, end[0], Counter()
             for block in text_blocks(text):
                 parts.append(b"".join(map(packed.__getitem__, block)))
-                found = list(map(head.get, block))
-                missing = [w for w, x in zip(block, found) if x is None]
-                unknown.update(missing)
+                found = np.fromiter(map(head.__getitem__, block), np.float64, len(block))
+                missing = np.isnan(found)
+                unknown.update([block[i] for i in np.flatnonzero(missing).tolist()])
                 n += len(block)
-                value += sum(x for x in found if x is not None)
+                value += float(found[~missing].sum())
             sequences.append(np.frombuffer(b"".join(parts), np.int32))
             n_tokens.append(n)
             base.append(value)
