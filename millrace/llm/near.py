@@ -145,7 +145,8 @@ def root_positions(runs: int, seed: int) -> list[tuple[int, int]]:
 
 
 def _bucketed(rows: DataFrame, label: str) -> DataFrame:
-    """path, row, parent, size of the rows whose bucket holds another row too."""
+    """path, row, parent, size of the rows whose bucket holds another row too; paths are made once and written."""
+    rows = materialize(rows, f"{label}-made")
     sizes = rows.groupBy("path").count().where("count > 1").withColumnRenamed("count", "size")
     return materialize(rows.join(sizes, "path"), label)
 
