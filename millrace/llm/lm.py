@@ -81,6 +81,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(words: DataFrame, most: int) -> DataFrame:
+    """The most frequent words, as many whole classes of frequency as make up to ``most`` words.
+
+    Classes are the counts themselves up to 1024, then 64 to each doubling: a histogram of bounded size finds the least
+    frequency, and no task sorts or gathers the words of the corpus.
+    """
+    n = F.col("n")
+    level = F.when(n < 1024, n).otherwise(1024 + F.floor(F.log2(n / 1024) * 64)).cast("long")
+    left, least = most, None
+    for row in sorted(words.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row.level
+    return words.where(F.lit(False) if least is None else level >= least)
+
+
 class Vocabulary:
     """Ids of words by a public tokenizer: a word is encoded with a space before it. The last id ends a text."""
 
@@ -448,8 +465,7 @@ def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int
     with open(ranks_path, "rb") as file:
         ranks = spark.sparkContext.broadcast(file.read())
     classes, model = fit_model(train, words, ranks, pattern, n_texts)
-    top = words.orderBy(F.desc("n"), "word").limit(head_words).toLocalIterator()
-    head = Head((r.word.encode(), math.log10(r.n + 1) - log_all) for r in top)
+    head = Head((r.word.encode(), math.log10(r.n + 1) - log_all) for r in frequent_words(words, head_words).toLocalIterator())
     end = (math.log10(n_texts + 1) - log_all, int(n_texts > 0))
     sent = spark.sparkContext.broadcast((head, classes.row_of, model))
     key = ("lm", total, distinct, float(model.weights["ids"].sum()), float(model.weights["out"].sum()))

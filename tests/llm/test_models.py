@@ -201,3 +201,13 @@ def test_lm_odd_rows(odd, none):
     assert len(made) == odd.count() and all(r.score < 0 and r.base_score < 0 for r in made)
     assert all(r.n_tokens == 1 for r in made if r.doc_id in (2, 3, 6))
     assert lm.score_texts(none, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_frequent_words_stay_within_the_bound(spark):
+    words = spark.createDataFrame([(f"w{i}", 1 + (i % 7) * 10 ** (i % 5)) for i in range(300)], "word string, n long")
+    for most in (0, 1, 5, 40, 150, 1000):
+        made = {r.word: r.n for r in lm.frequent_words(words, most).collect()}
+        assert len(made) <= most
+        rest = [r.n for r in words.collect() if r.word not in made]
+        assert not made or not rest or min(made.values()) > max(rest)
+    assert lm.frequent_words(words, 1000).count() == 300
