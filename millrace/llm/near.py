@@ -40,7 +40,7 @@ RECALL = 0.9999
 #: Sketch bytes that must agree for a pair to be compared exactly: four deviations under what the threshold gives.
 MIN_AGREE = math.floor(TOKENS * THRESHOLD - 4 * math.sqrt(TOKENS * THRESHOLD * (1 - THRESHOLD)))
 #: Distinct words whose hashes a worker keeps.
-MAX_WORDS = 500_000
+MAX_WORDS = 200_000
 KEY = ["k1", "k2", "n_shingles"]
 
 _WORD = re.compile(r"\w+")

@@ -22,7 +22,7 @@ from millrace.llm.labelled import MAX_CHARS, MAX_ROWS, labelled_sample
 WORD_BUCKETS, FACTORS = 1 << 16, 8
 EPOCHS, BATCH, RATE, DECAY = 12, 32, 0.1, 1e-5
 #: Distinct words whose buckets a worker keeps.
-MAX_WORDS = 500_000
+MAX_WORDS = 200_000
 FOLDS, HELD_OUT_FOLD = 5, 0
 
 #: Shares of a text's bytes that each of these classes holds.

@@ -21,7 +21,7 @@ from millrace.llm.labelled import MAX_CHARS, MAX_ROWS, labelled_sample
 BUCKETS, WIDTH, NGRAMS, WINDOW = 1 << 18, 8, (3, 4, 5), 1
 EPOCHS, BATCH, RATE = 8, 32, 0.5
 #: Distinct words whose log odds a worker keeps.
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
 FOLDS, HELD_OUT_FOLD = 4, 2
 
 _WORD = re.compile(r"\w+")

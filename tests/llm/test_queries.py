@@ -36,3 +36,12 @@ def test_query(spark, n):
     assert set(COLUMNS[n]) <= set(made.columns)
     if n != 3:
         assert made.count() == 200
+
+
+def test_workers_keep_few_objects():
+    from millrace.llm import common
+
+    made = []
+    for key in [("a", 1), ("a", 1), ("b", 1), ("a", 2), ("c", 1), ("b", 1)]:
+        common.worker_state(key, lambda: made.append(key) or key)
+    assert made == [("a", 1), ("b", 1), ("a", 2), ("c", 1), ("b", 1)]
