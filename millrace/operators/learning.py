@@ -33,13 +33,13 @@ def prepare(numbers: Sequence[str], labels: Sequence[str] = ()) -> Pipeline:
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol="features")])
 
 
-def fit_classifier(rows: DataFrame, numbers: Sequence[str], labels: Sequence[str], label: str = "label") -> PipelineModel:
-    """Logistic regression with weights that balance the two classes."""
+def fit_classifier(rows: DataFrame, numbers: Sequence[str], labels: Sequence[str], label: str = "label", iterations: int = 100) -> PipelineModel:
+    """Logistic regression with weights that balance the two classes, until it converges or for so many iterations."""
     n, ones = rows.agg(F.count("*"), F.sum(label)).first()
     ones = ones or 0.0
     up = (n - ones) / ones if ones else 1.0
     weighted = rows.withColumn("weight", F.when(F.col(label) == 1, F.lit(float(up))).otherwise(1.0))
-    head = LogisticRegression(labelCol=label, weightCol="weight", maxIter=10, regParam=0.01)
+    head = LogisticRegression(labelCol=label, weightCol="weight", maxIter=iterations, regParam=0.01)
     fitted = Pipeline(stages=[*prepare(numbers, labels).getStages(), head]).fit(weighted)
     return publish_model(rows.sparkSession, fitted, "classifier")
 
@@ -59,10 +59,10 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).withColumn("probability", vector_to_array("probability")[1])
 
 
-def linear_weights(rows: DataFrame, columns: Sequence[str], label: str = "label") -> tuple[list[float], float]:
+def linear_weights(rows: DataFrame, columns: Sequence[str], label: str = "label", iterations: int = 100) -> tuple[list[float], float]:
     """Coefficients of a logistic regression; a few numbers per column."""
     vec = VectorAssembler(inputCols=list(columns), outputCol="v").transform(rows)
-    model = LogisticRegression(featuresCol="v", labelCol=label, maxIter=10, regParam=0.01).fit(vec)
+    model = LogisticRegression(featuresCol="v", labelCol=label, maxIter=iterations, regParam=0.01).fit(vec)
     return [float(x) for x in model.coefficients], float(model.intercept)
 
 

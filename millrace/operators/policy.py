@@ -41,7 +41,7 @@ class ColumnMask:
 
 
 def filter_by_mapping(df: DataFrame, mapping: DataFrame, groups: Collection[str], column: str,
-                      group_col: str = "identity_group", values_col: str = "values") -> DataFrame:
+                      group_col: str = "member_of", values_col: str = "values") -> DataFrame:
     """Rows whose ``column`` is listed for one of the reader's groups in a mapping table."""
     allowed = (
         mapping.where(F.col(group_col).isin(list(groups))).select(F.explode(values_col).alias("__v")).distinct()

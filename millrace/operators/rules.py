@@ -11,16 +11,16 @@ MAX_RULES = 1000
 def add_rule_columns(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Add one column per active rule, in ``rule_id`` order; a rule may use earlier ones.
 
-    ``rules`` has ``rule_id, check_name, check_code, is_active``. Rule tables are written by
+    ``rules`` has ``rule_id, adds, formula, in_use``. Rule tables are written by
     people; more than ``MAX_RULES`` active rows is refused rather than collected.
     """
-    active = rules.where("is_active").select("rule_id", "check_name", "check_code").limit(MAX_RULES + 1).collect()
+    active = rules.where("in_use").select("rule_id", "adds", "formula").limit(MAX_RULES + 1).collect()
     if len(active) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} active rules")
     for rule in sorted(active, key=lambda r: r["rule_id"]):
         try:
-            df = df.withColumn(rule["check_name"], F.expr(rule["check_code"]))
+            df = df.withColumn(rule["adds"], F.expr(rule["formula"]))
             df.schema  # noqa: B018  (analyse now, so a bad rule is named)
         except Exception as error:
-            raise ValueError(f"rule {rule['rule_id']} ({rule['check_name']}) does not compile: {error}") from error
+            raise ValueError(f"rule {rule['rule_id']} ({rule['adds']}) does not compile: {error}") from error
     return df

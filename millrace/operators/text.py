@@ -38,12 +38,12 @@ def embed_with(df: DataFrame, text: str, load: Callable[[], Callable[[list[str]]
     return df.withColumn(name, encode(text))
 
 
-def train_text_classifier(rows: DataFrame, text: str, label: str, dim: int = 4096):
+def train_text_classifier(rows: DataFrame, text: str, label: str, dim: int = 4096, iterations: int = 100):
     """Logistic regression on hashed TF-IDF; returns a function scoring any rows."""
     fit_rows = rows.withColumn("__tokens", words(F.lower(text)))
     model = Pipeline(stages=[
         HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=dim), IDF(inputCol="__tf", outputCol="__x"),
-        LogisticRegression(featuresCol="__x", labelCol=label, maxIter=10, regParam=0.01)]).fit(fit_rows)
+        LogisticRegression(featuresCol="__x", labelCol=label, maxIter=iterations, regParam=0.01)]).fit(fit_rows)
     model = publish_model(rows.sparkSession, model, "text")
     keep = ["prediction"]
     return lambda df: model.transform(df.withColumn("__tokens", words(F.lower(text)))).select(*df.columns, *keep)

@@ -18,7 +18,7 @@ def row_filter(t: Tables):
 @query("row_filter_mapping", sql="SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name IN ('NATION_1', 'NATION_2', 'NATION_7')")
 def row_filter_mapping(t: Tables):
     mapping = t.spark.createDataFrame(
-        [("emea", ["NATION_1", "NATION_2"]), ("apac", ["NATION_9"]), ("latam", ["NATION_7", "NATION_2"])], "identity_group string, values array<string>")
+        [("emea", ["NATION_1", "NATION_2"]), ("apac", ["NATION_9"]), ("latam", ["NATION_7", "NATION_2"])], "member_of string, values array<string>")
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
     return policy.filter_by_mapping(rows, mapping, ["emea", "latam"], "n_name")
 

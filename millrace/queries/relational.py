@@ -136,7 +136,7 @@ def rule_engine(t: Tables):
          (2, "state_check", "CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'LIVE' END", True),
          (3, "unused_check", "1 / 0", False),
          (4, "verdict", "CASE WHEN amount_check = 'HIGH' AND state_check = 'LIVE' THEN 'REVIEW' ELSE 'PASS' END", True)],
-        "rule_id long, check_name string, check_code string, is_active boolean")
+        "rule_id long, adds string, formula string, in_use boolean")
     return add_rule_columns(t.orders, rules).select("o_orderkey", "amount_check", "state_check", "verdict")
 
 

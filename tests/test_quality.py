@@ -84,7 +84,7 @@ def test_contract(spark, users):
 
 
 def test_rule_columns_name_the_bad_rule(spark, users):
-    rules = spark.createDataFrame([(1, "x", "id + 1", True), (2, "y", "nope(", True)], "rule_id long, check_name string, check_code string, is_active boolean")
+    rules = spark.createDataFrame([(1, "x", "id + 1", True), (2, "y", "nope(", True)], "rule_id long, adds string, formula string, in_use boolean")
     with pytest.raises(ValueError, match="rule 2"):
         add_rule_columns(users, rules)
 

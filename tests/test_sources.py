@@ -88,7 +88,7 @@ def test_policies(spark):
     assert [r["mail"] for r in masked.orderBy("id").collect()] == ["*****.org", "bob"]
     assert policy.apply_tag_masks(tagged, {("pii", "mail"): mask_tail}, ["stewards"], ["stewards"]).first()["mail"] == "ann@x.org"
     assert policy.RowFilter("country = 'fr'", ["admins"]).apply(df, ["admins"]).count() == 2
-    assert policy.filter_by_mapping(df, spark.createDataFrame([("g", ["fr", "fr"]), ("g", ["fr"])], "identity_group string, values array<string>"), ["g"], "country").count() == 1
+    assert policy.filter_by_mapping(df, spark.createDataFrame([("g", ["fr", "fr"]), ("g", ["fr"])], "member_of string, values array<string>"), ["g"], "country").count() == 1
 
 
 def test_flatten(spark):
