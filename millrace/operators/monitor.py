@@ -135,10 +135,12 @@ def pair_baseline(hist: DataFrame, baseline: DataFrame, keys: Sequence[str]) ->
     A baseline item meets the windows through the list of windows of its keys, one per period: an explode, never a product
     of rows.
     """
-    wins = hist.select(*keys, "win").distinct().groupBy(*keys).agg(F.collect_list("win").alias("__wins"))
+    lists = hist.select(*keys, "win").distinct().groupBy(*keys).agg(F.collect_list("win").alias("__wins"))
     now = hist.select(*keys, "win", "item", F.col("share").alias("p"), F.col("n").alias("n_now"), F.lit(0.0).alias("q"), F.lit(0).cast("long").alias("n_ref"))
     items = baseline.select(*keys, "item", F.col("share").alias("q"), F.col("n").alias("n_ref"))
-    ref = items.join(wins, list(keys)).withColumn("win", F.explode("__wins")).select(
+    # without keys the one list is a scalar, not a join
+    items = items.join(lists, list(keys)) if keys else items.withColumn("__wins", lists.scalar())
+    ref = items.withColumn("win", F.explode("__wins")).select(
         *keys, "win", "item", F.lit(0.0).alias("p"), F.lit(0).cast("long").alias("n_now"), "q", "n_ref")
     return now.unionByName(ref).groupBy(*keys, "win", "item").agg(*[F.sum(c).alias(c) for c in ("p", "n_now", "q", "n_ref")])
 

@@ -79,9 +79,9 @@ WITH {SHARE}, b AS (SELECT item, share AS q FROM s WHERE win = '1995'), pair AS
  FROM wins w CROSS JOIN items LEFT JOIN s a ON a.win = w.win AND a.item = items.item LEFT JOIN b ON b.item = items.item)
 {DRIFT} FROM pair GROUP BY 1""")
 def drift_baseline(t: Tables):
-    now = priority_shares(t).withColumn("col", F.lit("o_orderpriority"))
-    paired = monitor.pair_baseline(now, now.where("win = '1995'").drop("win"), ["col"])
-    out = monitor.drift(paired, ["col", "win"])
+    now = priority_shares(t)
+    paired = monitor.pair_baseline(now, now.where("win = '1995'").drop("win"), [])
+    out = monitor.drift(paired, ["win"])
     return out.select("win", *drift_columns(out))
 
 

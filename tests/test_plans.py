@@ -12,7 +12,7 @@ def plan(spark, key):
 
 
 @pytest.mark.parametrize("key", ["join_interval", "join_theta_bucketed", "join_asof", "pit_lookup", "join_overlap_priority", "visit_consolidation", "usage_cost",
-                                 "metric_trailing", "metric_distinct_trailing", "drift_js_tv_linf", "vector_topk", "join_cross"])
+                                 "metric_trailing", "metric_distinct_trailing", "drift_js_tv_linf", "drift_baseline", "vector_topk", "join_cross"])
 def test_no_pairwise_join(spark, key):
     text = plan(spark, key)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
