@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from millrace.llm.common import map_slices, with_text, worker_state
 
 #: Caches are emptied when they hold this many entries: states, token pairs, distinct pieces.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 150_000, 500_000, 300_000
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 100_000, 300_000, 200_000
 #: Longer pieces are run through the transducer each time instead of being kept.
 CACHED_PIECE_BYTES = 48
 #: Characters that are split into pieces at once, and tokens that are decoded at once.

@@ -43,23 +43,14 @@ def raw_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-#: Kinds of objects that a worker keeps at once; a worker lives on through the stages of a job and its memory is bounded.
-KEPT_KINDS = 2
-
-
 def worker_state(key: tuple, make: Callable[[], object]):
     """An object made once per Python worker process and kept for its later tasks.
 
-    Functions travel by value, so their own globals start anew with every task. The first part of the key is the
-    kind: one object of a kind is kept, that of the latest key, and only the kinds used last.
+    Functions travel by value, so their own globals start anew with every task. Workers live on through the stages of
+    a job, so only the object used last is kept: the memory of a stage goes when the next one begins.
     """
     store = sys.modules.setdefault("_millrace_worker_state", types.ModuleType("_millrace_worker_state")).__dict__.setdefault("kept", {})
-    kind = key[0]
-    held = store.pop(kind, None)
-    if held is None or held[0] != key:
-        held = None  # let the old one go before the new one is made
-        while len(store) >= KEPT_KINDS:
-            store.pop(next(iter(store)))
-        held = key, make()
-    store[kind] = held
-    return held[1]
+    if key not in store:
+        store.clear()  # before the new one is made
+        store[key] = make()
+    return store[key]

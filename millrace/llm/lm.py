@@ -41,7 +41,7 @@ WIDTH = 3 * HEAD_WIDTH + LAST_WIDTH
 #: A training text gives one window, and one more for each so many of its words.
 WORDS_PER_WINDOW = 400
 ROUNDS, BATCH, RATE, LEAST_STEPS = 2, 64, 0.1, 150
-MAX_WORDS, FLUSH_WORDS, BLOCK_BYTES = 400_000, 200_000, 1 << 21
+MAX_WORDS, FLUSH_WORDS, BLOCK_BYTES = 300_000, 200_000, 1 << 21
 MASKED = np.float32(-1e9)
 
 
@@ -472,9 +472,8 @@ def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int
 
     def work(batch: pa.RecordBatch) -> dict:
         head, row_of, model = sent.value
-        vocab = vocabulary(ranks.value, pattern)
-        packed = worker_state(key, lambda: Words(vocab, row_of))
-        last = int(row_of[vocab.end])
+        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern), row_of))
+        last = int(row_of[packed.vocab.end])
         sequences, n_tokens, base, known, rest = [], [], [], [], []
         for text in raw_texts(batch):
             parts, n, value, unknown = [], 1, end[0], Counter()
