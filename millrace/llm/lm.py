@@ -7,8 +7,8 @@ the class before. A text is scored in windows that overlap: every id is predicte
 its own predecessor in view, and many windows go through one masked batch.
 
 What is gathered from the corpus grows with it: word counts, id pairs and classes cover all training texts; the
-attention is trained in every partition on windows drawn from each of its texts, and partitions' weights
-are averaged over a tree, some rounds in a row.
+attention is trained in every partition on consecutive windows that make every id of its texts, the end included, a
+goal once a round, and partitions' weights are averaged over a tree, some rounds in a row.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -38,8 +39,8 @@ CLASSES = SINGLE_CLASSES + SHARED_CLASSES
 HEAD_WIDTH, LAST_WIDTH, STRIDE, BACK = 8, 16, 24, 8
 LENGTH = STRIDE + BACK
 WIDTH = 3 * HEAD_WIDTH + LAST_WIDTH
-#: A training text gives one window, and one more for each so many of its words.
-WORDS_PER_WINDOW = 400
+#: Windows that a task sends at once while it cuts texts.
+SENT_WINDOWS = 8_192
 ROUNDS, BATCH, RATE, LEAST_STEPS = 2, 64, 0.1, 150
 MAX_WORDS, FLUSH_WORDS, BLOCK_BYTES = 300_000, 200_000, 1 << 21
 MASKED = np.float32(-1e9)
@@ -221,49 +222,90 @@ def causal(distance: np.ndarray, queries: int, keys: int) -> np.ndarray:
 _Q, _K, _V, _L = slice(0, HEAD_WIDTH), slice(HEAD_WIDTH, 2 * HEAD_WIDTH), slice(2 * HEAD_WIDTH, 3 * HEAD_WIDTH), slice(3 * HEAD_WIDTH, WIDTH)
 
 
-def train_windows(weights: dict[str, np.ndarray], windows: np.ndarray, class_of: np.ndarray, seed: int, steps: int | None = None) -> dict[str, np.ndarray]:
-    """Adagrad over shuffled windows of LENGTH + 1 rows (-1 pads): each row but the first is predicted from those before."""
-    rng = np.random.default_rng(seed)
-    w = {k: v.copy() for k, v in weights.items()}
-    seen = {k: np.full(v.shape, 1e-4, np.float32) for k, v in w.items()}
-    per_pass = max(1, math.ceil(len(windows) / BATCH))
-    steps = max(LEAST_STEPS, per_pass) if steps is None else steps
-    back = np.arange(LENGTH)[:, None] - np.arange(LENGTH)
-    below = back >= 0
-    order = np.empty(0, np.int64)
-    for _ in range(steps):
-        if len(order) < min(BATCH, len(windows)):
-            order = np.concatenate([order, rng.permutation(len(windows))])
-        part, order = windows[order[:BATCH]], order[BATCH:]
-        real = part[:, 1:] >= 0
-        rows, goal = np.maximum(part[:, :-1], 0), class_of[np.maximum(part[:, 1:], 0)]
-        e = w["ids"][rows]
+class Trainer:
+    """Adagrad over batches of windows of LENGTH + 1 rows (-1 pads): each row but the first is predicted from those before."""
+
+    def __init__(self, weights: dict[str, np.ndarray], class_of: np.ndarray):
+        self.weights, self.class_of = {k: v.copy() for k, v in weights.items()}, class_of
+        self.seen = {k: np.full(v.shape, 1e-4, np.float32) for k, v in weights.items()}
+        self.steps = 0
+        self.back = np.arange(LENGTH)[:, None] - np.arange(LENGTH)
+        self.below = self.back >= 0
+
+    def step(self, part: np.ndarray) -> None:
+        w, seen = self.weights, self.seen
+        real = (part[:, 1:] >= 0).ravel()
+        rows, goal = np.maximum(part[:, :-1], 0), self.class_of[np.maximum(part[:, 1:], 0)]
+        e = w["ids"].take(rows, axis=0)
         q, k, v, last = e[..., _Q], e[..., _K], e[..., _V], e[..., _L]
-        s = np.matmul(q, k.transpose(0, 2, 1)) + causal(w["distance"], LENGTH, LENGTH)
-        a = np.exp(s - s.max(2, keepdims=True))
-        a /= a.sum(2, keepdims=True)
+        s = np.matmul(q, k.transpose(0, 2, 1))
+        s += causal(w["distance"], LENGTH, LENGTH)
+        a, total = _exp_rows(s.reshape(-1, LENGTH))
+        a /= total[:, None]
+        a = a.reshape(s.shape)
         f = np.concatenate([np.matmul(a, v), last], 2).reshape(-1, HEAD_WIDTH + LAST_WIDTH)
-        z = f @ w["out"] + w["bias"]
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(p)), goal.ravel()] -= 1
-        p *= (real.ravel() / max(1, real.sum()))[:, None].astype(np.float32)
+        z = f @ w["out"]
+        z += w["bias"]
+        p, total = _exp_rows(z)
+        weight = real / np.float32(max(1, real.sum()))
+        p *= (weight / total)[:, None]
+        p[np.arange(len(p)), goal.ravel()] -= weight
         grad = {"out": f.T @ p, "bias": p.sum(0)}
         df = (p @ w["out"].T).reshape(*rows.shape, -1)
         dh, de = df[..., :HEAD_WIDTH], np.empty_like(e)
-        da = np.matmul(dh, v.transpose(0, 2, 1))
-        ds = a * (da - (da * a).sum(2, keepdims=True))
+        ds = np.matmul(dh, v.transpose(0, 2, 1))
+        ds -= np.einsum("bqk,bqk->bq", ds, a)[..., None]
+        ds *= a
         de[..., _Q], de[..., _K], de[..., _V], de[..., _L] = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dh), df[..., HEAD_WIDTH:]
-        grad["distance"] = np.bincount(back[below], ds.sum(0)[below], LENGTH).astype(np.float32)
+        grad["distance"] = np.bincount(self.back[self.below], ds.sum(0)[self.below], LENGTH).astype(np.float32)
         for name, g in grad.items():
             seen[name] += g * g
             w[name] -= 0.5 * RATE * g / np.sqrt(seen[name])
         by = np.argsort(rows, axis=None, kind="stable")
-        hit, first = np.unique(rows.ravel()[by], return_index=True)
+        ordered = rows.ravel()[by]
+        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        hit = ordered[first]
         g = np.add.reduceat(de.reshape(-1, WIDTH)[by], first)
-        seen["ids"][hit] += g * g
-        w["ids"][hit] -= RATE * g / np.sqrt(seen["ids"][hit])
-    return w
+        more = seen["ids"][hit] + g * g
+        seen["ids"][hit] = more
+        w["ids"][hit] -= RATE * g / np.sqrt(more)
+        self.steps += 1
+
+    def passes(self, windows: np.ndarray, rng: np.random.Generator, steps: int) -> None:
+        """So many more steps over shuffled windows, which are all seen before one is seen again."""
+        order = np.empty(0, np.int64)
+        for _ in range(steps):
+            if len(order) < min(BATCH, len(windows)):
+                order = np.concatenate([order, rng.permutation(len(windows))])
+            self.step(windows[order[:BATCH]])
+            order = order[BATCH:]
+
+    def stream(self, groups: Iterator[np.ndarray], rng: np.random.Generator) -> None:
+        """One pass over groups of windows, each shuffled, without holding more than a group and the first LEAST_STEPS batches.
+
+        Where all are fewer than those, more passes make up LEAST_STEPS.
+        """
+        left, held, room = np.empty((0, LENGTH + 1), np.int32), [], LEAST_STEPS * BATCH
+        for group in groups:
+            if room > 0:
+                held.append(group[:room])
+                room -= len(held[-1])
+            left = np.concatenate([left, group[rng.permutation(len(group))]])
+            whole = len(left) // BATCH * BATCH
+            for at in range(0, whole, BATCH):
+                self.step(left[at:at + BATCH])
+            left = left[whole:]
+        if len(left):
+            self.step(left)
+        if self.steps < LEAST_STEPS and held:
+            self.passes(np.concatenate(held), rng, LEAST_STEPS - self.steps)
+
+
+def train_windows(weights: dict[str, np.ndarray], windows: np.ndarray, class_of: np.ndarray, seed: int, steps: int | None = None) -> dict[str, np.ndarray]:
+    """Weights after steps (a pass, and LEAST_STEPS at least, unless given) over shuffled windows that are all at hand."""
+    trainer, rng = Trainer(weights, class_of), np.random.default_rng(seed)
+    trainer.passes(windows, rng, max(LEAST_STEPS, math.ceil(len(windows) / BATCH)) if steps is None else steps)
+    return trainer.weights
 
 
 class Model:
@@ -339,29 +381,45 @@ class Head(dict):
 # ---- the jobs ------------------------------------------------------------------------------------------------------
 
 
+def cut_windows(rows: np.ndarray) -> np.ndarray:
+    """Consecutive windows of LENGTH + 1 rows of a text that has its end before and after it; -1 after the last.
+
+    The last row of a window is the first of the next, so that every row but the first is predicted once.
+    """
+    n = -(-(len(rows) - 1) // LENGTH)
+    padded = np.full(n * LENGTH + 1, -1, rows.dtype)
+    padded[:len(rows)] = rows
+    return np.lib.stride_tricks.sliding_window_view(padded, LENGTH + 1)[::LENGTH]
+
+
 def training_windows(texts: DataFrame, ranks, pattern: str, rows) -> DataFrame:
-    """One row per window: LENGTH + 1 rows of ids as bytes, -1 after the end. Every text gives at least one."""
+    """One row per window of :func:`cut_windows` over every whole text: LENGTH + 1 rows of ids as two bytes each."""
+    key = ("window-words", pattern, crc32(rows.value.tobytes()))
 
-    def work(batch: pa.RecordBatch) -> dict:
-        vocab, row_of = vocabulary(ranks.value, pattern), rows.value
-        made = []
-        for text in raw_texts(batch):
-            words = [w for block in text_blocks(text) for w in block]
-            step = max(1, len(words) // (1 + len(words) // WORDS_PER_WINDOW))
-            at = crc32(text) % step if len(words) > LENGTH else 0
-            for start in range(at, max(1, len(words)), step):
-                ids = [vocab.end] if start == 0 else []
-                for word in words[start:start + LENGTH + 1]:
-                    ids += vocab.ids(word)
-                if start + LENGTH + 1 >= len(words):
-                    ids.append(vocab.end)
-                window = np.full(LENGTH + 1, -1, np.int32)
-                ids = row_of[ids[:LENGTH + 1]]
-                window[:len(ids)] = ids
-                made.append(window.tobytes())
-        return {"window": pa.array(made, pa.binary())}
-
-    return map_slices(texts.select("text"), work, "window binary")
+    def sent(made: list[np.ndarray]) -> pa.RecordBatch:
+        flat = np.concatenate(made)
+        fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (LENGTH + 1)), len(flat), [None, pa.py_buffer(flat.tobytes())])
+        return pa.RecordBatch.from_pydict({"window": fixed.cast(pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern), rows.value))
+        end = np.array([rows.value[packed.vocab.end]], np.int32).tobytes()
+        made, n = [], 0
+        for batch in batches:
+            for text in raw_texts(batch):
+                parts = [end]
+                for block in text_blocks(text):
+                    parts.append(b"".join(map(packed.__getitem__, block)))
+                parts.append(end)
+                made.append(cut_windows(np.frombuffer(b"".join(parts), np.int32).astype(np.int16)))  # at most OWN_IDS + 1 rows
+                n += len(made[-1])
+                if n >= SENT_WINDOWS:
+                    yield sent(made)
+                    made, n = [], 0
+        if made:
+            yield sent(made)
+
+    return texts.select("text").mapInArrow(run, "window binary")
 
 
 def _average(weights: dict[str, np.ndarray], windows: DataFrame, class_of: np.ndarray, seed: int) -> dict[str, np.ndarray]:
@@ -372,12 +430,21 @@ def _average(weights: dict[str, np.ndarray], windows: DataFrame, class_of: np.nd
     fan = max(1, math.isqrt(parts))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [np.frombuffer(b"".join(batch.column("window").to_pylist()), np.int32).reshape(-1, LENGTH + 1) for batch in batches if batch.num_rows]
-        if found:
-            rows = np.concatenate(found)
-            mark = crc32(rows.tobytes())
-            made = flatten(train_windows(sent.value[0], rows, sent.value[1], seed + mark))
-            yield pa.RecordBatch.from_pydict({"branch": pa.array([mark % fan], pa.int32()), "n": pa.array([float(len(rows))]), "total": pa.array([(made * len(rows)).astype(np.float64).tobytes()], pa.binary())})
+        groups = (np.frombuffer(b"".join(batch.column("window").to_pylist()), np.int16).reshape(-1, LENGTH + 1).astype(np.int32) for batch in batches if batch.num_rows)
+        first = next(groups, None)
+        if first is not None:
+            mark, n = crc32(first.tobytes()), 0
+
+            def counted() -> Iterator[np.ndarray]:
+                nonlocal n
+                for group in chain([first], groups):
+                    n += len(group)
+                    yield group
+
+            trainer = Trainer(*sent.value)
+            trainer.stream(counted(), np.random.default_rng(seed + mark))
+            made = flatten(trainer.weights).astype(np.float64) * n
+            yield pa.RecordBatch.from_pydict({"branch": pa.array([mark % fan], pa.int32()), "n": pa.array([float(n)]), "total": pa.array([made.tobytes()], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0.0, None

@@ -211,3 +211,29 @@ def test_frequent_words_stay_within_the_bound(spark):
         rest = [r.n for r in words.collect() if r.word not in made]
         assert not made or not rest or min(made.values()) > max(rest)
     assert lm.frequent_words(words, 1000).count() == 300
+
+
+def test_every_id_and_the_end_is_a_training_goal_once(spark):
+    vocab = lm.vocabulary(open(RANKS, "rb").read(), public_tokenizers.PATTERN)
+    texts = ["", "one", " ".join(f"word{i}" for i in range(20)), " ".join(f"w{i % 50}x" for i in range(3_000)), " ".join(["the"] * (lm.LENGTH - 1))]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    rows = np.arange(vocab.end + 1, dtype=np.int32) % 8_000
+    send = spark.sparkContext.broadcast
+    made = lm.training_windows(docs, send(open(RANKS, "rb").read()), public_tokenizers.PATTERN, send(rows)).collect()
+    windows = [np.frombuffer(r.window, np.int16) for r in made]
+    goals = [i for w in windows for i in w[1:] if i >= 0]
+    whole = [[*[i for word in t.encode().split() for i in vocab.ids(word)], vocab.end] for t in texts]
+    assert goals == [rows[i] for ids in whole for i in ids]
+    first = [rows[i] for ids in whole for i in [vocab.end, *ids][:-1][::lm.LENGTH]]
+    assert [w[0] for w in windows] == first and all(len(w) == lm.LENGTH + 1 for w in windows)
+
+
+def test_streamed_training_sees_every_window(small, monkeypatch):
+    classes, _ = small
+    monkeypatch.setattr(lm, "LEAST_STEPS", 1)
+    seen = collections.Counter()
+    step = lm.Trainer.step
+    monkeypatch.setattr(lm.Trainer, "step", lambda self, part: (seen.update(part[:, 0].tolist()), step(self, part)))
+    groups = np.arange(5 * 100).reshape(5, 100, 1).repeat(lm.LENGTH + 1, 2) % classes.rows
+    lm.Trainer(lm.start_weights(classes), classes.class_of).stream(iter(groups.astype(np.int32)), np.random.default_rng(1))
+    assert seen == collections.Counter((np.arange(500) % classes.rows).tolist())
