@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -109,18 +110,45 @@ def index_bits(items: int) -> int:
     return min(30, max(3, round(math.log2(max(1, items) / BUCKET_ITEMS))))
 
 
+#: Chance with which a neighbour of at least this similarity is a candidate; tables of the index at most.
+RECALL, SIMILARITY, MOST_TABLES = 0.99, 0.7, 32
+
+
+def table_chance(bits: int, radius: int, similarity: float = SIMILARITY) -> float:
+    """Chance that the sign patterns of a pair of this cosine differ in at most ``radius`` of ``bits`` places."""
+    differ = math.acos(similarity) / math.pi
+    return sum(math.comb(bits, r) * differ**r * (1 - differ) ** (bits - r) for r in range(radius + 1))
+
+
+def index_shape(bits: int, recall: float = RECALL, similarity: float = SIMILARITY, tables: int | None = None) -> tuple[int, int]:
+    """Tables and probe radius that find a pair of this cosine with the chance ``recall``.
+
+    The hyperplanes of a pair's tables are independent. The least radius is taken that needs no more than ``tables``
+    (kept if given) or MOST_TABLES.
+    """
+    for radius in range(bits):
+        chance = table_chance(bits, radius, similarity)
+        needed = 1 if chance >= recall else math.ceil(math.log(1 - recall) / math.log(1 - chance))
+        if needed <= (tables or MOST_TABLES):
+            return tables or needed, radius
+    return tables or 1, bits
+
+
 def nearest_approx(items: DataFrame, item_id: str, vector: str, queries: DataFrame, query_id: str, k: int, dim: int,
-                   tables: int = 8, bits: int | None = None, seed: int = 7) -> DataFrame:
+                   tables: int | None = None, bits: int | None = None, seed: int = 7, recall: float = RECALL, similarity: float = SIMILARITY) -> DataFrame:
     """Approximate neighbours: rescore exactly the items sharing a bucket with the query, ``k`` for each query.
 
-    Queries also probe the buckets one bit away. ``bits`` follows the number of items unless given. Only ids and bucket
-    numbers meet in the join, which splits hot buckets; vectors join the distinct pairs afterwards. Queries
-    that find fewer than ``k`` items are searched exactly.
+    ``bits`` follows the number of items unless given; tables and the number of bits that a probed bucket may be away follow
+    from ``bits``, so that an item of cosine ``similarity`` or more is found with the chance ``recall`` at any size. Only ids and
+    bucket numbers meet in the join, which splits hot buckets; vectors join the distinct pairs afterwards. Queries
+    that find fewer than ``k`` items of that cosine have neighbours for which the index is not set, and are searched exactly.
     """
     bits = bits or index_bits(items.count())
+    tables, radius = index_shape(bits, recall, similarity, tables)
     q = signatures(queries.select(F.col(query_id), F.col(vector).alias("qv")), "qv", dim, tables, bits, seed).drop("qv")
-    flips = F.array(F.lit(0), *[F.lit(1 << b) for b in range(bits)])
-    probes = q.withColumn("bucket", F.explode(F.transform(flips, lambda f: F.col("bucket").bitwiseXOR(f))))
+    masks = [(sum(1 << b for b in at),) for r in range(radius + 1) for at in combinations(range(bits), r)]
+    flips = items.sparkSession.createDataFrame(masks, "flip int")
+    probes = q.crossJoin(F.broadcast(flips)).withColumn("bucket", F.col("bucket").bitwiseXOR(F.col("flip"))).drop("flip")
     index = signatures(items.select(item_id, F.col(vector).alias("iv")), "iv", dim, tables, bits, seed).drop("iv")
     pairs = index.join(probes, ["table", "bucket"]).select(query_id, item_id).distinct()
     pairs = pairs.join(items.select(item_id, F.col(vector).alias("iv")), item_id).join(queries.select(query_id, F.col(vector).alias("qv")), query_id)
@@ -132,7 +160,7 @@ def nearest_approx(items: DataFrame, item_id: str, vector: str, queries: DataFra
 
     scored = pairs.select(query_id, item_id, cosine("qv", "iv").alias("similarity"))
     top = materialize(top_per_group(scored, [query_id], [F.desc("similarity"), F.asc(item_id)], k), "neighbours")
-    full = top.groupBy(query_id).count().where(F.col("count") >= k)
+    full = top.where(F.col("similarity") >= similarity).groupBy(query_id).count().where(F.col("count") >= k)
     short = queries.join(full, query_id, "left_anti")
     if short.isEmpty():
         return top

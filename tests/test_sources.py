@@ -136,6 +136,29 @@ def test_nearest_against_numpy(spark):
     assert len(approx & want) >= 0.9 * len(want)
 
 
+def test_index_keeps_its_recall_at_the_bits_of_large_tables(spark):
+    import numpy as np
+
+    for items in (500, 10**6, 17 * 10**6, 10**9):
+        bits = vectors.index_bits(items)
+        tables, radius = vectors.index_shape(bits)
+        assert 1 - (1 - vectors.table_chance(bits, radius)) ** tables >= vectors.RECALL and tables <= vectors.MOST_TABLES
+    rng = np.random.default_rng(5)
+    unit = lambda m: m / np.linalg.norm(m, axis=-1, keepdims=True)
+    asks = unit(rng.standard_normal((3, 64)))
+    # around each query 300 items of cosine 0.71 to 0.8
+    cos = rng.uniform(0.71, 0.8, (3, 300, 1))
+    off = rng.standard_normal((3, 300, 64))
+    off = unit(off - (off * asks[:, None]).sum(-1, keepdims=True) * asks[:, None])
+    m = (cos * asks[:, None] + np.sqrt(1 - cos**2) * off).reshape(-1, 64)
+    items = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id long, v array<double>")
+    queries = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(asks)], "q long, v array<double>")
+    sims = asks @ unit(m).T
+    want = {(q, int(i)) for q in range(3) for i in np.argsort(-sims[q])[:10]}
+    got = {(r["q"], r["id"]) for r in vectors.nearest_approx(items, "id", "v", queries, "q", 10, 64, bits=vectors.index_bits(10**9)).collect()}
+    assert len(got) == 30 and len(got & want) >= 0.9 * len(want)
+
+
 def test_chi_squared_tail(spark):
     df = spark.createDataFrame([(3.841458820694124, 1.0), (11.070497693516351, 5.0), (0.0, 3.0)], "x double, k double")
     p = [r["p"] for r in df.select(monitor.chi_squared_p("x", "k").alias("p")).collect()]
