@@ -35,7 +35,7 @@ SHINGLE_WORDS, THRESHOLD = 5, 0.8
 TOKENS, LEVELS, LEAF_ROWS, BLOCK_ROWS = 64, 5, 256, 512
 #: A large bucket is not split again once it holds this share of the bucket it came from.
 STAYS_WHOLE = 0.7
-#: Wanted chance that a pair at the threshold meets in some bucket.
+#: Wanted chance that a pair at the threshold meets in some bucket and is compared.
 RECALL = 0.9999
 #: Sketch bytes that must agree for a pair to be compared exactly: four deviations under what the threshold gives.
 MIN_AGREE = math.floor(TOKENS * THRESHOLD - 4 * math.sqrt(TOKENS * THRESHOLD * (1 - THRESHOLD)))
@@ -134,8 +134,23 @@ def meeting_chance(similarity: float, levels: int, threshold: float = THRESHOLD)
     return chance
 
 
+def pair_recall(runs: int, levels: int = LEVELS, threshold: float = THRESHOLD) -> float:
+    """Chance that a pair at the threshold shares a bucket of some run and is compared.
+
+    All runs split on the same tokens: the number that a pair shares is binomial, and only given that number are runs
+    independent. Pairs that share fewer than MIN_AGREE count as missed.
+    """
+    return sum(math.comb(TOKENS, m) * threshold**m * (1 - threshold) ** (TOKENS - m) * (1 - (1 - meeting_chance(m / TOKENS, levels, threshold)) ** runs)
+               for m in range(MIN_AGREE, TOKENS + 1))
+
+
 def runs_needed(recall: float = RECALL, levels: int = LEVELS, threshold: float = THRESHOLD) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - meeting_chance(threshold, levels, threshold)))
+    if recall > pair_recall(10_000, levels, threshold):
+        raise ValueError(f"no number of runs reaches {recall}: too many pairs share fewer than {MIN_AGREE} tokens")
+    runs = 1
+    while pair_recall(runs, levels, threshold) < recall:
+        runs += 1
+    return runs
 
 
 def root_positions(runs: int, seed: int) -> list[tuple[int, int]]:

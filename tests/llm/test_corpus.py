@@ -139,6 +139,13 @@ def test_near_groups_with_a_hot_passage_and_large_groups(table):
     assert sum(r.stays for r in made) == len({c for _, c, _ in want})
 
 
+def test_runs_reach_the_recall_over_shared_tokens():
+    shared = np.random.default_rng(3).binomial(near.TOKENS, near.THRESHOLD, 400_000)
+    chance = np.array([near.meeting_chance(m / near.TOKENS, near.LEVELS) for m in range(near.TOKENS + 1)])[shared]
+    missed = np.where(shared < near.MIN_AGREE, 1.0, (1 - chance) ** near.runs_needed())
+    assert missed.mean() < 1.3 * (1 - near.RECALL)
+
+
 def test_runs_reach_the_recall():
     assert near.meeting_chance(0.8, 1) == pytest.approx(0.75 * 0.8 + 0.25 * 0.96)
     runs = near.runs_needed(0.99, 3)
