@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact, licences, lines, lm, mixing, near, pii, quality, toxicity
+from millrace.llm import bpe, exact, licences, lines, lm, mixing, near, pii, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +81,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return lm.score_texts(table(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op11_url_filter", urls.ORACLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), urls.default_rules(spark))
+    by_address = F.col("rank") > 0
+    return judged.select("page_id", "host", "path", F.when(by_address, F.col("rule")).alias("rule"), "verdict", F.when(~by_address, F.col("rule")).alias("pattern"))
