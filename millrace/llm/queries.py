@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact, licences, lines, lm, mixing, near, pii, quality, toxicity, urls
+from millrace.llm import bpe, clusters, exact, licences, lines, lm, mixing, near, pii, quality, resample, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), urls.default_rules(spark))
     by_address = F.col("rank") > 0
     return judged.select("page_id", "host", "path", F.when(by_address, F.col("rule")).alias("rule"), "verdict", F.when(~by_address, F.col("rule")).alias("pattern"))
+
+
+@query("op12_importance_resampling", resample.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.importance_scores(table(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("row")
+
+
+@query("op13_centroid_clusters", clusters.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))

@@ -20,13 +20,15 @@ COLUMNS = {
     9: ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     10: ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     11: ["page_id", "host", "path", "rule", "verdict"],
+    12: ["doc_id", "n_features", "weight", "score", "rank"],
+    13: ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 NAMES = {int(re.match(r"op(\d+)_", k)[1]): k for k in entry.queries() if re.match(r"op\d+_", k)}
 
 
 def test_all_are_registered():
     assert sorted(NAMES) == sorted(COLUMNS) and "pipeline" in entry.queries()
-    assert {k for k in entry.oracle_sql() if k in NAMES.values()} == {NAMES[n] for n in (3, 6, 9, 11)}
+    assert {k for k in entry.oracle_sql() if k in NAMES.values()} == {NAMES[n] for n in (3, 6, 9, 11, 12, 13)}
 
 
 @pytest.mark.parametrize("n", sorted(COLUMNS))
