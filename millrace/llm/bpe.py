@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 
 from millrace.llm.common import map_slices, with_text, worker_state
 
-#: Caches are emptied when they hold this many entries: states, token pairs, distinct pieces.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 100_000, 300_000, 200_000
+#: Caches are emptied when they hold this many entries: states, token pairs, distinct pieces (unless told otherwise).
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 100_000, 300_000, 400_000
 #: Longer pieces are run through the transducer each time instead of being kept.
 CACHED_PIECE_BYTES = 48
 #: Characters that are split into pieces at once, and tokens that are decoded at once.
@@ -37,14 +37,14 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class State:
     """Text since the earliest open place, and the last token of the prefix that ends at each open place.
 
-    ``last`` maps the distance back from the reading head to that token (None at the start of a piece);
-    distance 0 is the head itself.
+    ``last`` has the distance back from the reading head with that token (None at the start of a piece), the farthest
+    first; distance 0 is the head itself.
     """
 
     __slots__ = ("text", "last", "token", "next")
 
-    def __init__(self, text: bytes, last: dict[int, int | None]):
-        self.text, self.last, self.token = text, last, last[0]
+    def __init__(self, text: bytes, last: tuple[tuple[int, int | None], ...]):
+        self.text, self.last, self.token = text, last, last[-1][1]
         self.next: dict[int, State] = {}
 
 
@@ -56,7 +56,7 @@ class Transducer:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self.heads = {token[:n] for token in ranks for n in range(1, len(token))} | {b""}
-        self.start = State(b"", {0: None})
+        self.start = State(b"", ((0, None),))
         self.states: dict[tuple, State] = {}
         self.pairs: dict[tuple[int | None, int], bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
@@ -106,22 +106,25 @@ class Transducer:
             else:
                 return True
 
+    def token_after(self, state: State, byte: int) -> int:
+        """The last token when ``byte`` follows: of the tokens from an open place to here, the longest that may stand there."""
+        text, ranks = state.text + bytes((byte,)), self.ranks
+        end = len(text) - 1
+        for back, before in state.last:
+            found = ranks.get(text[end - back:])
+            if found is not None and self.may_follow(before, found):
+                return found
+        raise ValueError("ranks without all single bytes, or not from merges")
+
     def grow(self, state: State, byte: int) -> State:
         """The transition of ``state`` on ``byte``, made on first use."""
-        text, last = state.text + bytes((byte,)), state.last
-        size = len(text)
-        for at in range(size):  # one token fits
-            token = self.ranks.get(text[at:])
-            if token is not None and self.may_follow(last[size - 1 - at], token):
-                break
-        else:
-            raise ValueError("ranks without all single bytes, or not from merges")
-        heads = self.heads
-        opens = [back for back in range(size, 0, -1) if text[size - back:] in heads]
-        known = {back: last[back - 1] for back in opens}
-        known[0] = token
-        text = text[size - opens[0]:] if opens else b""
-        key = text, *known.values()
+        text, heads = state.text + bytes((byte,)), self.heads
+        end = len(text) - 1
+        token = self.token_after(state, byte)
+        known = [(back + 1, before) for back, before in state.last if text[end - back:] in heads]
+        text = text[end + 1 - known[0][0]:] if known else b""
+        known = (*known, (0, token))
+        key = text, known
         made = self.states.get(key)
         if made is None:
             if len(self.states) >= MAX_STATES:
@@ -135,13 +138,16 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        state, last, out, done, step = self.start, [], [], 0, 8 * self.longest
-        for at in range(0, len(piece), step):
-            for byte in piece[at:at + step]:
+        state, last, out, done, step, end = self.start, [], [], 0, 8 * self.longest, len(piece) - 1
+        for at in range(0, end, step):
+            for byte in piece[at:min(at + step, end)]:
                 state = state.next.get(byte) or self.grow(state, byte)
                 last.append(state.token)
-            if len(last) < len(piece):
+            if len(last) < end:
                 done = self._emit(last, done, state, out)
+        # nothing follows the last byte, so it needs a token but no state
+        after = state.next.get(piece[end])
+        last.append(after.token if after else self.token_after(state, piece[end]))
         out.extend(self._path(last, done, len(last)))
         return out
 
@@ -155,7 +161,7 @@ class Transducer:
 
     def _emit(self, last: list[int], done: int, state: State, out: list[int]) -> int:
         """Emit the tokens on which the readings up to all open places agree; gives the place they reach."""
-        paths = [self._path(last, done, len(last) - back) for back in state.last]
+        paths = [self._path(last, done, len(last) - back) for back, _ in state.last]
         agreed = 0
         while all(len(p) > agreed and p[agreed] == paths[0][agreed] for p in paths):
             agreed += 1
@@ -166,15 +172,15 @@ class Transducer:
 class Pieces(dict):
     """Packed ids (little-endian, 32 bits) by piece, with a bound on what is kept."""
 
-    def __init__(self, transducer: Transducer):
-        self.transducer = transducer
+    def __init__(self, transducer: Transducer, most: int):
+        self.transducer, self.most = transducer, most
 
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode()
         ids = self.transducer.piece(data)
         packed = pack(f"<{len(ids)}I", *ids)
         if len(data) <= CACHED_PIECE_BYTES:
-            if len(self) >= MAX_PIECES:
+            if len(self) >= self.most:
                 self.clear()
             self[piece] = packed
         return packed
@@ -183,9 +189,9 @@ class Pieces(dict):
 class Codec:
     """Encoding and decoding of whole texts by one vocabulary and piece pattern."""
 
-    def __init__(self, ranks_file: bytes, pattern: str):
+    def __init__(self, ranks_file: bytes, pattern: str, kept_pieces: int = MAX_PIECES):
         self.transducer = Transducer(read_ranks(ranks_file))
-        self.pieces = Pieces(self.transducer)
+        self.pieces = Pieces(self.transducer, kept_pieces)
         self.pattern = regex.compile(pattern)
         size = max(self.transducer.tokens) + 1
         self.bytes_of = [self.transducer.tokens.get(i, b"") for i in range(size)]
@@ -250,23 +256,24 @@ class Utf8Tail:
         return rest.decode("utf-8", "replace")
 
 
-def codec(ranks_file: bytes, pattern: str) -> Codec:
+def codec(ranks_file: bytes, pattern: str, kept_pieces: int = MAX_PIECES) -> Codec:
     """The codec of this Python process for a vocabulary and pattern; its caches live on from task to task."""
-    return worker_state(("bpe", hashlib.sha256(ranks_file).digest(), pattern), lambda: Codec(ranks_file, pattern))
+    return worker_state(("bpe", hashlib.sha256(ranks_file).digest(), pattern, kept_pieces), lambda: Codec(ranks_file, pattern, kept_pieces))
 
 
-def encode_documents(documents: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def encode_documents(documents: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False, kept_pieces: int = MAX_PIECES) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, and the ids (array of int) if asked for.
 
     A null text is read as empty: no tokens. Texts of any length are split, encoded and decoded in blocks.
     Repeated rows give repeated results, an empty table none; other columns are not read. The vocabulary file is
-    read on the driver and sent once per executor; its size is that of the vocabulary.
+    read on the driver and sent once per executor; its size is that of the vocabulary. A worker keeps the ids of up to
+    ``kept_pieces`` pieces (some 220 bytes each), which changes no result.
     """
     with open(ranks_path, "rb") as file:
         sent = documents.sparkSession.sparkContext.broadcast(file.read())
 
     def work(batch: pa.RecordBatch) -> dict:
-        coder = codec(sent.value, pattern)
+        coder = codec(sent.value, pattern, kept_pieces)
         counts, ids_sha, text_sha, ids = [], [], [], []
         for text in batch.column("text").to_pylist():
             packed = coder.encode(text)

@@ -9,14 +9,18 @@ holder can turn them back. Candidates that fail the check stay as they are.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+import secrets
 from collections.abc import Callable
 from datetime import date, timedelta
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import map_slices, with_text
+from millrace.session import shared_root
 
 ROUNDS = 8
 
@@ -113,7 +117,26 @@ def ipv4(text: str, swap: Swap) -> str | None:
     return ".".join(map(str, swap(int.from_bytes(bytes(parts), "big"), 1 << 32, b"ipv4").to_bytes(4, "big")))
 
 
+def ipv6(text: str, swap: Swap) -> str | None:
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    if text.upper() != text != text.lower() or not any(c.isdigit() for c in text):
+        return None
+    symbols = HEX if text == text.lower() else HEX.upper()
+    return permute_text(text, swap, b"ipv6", dict.fromkeys(symbols, symbols))  # groups keep their lengths
+
+
+#: Longer ones are no addresses.
+EMAIL_CHARS = 254
+#: Longer secrets are permuted in blocks of so many characters, which keeps the work linear.
+SECRET_CHARS = 256
+
+
 def email(text: str, swap: Swap) -> str | None:
+    if len(text) > EMAIL_CHARS:
+        return None
     name, _, top = text.rpartition(".")  # the top-level domain stays
     return f"{permute_text(name, swap, b'email')}.{top}"
 
@@ -122,7 +145,8 @@ def secret(text: str, swap: Swap) -> str | None:
     head = re.match(r"(?i)\w+\W+", text).group()
     value = text[len(head):]
     alphabet = dict.fromkeys(HEX, HEX) if set(value) <= set(HEX) else _ALPHABET_OF
-    return head + permute_text(value, swap, b"secret", alphabet)
+    blocks = [permute_text(value[at:at + SECRET_CHARS], swap, b"secret" + (b"%d" % at if at else b""), alphabet) for at in range(0, len(value), SECRET_CHARS)]
+    return head + "".join(blocks)
 
 
 def _iban_rest(body: str) -> int:
@@ -155,32 +179,46 @@ FIRST_DAY, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 
 
 def day(text: str, swap: Swap) -> str | None:
-    a, mark, b, _, c = re.fullmatch(r"(\d+)([./-])(\d+)([./-])(\d+)", text).groups()
-    iso = len(a) == 4
-    year, month, dom = (int(a), int(b), int(c)) if iso else (int(c), int(b), int(a))
+    """Dates as year-month-day, day and month before the year, or month/day/year where the middle can be no month."""
+    a, mark, b, c = re.fullmatch(r"(\d+)([./-])(\d+)[./-](\d+)", text).groups()
+    iso, month_first = len(a) == 4, mark == "/" and int(b) > 12
+    year, month, dom = (a, b, c) if iso else (c, a, b) if month_first else (c, b, a)
     try:
-        number = (date(year, month, dom) - FIRST_DAY).days
+        number = (date(int(year), int(month), int(dom)) - FIRST_DAY).days
     except ValueError:
         return None
     if not 0 <= number < DAYS:
         return None
-    new = FIRST_DAY + timedelta(days=swap(number, DAYS, b"date"))
-    return f"{new.year:04d}{mark}{new.month:02d}{mark}{new.day:02d}" if iso else f"{new.day:02d}{mark}{new.month:02d}{mark}{new.year:04d}"
+    padded = len(month) == len(dom) == 2
+
+    def fits(d: date) -> bool:
+        """Whether the day can be written in the layout of the given one and read from it again."""
+        return (padded or (len(str(d.month)), len(str(d.day))) == (len(month), len(dom))) and (d.day > 12 or not month_first)
+
+    new = None
+    while new is None or not fits(new):  # walk on within the dates of this layout
+        number = swap(number, DAYS, b"date")
+        new = FIRST_DAY + timedelta(days=number)
+    m, d = f"{new.month:0{len(month)}d}", f"{new.day:0{len(dom)}d}"
+    return mark.join([f"{new.year:04d}", m, d] if iso else [m, d, f"{new.year:04d}"] if month_first else [d, m, f"{new.year:04d}"])
 
 
 #: Types in order of precedence: pattern of candidates, and the function that checks and rewrites one.
 TYPES: dict[str, tuple[str, Callable[[str, Swap], str | None]]] = {
-    "email": (r"[\w%+-]+(?:\.[\w%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", email),
+    # a start lies at the beginning of a run of name characters and nothing is read twice, so long runs cost no more than their length
+    "email": (r"(?<![\w%+-])(?<![\w%+-]\.)[\w%+-]++(?:\.[\w%+-]++)*+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}", email),
     "secret": (r"(?i:\b(?:token|secret|password|api_?key))[^\w\n]{1,5}[0-9A-Za-z_+/-]{16,}", secret),
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", iban),
-    "ipv4": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", ipv4),
-    "date": (r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}(?P<sep>[./])\d{2}(?P=sep)\d{4})(?![./-]?\d)", day),
-    "phone": (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)", phone),
+    "ipv6": (r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![\w:])", ipv6),
+    # a number of a version is no address
+    "ipv4": (r"(?<![\w.])(?<!ersion )(?<!elease )\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", ipv4),
+    "date": (r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<sep>[./])\d{1,2}(?P=sep)\d{4})(?![./-]?\d)", day),
+    "phone": (r"(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}|\+\d{1,3}(?: \d{2,4}){2,4}|0\d{2,4} \d{3,4} \d{3,4})(?! ?\d)", phone),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", ssn),
     "card": (r"(?<!\d)(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}(?P<gap2>[ -])\d{6}(?P=gap2)\d{5})(?!\d)", card),
 }
 _CANDIDATE = re.compile("|".join(f"(?P<{name}>{pattern})" for name, (pattern, _) in TYPES.items()))
-_DIGIT = re.compile("[@0-9]")
+_DIGIT = re.compile("[@0-9]")  # of an IPv6 address too
 _NAMES = ("token", "secret", "password", "apikey", "api_key")
 
 
@@ -213,6 +251,27 @@ def pseudonymise(text: str, feistel: Feistel, inverse: bool = False) -> tuple[st
     return "\n".join([_CANDIDATE.sub(put, line) if _may_hold(line) else line for line in text.split("\n")]), counts
 
 
+KEY_CONF = "spark.millrace.pii.key"
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key set for the session; without one, a key drawn at random that is kept in the shared folder for later runs.
+
+    Pseudonyms can be turned back by whoever holds the key, so no key is part of the code.
+    """
+    given = spark.conf.get(KEY_CONF, None)
+    if given:
+        return given.encode()
+    path = f"{shared_root(spark)}/millrace/pii-key"
+    try:
+        return spark.read.text(path).first().value.encode()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([(secrets.token_hex(32),)], "value string").coalesce(1).write.mode("ignore").text(path)
+    return spark.read.text(path).first().value.encode()
+
+
 def pseudonymise_documents(documents: DataFrame, key: bytes, inverse: bool = False) -> DataFrame:
     """One row per row: doc_id, n_found, found_<type> for each type, and the text with pseudonyms.
 

@@ -63,7 +63,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_pii_pseudonyms")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise_documents(table(spark, sf_dir), spark.conf.get("spark.millrace.pii.key", "a key for trials").encode())
+    return pii.pseudonymise_documents(table(spark, sf_dir), pii.session_key(spark))
 
 
 @query("op8_near_duplicates")

@@ -39,11 +39,14 @@ def test_held_out_accuracy(tables, score, label, folds, fold):
     assert ((made.score >= 0.3) == (made.predicted == 1)).all()
 
 
-def test_held_out_labels_are_not_read(tables, spark):
+@pytest.mark.parametrize("score, label, folds, fold", [(toxicity.score_toxicity, "toxic", 4, 2), (quality.score_quality, "quality", 5, 0)])
+def test_held_out_labels_are_not_read(tables, score, label, folds, fold):
     documents, labels = tables
     small = labels.where("doc_id < 1500")
-    flipped = small.selectExpr("doc_id", "quality", "if(crc32(cast(doc_id as binary)) >= 0 and crc32(cast(cast(doc_id as string) as binary)) % 4 = 2, 1 - toxic, toxic) as toxic")
-    first, second = (toxicity.score_toxicity(documents.where("doc_id < 300"), x).orderBy("doc_id").toPandas() for x in (small, flipped))
+    held = f"crc32(cast(cast(doc_id as string) as binary)) % {folds} = {fold}"
+    flipped = small.selectExpr("doc_id", f"if({held}, 1 - {label}, {label}) as {label}")
+    assert small.where(held).count() > 50
+    first, second = (score(documents.where("doc_id < 300"), x).orderBy("doc_id").toPandas() for x in (small, flipped))
     assert first.equals(second)
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -99,12 +100,12 @@ def test_ids_match_the_library(coder, encoding):
 
 
 def test_caches_may_be_emptied_at_any_time(monkeypatch, coder, encoding):
-    for name in ("MAX_STATES", "MAX_PAIRS", "MAX_PIECES"):
+    for name in ("MAX_STATES", "MAX_PAIRS"):
         monkeypatch.setattr(bpe, name, 3)
     small = bpe.Codec.__new__(bpe.Codec)
     small.__dict__ |= coder.__dict__
     small.transducer = bpe.Transducer(coder.transducer.ranks)
-    small.pieces = bpe.Pieces(small.transducer)
+    small.pieces = bpe.Pieces(small.transducer, 3)
     text = "reinterpretations of unquestionably antidisestablishmentarian words " * 3
     assert np.frombuffer(small.encode(text), "<u4").tolist() == encoding.encode_ordinary(text)
 
@@ -156,7 +157,7 @@ TEXT = ("Mail und.34@mail7.example.com or +1 (017) 555-7713; cards 4111 1111 111
 def test_pseudonyms_keep_format_and_link_equal_values():
     f = pii.Feistel(b"key")
     made, counts = pii.pseudonymise(TEXT, f)
-    assert counts == {"email": 1, "secret": 1, "iban": 1, "ipv4": 1, "date": 2, "phone": 1, "ssn": 1, "card": 2}
+    assert counts == {"email": 1, "secret": 1, "iban": 1, "ipv6": 0, "ipv4": 1, "date": 2, "phone": 1, "ssn": 1, "card": 2}
     kinds = lambda t: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d+\.\d+\.\d+\.\d+", "ip", re.sub("[0-9a-f]{40}", "hex", t))))
     assert re.sub(r"\d", "9", kinds(made)) == re.sub(r"\d", "9", kinds(TEXT))
     first, second = re.search(r"cards ([\d ]+), (\d+)", made).groups()
@@ -167,6 +168,64 @@ def test_pseudonyms_keep_format_and_link_equal_values():
     assert pii.pseudonymise(TEXT, pii.Feistel(b"other"))[0] != made
 
 
+MORE = ("Write jörg@exämple.de, ..x@y.org and a.b@c.de; call 020 7946 0958, +44 20 7946 0958 or (017) 555-7713; hosts 2001:db8::8a2e:370:7334, FE80:0:0:0:1:2:3:4B, "
+        "not 12:34:56 nor std::a1b nor version 1.2.3.4 nor v1.2.3.4; on 3.4.2021, 13.4.2021, 12/31/2020, 04/05/2020 but not 31/31/2020 or 30.2.2021")
+
+
+def test_more_formats_go_and_come_back():
+    f = pii.Feistel(b"key")
+    made, counts = pii.pseudonymise(MORE, f)
+    assert counts == {"email": 3, "secret": 0, "iban": 0, "ipv6": 2, "ipv4": 0, "date": 4, "phone": 3, "ssn": 0, "card": 0}
+    assert len(made) == len(MORE) and pii.pseudonymise(made, f, inverse=True)[0] == MORE
+    for left in ("12:34:56", "std::a1b", "version 1.2.3.4", "v1.2.3.4", "31/31/2020", "30.2.2021", "@", "+44 "):
+        assert left in made
+
+
+def plain_scan(text, f):
+    """Every type's own pattern at every place, one after another."""
+    swap, out, at, n = (lambda v, size, tweak: f.permute(v, size, tweak)), [], 0, 0
+    kinds = [(re.compile(p), new) for p, new in pii.TYPES.values()]
+    while at < len(text):
+        found, made = next(((m, new(m[0], swap)) for pattern, new in kinds if (m := pattern.match(text, at))), (None, None))
+        out.append(text[at] if found is None else found[0] if made is None else made)
+        n += made is not None
+        at += len(found[0]) if found else 1
+    return "".join(out), n
+
+
+def test_pseudonyms_against_a_plain_scan(spark):
+    f = pii.Feistel(b"k")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    made = {r.doc_id: r for r in pii.pseudonymise_documents(docs, b"k").collect()}
+    found = 0
+    for r in docs.collect():
+        lines = [plain_scan(line, f) for line in (r.text or "").split("\n")]
+        assert (made[r.doc_id].text, made[r.doc_id].n_found) == ("\n".join(t for t, _ in lines), sum(n for _, n in lines))
+        found += made[r.doc_id].n_found
+    assert found > 20
+    assert plain_scan(TEXT, f)[0] == pii.pseudonymise(TEXT, f)[0] and plain_scan(MORE, f)[0] == pii.pseudonymise(MORE, f)[0]
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + "1", "a." * 500_000 + "1", "漢" * 300_000 + "@1", "a1@" * 300_000, "x@" + "b." * 300_000 + "1", "token=" + "aB3" * 300_000,
+                                  "a" * 300_000 + "@b.de", "1:" * 300_000, "1 " * 300_000 + "1.2.", "password " * 50_000])
+def test_long_unbroken_text_is_linear(text):
+    start = time.process_time()
+    f = pii.Feistel(b"key")
+    made, _ = pii.pseudonymise(text, f)
+    assert time.process_time() - start < 20 and len(made) == len(text)
+    assert pii.pseudonymise(made, f, inverse=True)[0] == text
+
+
+def test_no_key_is_part_of_the_code(spark):
+    key = pii.session_key(spark)
+    assert len(key) == 64 and pii.session_key(spark) == key
+    spark.conf.set(pii.KEY_CONF, "mine")
+    try:
+        assert pii.session_key(spark) == b"mine"
+    finally:
+        spark.conf.unset(pii.KEY_CONF)
+
+
 def test_pii_odd_rows(odd, none, table):
     made = pii.pseudonymise_documents(odd, b"k")
     assert sorted((r.doc_id or 0, r.text) for r in made.collect()) == sorted((r.doc_id or 0, r.text or "") for r in odd.collect())
