@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.joins import asof_join, close_intervals, interval_join, overlap_join
 from millrace.operators.rules import add_rule_columns
+from millrace.operators.windows import window_totals
 from millrace.queries.registry import Tables, day, ntz, query, rnd
 
 # ---------------------------------------------------------------- projection and filter
@@ -234,15 +235,16 @@ def join_interval(t: Tables):
 
 @query("join_theta_bucketed", sql="""
 WITH w AS (SELECT event_id AS win_id, ts AS w_start, ts + to_seconds((value * 2)::BIGINT) AS w_end FROM events WHERE event_type = 'error'),
- p AS (SELECT event_id, ts FROM events WHERE event_type = 'purchase')
-SELECT win_id, count(*) AS purchases, min(event_id) AS first_event FROM w JOIN p ON p.ts BETWEEN w_start AND w_end GROUP BY win_id""")
+ p AS (SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase')
+SELECT win_id, count(*) AS purchases, min(event_id) AS first_event, round(sum(value), 4) AS revenue, count(DISTINCT user_id) AS buyers
+ FROM w JOIN p ON p.ts BETWEEN w_start AND w_end GROUP BY win_id""")
 def join_theta_bucketed(t: Tables):
     spans = t.events.where("event_type = 'error'").select(
         F.col("event_id").alias("win_id"), F.col("ts").alias("w_start"),
         (F.col("ts") + F.make_dt_interval(secs=F.round(F.col("value") * 2).cast("decimal(18,6)"))).alias("w_end"))
-    points = t.events.where("event_type = 'purchase'").select("event_id", "ts", F.col("ts").alias("ts2"))
-    hits = overlap_join(spans, points, ("w_start", "w_end"), ("ts", "ts2"), 900)
-    return hits.groupBy("win_id").agg(F.count("*").alias("purchases"), F.min("event_id").alias("first_event"))
+    points = t.events.where("event_type = 'purchase'").select("event_id", "ts", "user_id", "value")
+    made = window_totals(spans, "win_id", ("w_start", "w_end"), points, "ts", "value", "user_id", "event_id")
+    return made.select("win_id", F.col("n").alias("purchases"), F.col("least").alias("first_event"), rnd("total").alias("revenue"), F.col("items").alias("buyers"))
 
 
 @query("join_asof", sql="""
