@@ -11,9 +11,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import yaml
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import OrderedGroups, settle
+from millrace.session import materialize
+
 REF = re.compile(r"MEASURE\(\s*`?([^`)]+?)`?\s*\)", re.IGNORECASE)
 ADDITIVE = re.compile(r"(?:sum|count)\((?!\s*distinct)[^()]*(?:\([^()]*\)[^()]*)*\)", re.IGNORECASE)
 DISTINCT = re.compile(r"count\(\s*distinct\s+([^(),]+)\)", re.IGNORECASE)
@@ -21,7 +24,7 @@ TRAILING = re.compile(r"trailing\s+(\d+)\s+(day|week|month|year)s?", re.IGNORECA
 
 
 @dataclass(frozen=True)
-class Window:
+class Reach:
     order: str
     range: str
     semiadditive: str = "last"
@@ -31,7 +34,7 @@ class Window:
 class Measure:
     name: str
     expr: str
-    window: Window | None = None
+    window: Reach | None = None
 
     def needs(self) -> list[str]:
         return REF.findall(self.expr)
@@ -51,7 +54,7 @@ class MetricView:
         measures = {}
         for m in spec.get("measures", []):
             win = m.get("window")
-            window = Window(win[0]["order"], str(win[0]["range"]), win[0].get("semiadditive", "last")) if win else None
+            window = Reach(win[0]["order"], str(win[0]["range"]), win[0].get("semiadditive", "last")) if win else None
             measures[m["name"]] = Measure(m["name"], m["expr"], window)
         # YAML 1.1 reads a bare `on` key as true
         joins = [{("on" if k is True else k): v for k, v in j.items()} for j in spec.get("joins", [])]
@@ -135,7 +138,7 @@ class MetricView:
         return result.select(*[f"`{k}`" for k in keys], *[f"`{m}`" for m in measures])
 
     def _by_window(self, names: Sequence[str]) -> list[list[Measure]]:
-        groups: dict[Window, list[Measure]] = {}
+        groups: dict[Reach, list[Measure]] = {}
         for n in names:
             groups.setdefault(self.measures[n].window, []).append(self.measures[n])
         return list(groups.values())
@@ -178,18 +181,7 @@ class MetricView:
         if win.range == "current":
             return rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*aggs)
         step = self._interval(win)
-        n, unit = TRAILING.fullmatch(win.range.strip()).groups()
-        spots = base.select(F.col(order).alias("__a")).distinct().where("__a IS NOT NULL")
-        # anchor values that see a row of value v: the existing anchors in (v, v + N units]
-        values = spots.withColumnRenamed("__a", "__v")
-        unit_step = F.expr(f"INTERVAL 1 {unit}")
-        grain = F.date_trunc(unit, F.col("__v"))
-        reach = values.withColumn("__m", F.explode(F.sequence(grain, F.date_trunc(unit, F.col("__v") + step), unit_step)))
-        anchors = spots.withColumn("__m", F.date_trunc(unit, F.col("__a")))
-        # distinct values of one dimension on both sides, joined by equality on the unit they share
-        seen = reach.join(anchors, "__m").where((F.col("__a") > F.col("__v")) & (F.col("__v") >= F.col("__a") - step))
-        seen = seen.groupBy("__v").agg(F.collect_set("__a").alias("__anchors"))
-        spread = lambda df: df.join(seen, F.col(order) == F.col("__v")).withColumn("__at", F.explode("__anchors"))
+        spread = self._spread(base, order, win, step)
         at = [F.col(f"`{k}`") for k in others] + [F.col("__at")]
         here = [F.col(f"`{k}`") for k in others] + [F.col(order)]
         parts = []
@@ -201,9 +193,7 @@ class MetricView:
         for m in group:
             one = DISTINCT.fullmatch(m.expr.strip())
             if one:
-                # exact distinct: equal items of one value collapse before spreading
-                small = rows.select(*here, F.expr(one.group(1)).alias("__item")).distinct()
-                parts.append(spread(small).groupBy(*at).agg(F.count_distinct("__item").alias(m.name)))
+                parts.append(self._trailing_distinct(rows, others, order, one.group(1), step, m.name))
             elif m not in additive:
                 parts.append(spread(rows).groupBy(*at).agg(F.expr(m.expr).alias(m.name)))
         named = parts[0]
@@ -214,6 +204,54 @@ class MetricView:
         grid = base.select(*[f"`{k}`" for k in keys]).distinct()
         return self._attach(grid, found, keys)
 
+    def _spread(self, base: DataFrame, order: str, win: Reach, step: Column) -> Callable[[DataFrame], DataFrame]:
+        """A function that gives rows the anchors they count for, as ``__at``."""
+        n, unit = TRAILING.fullmatch(win.range.strip()).groups()
+        spots = base.select(F.col(order).alias("__a")).distinct().where("__a IS NOT NULL")
+        # anchor values that see a row of value v: the existing anchors in (v, v + N units]
+        values = spots.withColumnRenamed("__a", "__v")
+        unit_step = F.expr(f"INTERVAL 1 {unit}")
+        grain = F.date_trunc(unit, F.col("__v"))
+        reach = values.withColumn("__m", F.explode(F.sequence(grain, F.date_trunc(unit, F.col("__v") + step), unit_step)))
+        anchors = spots.withColumn("__m", F.date_trunc(unit, F.col("__a")))
+        # distinct values of one dimension on both sides, joined by equality on the unit they share
+        seen = reach.join(anchors, "__m").where((F.col("__a") > F.col("__v")) & (F.col("__v") >= F.col("__a") - step))
+        seen = seen.groupBy("__v").agg(F.collect_set("__a").alias("__anchors"))
+        return lambda df: df.join(seen, F.col(order) == F.col("__v")).withColumn("__at", F.explode("__anchors"))
+
+    def _trailing_distinct(self, rows: DataFrame, others: Sequence[str], order: str, item: str, step: Column, name: str) -> DataFrame:
+        """Exact distinct counts at every anchor, linear in the distinct (item, value) pairs.
+
+        An item seen at a value counts for the anchors after it up to the last one in reach: an interval of anchor
+        numbers. An item's intervals rise with its values, so the part of one that its forerunner does not cover is known
+        from that alone. What each part adds at its first and takes after its last number is summed per number, and a running
+        total over the anchors gives the counts. A second count, of any row at all, tells no rows (null) from no items (0).
+        """
+        spots = rows.select(F.col(order).alias("__v")).distinct().where("__v IS NOT NULL")
+        # an anchor reaches back to a value if its own start of reach lies at or before it
+        marks = spots.select(F.explode(F.array(F.struct(F.col("__v").alias("__at"), F.lit(1).alias("__side"), F.col("__v")), F.struct(
+            (F.col("__v") - step).alias("__at"), F.lit(0).alias("__side"), F.lit(None).cast(spots.schema["__v"].dataType).alias("__v")))).alias("m")).select("m.*")
+        counts = {"__lo": ("sum", F.col("__side")), "__hi": ("sum", 1 - F.col("__side"))}
+        reach = OrderedGroups(materialize(marks, "anchors"), [], ["__at", "__side"]).running(counts).result()
+        # numbers of the anchors in reach: the next one up to the last
+        reach = materialize(reach.where("__side = 1").select("__v", "__lo", (F.col("__hi") - 1).alias("__hi")), "reach")
+        keys = {f"__g{i}": F.col(f"`{k}`") for i, k in enumerate(others)}
+        seen = rows.select(*[c.alias(n) for n, c in keys.items()], F.col(order).alias("__v"), F.expr(item).alias("__item")).distinct().join(reach, "__v")
+        seen = seen.select(*keys, "__lo", "__hi", "__item", F.lit(0).alias("__any")).where("__item IS NOT NULL").unionByName(
+            seen.select(*keys, "__lo", "__hi", F.lit(None).cast(seen.schema["__item"].dataType).alias("__item"), F.lit(1).alias("__any")).distinct())
+        # at most one row for each anchor in a group
+        ahead = F.lag("__hi").over(Window.partitionBy(*keys, "__any", "__item").orderBy("__lo"))
+        fresh = seen.withColumn("__lo", F.greatest("__lo", F.coalesce(ahead + 1, F.lit(0)))).where("__lo <= __hi")
+        ends = fresh.select(*keys, "__any", F.inline(F.array(F.struct(F.col("__lo").alias("__n"), F.lit(1).alias("__d")), F.struct((F.col("__hi") + 1).alias("__n"), F.lit(-1).alias("__d")))))
+        grid = rows.where(f"{order} IS NOT NULL").select(*[c.alias(n) for n, c in keys.items()], F.col(order).alias("__v")).distinct().join(reach.select("__v", (F.col("__lo") - 1).alias("__n")), "__v")
+        change = lambda any_: F.sum(F.when(F.col("__any") == any_, F.col("__d")).otherwise(0))
+        changes = ends.withColumn("__v", F.lit(None).cast(grid.schema["__v"].dataType)).unionByName(
+            grid.select(*keys, F.lit(0).alias("__any"), "__n", F.lit(0).alias("__d"), "__v"))
+        changes = changes.groupBy(*keys, "__n").agg(change(0).alias("__items"), change(1).alias("__rows"), F.max("__v").alias("__v"))
+        counts = OrderedGroups(settle(changes, "changes"), list(keys), ["__n"]).running({"__items": ("sum", F.col("__items")), "__rows": ("sum", F.col("__rows"))}).result()
+        counts = counts.where("__v IS NOT NULL AND __rows > 0")
+        return counts.select(*[F.col(n).alias(k) for n, k in zip(keys, others)], F.col("__v").alias("__at"), F.col("__items").alias(name))
+
     def _attach(self, grid: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
         g, f = grid.alias("g"), found.alias("f")
         on = F.lit(True)
@@ -222,7 +260,7 @@ class MetricView:
         return g.join(f, on, "left").select(
             *[F.col(f"g.`{k}`") for k in keys], *[F.col(f"f.`{c}`") for c in found.columns if c not in keys])
 
-    def _interval(self, win: Window):
+    def _interval(self, win: Reach):
         match = TRAILING.fullmatch(win.range.strip())
         if not match:
             raise ValueError(f"window range {win.range!r} is not supported")

@@ -39,3 +39,33 @@ def test_no_windows_or_points(spark):
     points = spark.createDataFrame([(START, 1.0, 1, 1)], "t timestamp, x double, item int, label int")
     total = lambda w, p: window_totals(w, "w", ("s", "e"), p, "t", "x", "item", "label").count()
     assert (total(windows, points), total(windows.where("false"), points), total(windows, points.where("false"))) == (1, 0, 0)
+
+
+VIEW = """
+source: t
+dimensions: [{name: Day, expr: d}, {name: Kind, expr: k}]
+measures:
+  - {name: Items, expr: count(DISTINCT x), window: [{order: Day, range: trailing 3 day, semiadditive: last}]}
+"""
+
+
+@pytest.mark.parametrize("dims", [["Day"], ["Kind", "Day"]])
+@pytest.mark.parametrize("split", [False, True])
+def test_trailing_distinct(spark, request, dims, split):
+    from millrace.plans.metric_view import MetricView
+
+    if split:
+        request.getfixturevalue("split_all")
+    rng = random.Random(3)
+    rows = [(START + dt.timedelta(days=rng.choice([0, 1, 2, 4, 5, 9, 10, 30])), rng.choice(["a", "b", None]), rng.choice([None, None, *range(6)])) for _ in range(60)] + [(None, "a", 1)]
+    table = spark.createDataFrame(rows, "d timestamp_ntz, k string, x int")
+    view = MetricView.from_yaml(VIEW)
+    made = sorted((tuple(r) for r in view.query(lambda _: table, dims, ["Items"]).collect()), key=str)
+    part = lambda r: r[1] if len(dims) == 2 else 0
+    want = []
+    for day, kind in {(r[0], part(r)) for r in rows}:
+        inside = [r for r in rows if day and r[0] and part(r) == kind and day - dt.timedelta(days=3) <= r[0] < day]
+        want.append((*([kind] if len(dims) == 2 else []), day, len({r[2] for r in inside} - {None}) if inside else None))
+    assert made == sorted(want, key=str)
+    plan = view.query(lambda _: table, dims, ["Items"])._jdf.queryExecution().toString()
+    assert "collect_set" not in plan
