@@ -13,6 +13,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import OrderedGroups
+from millrace.session import materialize
+
 from millrace.session import work_dir
 
 
@@ -86,6 +89,19 @@ def confusion(rows: DataFrame, label: str, prediction: str, by: Sequence[str] =
         "recall": F.try_divide(tp, tp + fn), "f1": F.try_divide(2 * tp, 2 * tp + fp + fn)})
 
 
+def auc(rows: DataFrame, label: str, score: str) -> DataFrame:
+    """One row, ``auc``: the chance that a row of label 1 scores above one of label 0, ties counting half; null without both.
+
+    Equal scores are counted first, so only distinct scores are ordered, in chunks, and any number of rows may share
+    one. A positive row beats the negatives of all lower scores and half of those that tie. Rows with a null are left out.
+    """
+    counts = rows.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("yes"), F.count_if(F.col(label) == 0).alias("no"))
+    ran = OrderedGroups(materialize(counts, "scores"), [], ["score"]).running({"upto": ("sum", F.col("no"))}).result()
+    beaten = F.sum(F.col("yes") * (F.col("upto") - F.col("no") / 2))
+    return ran.agg(F.try_divide(beaten, F.sum("yes") * F.sum("no")).alias("auc"))
+
+
 def business_value(rows: DataFrame, label: str, models: Sequence[str], worth: Mapping[tuple[int, int], float]) -> DataFrame:
     """Total worth of each model's decisions; ``worth`` maps (label, prediction) to money."""
     value = lambda m: sum(

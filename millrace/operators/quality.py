@@ -6,9 +6,11 @@ A rule whose predicate is null counts as failed.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,6 +118,25 @@ def fail_if_broken(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFr
     return df
 
 
+#: How the message of a broken rule reads, from which its name is taken again.
+BROKEN = re.compile(r"a row breaks (\w+) ")
+
+
+def update_or_keep(df: DataFrame, path: str) -> str | None:
+    """Write ``df`` as the new state of the dataset at ``path``, all or nothing; the broken rule's name if one stops it.
+
+    A job that fails commits no file, so readers of the dataset keep what was there.
+    """
+    try:
+        df.write.mode("append").parquet(path)
+    except PySparkException as error:
+        found = BROKEN.search(str(error))
+        if not found:
+            raise
+        return found[1]
+    return None
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows in the declared contract: names, order, types and comments; nulls in required fields abort."""
     loose = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])

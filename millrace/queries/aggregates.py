@@ -144,14 +144,12 @@ def agg_having(t: Tables):
     return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("copies")).where("copies > 1")
 
 
-@query("agg_pivot", sql="""
-SELECT strftime(ts, '%Y-%m-%d') AS d, count(*) FILTER (WHERE event_type = 'click') AS click, count(*) FILTER (WHERE event_type = 'error') AS error,
- count(*) FILTER (WHERE event_type = 'purchase') AS purchase FROM events GROUP BY 1""")
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("agg_pivot", sql="SELECT strftime(ts, '%Y-%m-%d') AS d, " + ", ".join(f"count(*) FILTER (WHERE event_type = '{e}') AS {e}" for e in EVENT_TYPES) + " FROM events GROUP BY 1")
 def agg_pivot(t: Tables):
-    return (
-        t.events.groupBy(day("ts").alias("d")).pivot("event_type", ["click", "error", "purchase"]).agg(F.count(F.lit(1)))
-        .fillna(0, ["click", "error", "purchase"])
-    )
+    return t.events.groupBy(day("ts").alias("d")).pivot("event_type", EVENT_TYPES).agg(F.count(F.lit(1))).fillna(0, EVENT_TYPES)
 
 
 @query("agg_histogram", sql="""

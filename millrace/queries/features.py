@@ -105,24 +105,24 @@ def feat_consolidate(t: Tables):
 
 
 @query("feat_c360", sql="""
-WITH o AS (SELECT o_custkey, count(*) AS bought, round(sum(o_totalprice), 2) AS spent, count(DISTINCT o_orderpriority) AS priorities,
-  max(o_orderdate) AS newest FROM orders WHERE o_totalprice > 1000 GROUP BY 1),
- e AS (SELECT user_id, count(*) AS visits, count(DISTINCT CAST(ts AS DATE)) AS visit_days, arg_min(event_type, (ts, event_id)) AS entered_by, max(ts) AS latest FROM events GROUP BY 1)
-SELECT c_custkey, lower(c_mktsegment) AS segment, bought, spent, priorities, visits, visit_days, entered_by,
- date_diff('day', CAST(newest AS DATE), DATE '2024-02-01')::INTEGER AS order_age_days, date_diff('day', CAST(latest AS DATE), DATE '2024-02-01')::INTEGER AS visit_age_days
-FROM customer JOIN o ON c_custkey = o_custkey JOIN e ON c_custkey = user_id""")
+WITH quarters AS (SELECT o_custkey, date_trunc('quarter', o_orderdate) AS quarter, count(*) AS n, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2),
+ buying AS (SELECT o_custkey, count(*) AS quarters, max(n) AS busiest, round(arg_max(value, quarter) / sum(value), 6) AS last_share FROM quarters GROUP BY 1),
+ steps AS (SELECT user_id, event_type, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events),
+ acting AS (SELECT user_id, round(count(*) FILTER (event_type = 'error') / count(*), 6) AS error_share, round(max(gap) / 3.6e9, 4) AS silent_hours FROM steps GROUP BY 1)
+SELECT c_custkey, coalesce(quarters, 0) AS quarters, coalesce(busiest, 0) AS busiest, last_share, error_share, silent_hours
+FROM customer LEFT JOIN buying ON c_custkey = o_custkey LEFT JOIN acting ON c_custkey = user_id""")
 def feat_c360(t: Tables):
-    clean = drop_failed(t.orders, [Rule("real_amount", "o_totalprice > 1000", "drop")])
-    o = clean.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count("*").alias("bought"), rnd(F.sum("o_totalprice"), 2).alias("spent"),
-        F.count_distinct("o_orderpriority").alias("priorities"), F.max("o_orderdate").alias("newest"))
-    e = t.events.groupBy(F.col("user_id").alias("c_custkey")).agg(
-        F.count("*").alias("visits"), F.count_distinct(F.to_date("ts")).alias("visit_days"),
-        F.min_by("event_type", F.struct("ts", "event_id")).alias("entered_by"), F.max("ts").alias("latest"))
-    as_of = F.to_date(F.lit("2024-02-01"))
-    return t.customer.join(o, "c_custkey").join(e, "c_custkey").select(
-        "c_custkey", F.lower("c_mktsegment").alias("segment"), "bought", "spent", "priorities", "visits", "visit_days", "entered_by",
-        F.datediff(as_of, F.to_date("newest")).alias("order_age_days"), F.datediff(as_of, F.to_date("latest")).alias("visit_age_days"))
+    """How steadily customers buy (by quarter) and how smoothly they act: every customer, also those without orders or events."""
+    by_quarter = t.orders.groupBy(F.col("o_custkey").alias("c_custkey"), F.date_trunc("quarter", "o_orderdate").alias("quarter")).agg(
+        F.count("*").alias("n"), F.sum("o_totalprice").alias("value"))
+    buying = by_quarter.groupBy("c_custkey").agg(
+        F.count("*").alias("quarters"), F.max("n").alias("busiest"), rnd(F.max_by("value", "quarter") / F.sum("value"), 6).alias("last_share"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    steps = OrderedGroups(t.events.select("user_id", "event_type", "event_id", at.alias("at")), ["user_id"], ["at", "event_id"]).lag({"before": "at"}).result()
+    acting = steps.groupBy(F.col("user_id").alias("c_custkey")).agg(
+        rnd(F.count_if(F.col("event_type") == "error") / F.count("*"), 6).alias("error_share"), rnd(F.max(F.col("at") - F.col("before")) / 3.6e9).alias("silent_hours"))
+    everyone = t.customer.select("c_custkey").join(buying, "c_custkey", "left").join(acting, "c_custkey", "left")
+    return everyone.fillna(0, ["quarters", "busiest"])
 
 
 @query("feat_count_flags", sql="""
@@ -200,11 +200,16 @@ def predictions(t: Tables):
 
 @query("eval_confusion", sql=f"""
 WITH {PRED}, c AS (SELECT count(*) FILTER (WHERE label=1 AND champion=1) AS tp, count(*) FILTER (WHERE label=0 AND champion=1) AS fp,
- count(*) FILTER (WHERE label=1 AND champion=0) AS fn, count(*) FILTER (WHERE label=0 AND champion=0) AS tn FROM p)
-SELECT *, round((tp+tn)/(tp+tn+fp+fn), 6) AS accuracy, round(tp/nullif(tp+fp,0), 6) AS "precision", round(tp/nullif(tp+fn,0), 6) AS recall, round(2*tp/nullif(2*tp+fp+fn,0), 6) AS f1 FROM c""")
+ count(*) FILTER (WHERE label=1 AND champion=0) AS fn, count(*) FILTER (WHERE label=0 AND champion=0) AS tn FROM p),
+ r AS (SELECT label, rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0 AS place FROM p JOIN documents USING (doc_id)),
+ u AS (SELECT (sum(place) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2) / nullif(count(*) FILTER (label = 1) * count(*) FILTER (label = 0), 0) AS auc FROM r)
+SELECT c.*, round(tp/nullif(tp+fp,0), 6) AS "precision", round((tp+tn)/(tp+tn+fp+fn), 6) AS accuracy, round(tp/nullif(tp+fn,0), 6) AS recall, round(2*tp/nullif(2*tp+fp+fn,0), 6) AS f1,
+ round(auc, 6) AS auc FROM c, u""")
 def eval_confusion(t: Tables):
     out = learning.confusion(predictions(t), "label", "champion")
-    return out.select("tp", "fp", "fn", "tn", *[rnd(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+    scored = t.documents.join(t.labels, "doc_id").select(F.col("quality").alias("label"), "n_chars")
+    out = out.withColumn("auc", learning.auc(scored, "label", "n_chars").scalar())
+    return out.select("tp", "fp", "fn", "tn", *[rnd(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1", "auc")])
 
 
 @query("eval_business_value", sql=f"""
@@ -215,13 +220,13 @@ def eval_business_value(t: Tables):
 
 
 @query("eval_set_pr", sql="""
-WITH a AS (SELECT o_custkey, list(DISTINCT o_orderpriority) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS predicted,
- list(DISTINCT o_orderpriority) FILTER (WHERE o_orderdate >= TIMESTAMP '1999-06-01') AS truth FROM orders GROUP BY 1)
+WITH a AS (SELECT o_custkey, list(DISTINCT o_orderpriority) FILTER (WHERE o_orderdate < TIMESTAMP '1999-01-01') AS predicted,
+ list(DISTINCT o_orderpriority) FILTER (WHERE o_orderdate >= TIMESTAMP '1999-01-01') AS truth FROM orders GROUP BY 1)
 SELECT o_custkey, round(len(list_intersect(coalesce(predicted, []), coalesce(truth, []))) / nullif(len(coalesce(predicted, [])), 0), 6) AS "precision",
  round(len(list_intersect(coalesce(predicted, []), coalesce(truth, []))) / nullif(len(coalesce(truth, [])), 0), 6) AS recall FROM a""")
 def eval_set_pr(t: Tables):
     kinds = lambda cond: F.collect_set(F.when(F.expr(cond), F.col("o_orderpriority")))
-    sets = t.orders.groupBy("o_custkey").agg(kinds("o_orderdate < '1998-01-01'").alias("predicted"), kinds("o_orderdate >= '1999-06-01'").alias("truth"))
+    sets = t.orders.groupBy("o_custkey").agg(kinds("o_orderdate < '1999-01-01'").alias("predicted"), kinds("o_orderdate >= '1999-01-01'").alias("truth"))
     p, r = learning.set_scores(F.col("predicted"), F.col("truth"))
     return sets.select("o_custkey", rnd(p, 6).alias("precision"), rnd(r, 6).alias("recall"))
 

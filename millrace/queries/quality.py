@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from millrace.operators import quality as q
 from millrace.plans.pipeline import Pipeline
+from millrace.session import work_dir
 from millrace.queries.registry import Tables, day, query, rnd
 
 ORDER_RULES = [
@@ -119,8 +120,16 @@ def schema_contract(t: Tables):
     return q.conform(raw, contract)
 
 
-@query("expect_fail", sql="SELECT o_orderkey, o_totalprice FROM orders")
+@query("expect_fail", sql="""
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (o_totalprice < 1000) AS poor FROM orders)
+SELECT 'known_key' AS rule, 'updated' AS outcome, n AS rows_after, NULL AS broken_rule FROM n
+UNION ALL SELECT 'fair_price', CASE WHEN poor > 0 THEN 'failed' ELSE 'updated' END, CASE WHEN poor > 0 THEN 0 ELSE n END, CASE WHEN poor > 0 THEN 'fair_price' END FROM n""")
 def expect_fail(t: Tables):
-    # the rule holds, so all rows pass; a broken row would abort the job that reads it
-    rules = [q.Rule("has_key", "o_orderkey >= 0", "fail")]
-    return q.fail_if_broken(t.orders, rules, "orders").select("o_orderkey", "o_totalprice")
+    """Two updates of an empty dataset: one whose rule holds, and one that a broken row makes fail, which leaves the dataset as it was."""
+    tries = [("known_key", "o_orderkey >= 0"), ("fair_price", "o_totalprice >= 1000")]
+    made = []
+    for name, predicate in tries:
+        broken = q.update_or_keep(q.fail_if_broken(t.orders, [q.Rule(name, predicate, "fail")], "orders"), path := work_dir(t.spark, f"expect-{name}"))
+        left = 0 if broken else t.spark.read.parquet(path).count()
+        made.append((name, "failed" if broken else "updated", left, broken))
+    return t.spark.createDataFrame(made, "rule string, outcome string, rows_after long, broken_rule string")

@@ -89,6 +89,25 @@ def test_rule_columns_name_the_bad_rule(spark, users):
         add_rule_columns(users, rules)
 
 
+def test_rules_are_ordered_by_need(spark, users):
+    made = lambda rows: spark.createDataFrame(rows, "rule_id long, adds string, formula string, in_use boolean")
+    out = add_rule_columns(users, made([(1, "b", "a + 1", True), (2, "a", "id * 2", True), (3, "c", "a + b", True), (4, "d", "nope", False)]))
+    assert all((r.a, r.b, r.c) == (r.id * 2, r.id * 2 + 1, r.id * 4 + 1) for r in out.where("id IS NOT NULL").collect())
+    with pytest.raises(ValueError, match="need each other: a, b"):
+        add_rule_columns(users, made([(1, "b", "a + 1", True), (2, "a", "b * 2", True)]))
+
+
+def test_auc_counts_ties_half(spark):
+    from millrace.operators.learning import auc
+
+    rows = [(1, 3.0), (0, 3.0), (1, 5.0), (0, 1.0), (0, 5.0), (1, 5.0), (None, 2.0), (1, None)]
+    yes, no = [s for y, s in rows if y == 1 and s], [s for y, s in rows if y == 0]
+    want = sum((a > b) + (a == b) / 2 for a in yes for b in no) / (len(yes) * len(no))
+    table = spark.createDataFrame(rows, "y int, s double")
+    assert auc(table, "y", "s").first().auc == pytest.approx(want)
+    assert auc(table.where("y = 1"), "y", "s").first().auc is None
+
+
 def test_metric_view_grain_and_windows(spark):
     rows = spark.createDataFrame([("2024-01", "a", 1, 10.0), ("2024-01", "b", 2, 5.0), ("2024-02", "a", 1, 7.0), ("2024-04", "a", 3, 1.0)], "m string, g string, u int, x double")
     rows = rows.withColumn("m", F.to_timestamp(F.concat("m", F.lit("-01"))))
