@@ -13,10 +13,10 @@ KEYS = sorted(QUERIES)
 
 pytestmark = pytest.mark.skipif(not glob.glob(f"{SF}/*.parquet"), reason="test tables are not here")
 
-# Model fits, hashed vectors and section chunks have no SQL twin; others must have one.
+# Model fits, hashed vectors, section chunks and approximate neighbours have no SQL twin; others must have one.
 ROWS_ONLY = {
     "ml_prep", "ml_train_score", "ml_batch_score", "ml_lookup_score",
-    "embed_hashing", "text_classify", "chunk_sections",
+    "embed_hashing", "text_classify", "chunk_sections", "vector_ann_neighbours",
 }
 
 
@@ -37,4 +37,4 @@ def test_only_listed_queries_lack_sql():
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.count() > 0 and "visit_age_days" in df.columns
+    assert df.count() > 0 and "silent_hours" in df.columns
