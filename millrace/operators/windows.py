@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import OrderedGroups, global_numbers
+from millrace.operators.ordered import OrderedGroups, global_numbers, settle
 from millrace.session import materialize
 
 #: Sums are kept as decimals, whose differences lose nothing.
@@ -55,7 +55,7 @@ def window_totals(windows: DataFrame, window_id: str, bounds: tuple[str, str], p
     marks = numbered.select("t", F.lit(1).alias("side"), "x", F.lit(1).alias("one"), F.lit(None).cast("long").alias("w")).unionByName(
         spans.select(F.col("s").alias("t"), F.lit(0).alias("side"), nothing, F.lit(0).alias("one"), "w")).unionByName(
         spans.select(F.col("e").alias("t"), F.lit(2).alias("side"), nothing, F.lit(0).alias("one"), "w"))
-    ran = OrderedGroups(materialize(marks, "marks"), [], ["t", "side"]).running({"n": ("sum", F.col("one")), "total": ("sum", F.coalesce("x", F.lit(0).cast(EXACT)))}).result()
+    ran = OrderedGroups(marks, [], ["t", "side"]).running({"n": ("sum", F.col("one")), "total": ("sum", F.coalesce("x", F.lit(0).cast(EXACT)))}).result()
     ends = ran.where("w IS NOT NULL").groupBy("w").agg(*[F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{c}{side}") for side in (0, 2) for c in ("n", "total")])
     found = ends.join(spans.select("w", "id"), "w").select("w", "id", F.col("n0").alias("a"), F.col("n2").alias("b"), (F.col("total2") - F.col("total0")).alias("total")).where("b > a")
     found = materialize(found, "ranges")
@@ -73,7 +73,7 @@ def window_totals(windows: DataFrame, window_id: str, bounds: tuple[str, str], p
     firsts = before.select("r", F.coalesce("before", F.lit(-1)).alias("key"), level).select("level", inside, "key", F.lit(1).alias("one"), F.lit(None).cast("long").alias("w"))
     # of equal numbers the window goes first: a previous point at its very start lies inside it
     lined = firsts.withColumn("key", 2 * F.col("key") + 1).unionByName(asked.select("level", "block", (2 * F.col("a")).alias("key"), F.lit(0).alias("one"), "w"))
-    counted = OrderedGroups(materialize(lined, "blocks"), ["level", "block"], ["key"]).running({"fresh": ("sum", F.col("one"))}).result().where("w IS NOT NULL")
+    counted = OrderedGroups(settle(lined, "blocks"), ["level", "block"], ["key"]).running({"fresh": ("sum", F.col("one"))}).result().where("w IS NOT NULL")
     distinct = counted.groupBy("w").agg(F.sum("fresh").alias("items"))
     out = found.join(smallest, "w").join(distinct, "w", "left")
     return out.select(F.col("id").alias(window_id), (F.col("b") - F.col("a")).alias("n"), "total", F.coalesce("items", F.lit(0)).alias("items"), "least")

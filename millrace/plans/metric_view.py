@@ -14,7 +14,7 @@ import yaml
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import OrderedGroups, settle
+from millrace.operators.ordered import OrderedGroups
 from millrace.session import materialize
 
 REF = re.compile(r"MEASURE\(\s*`?([^`)]+?)`?\s*\)", re.IGNORECASE)
@@ -227,7 +227,11 @@ class MetricView:
         from that alone. What each part adds at its first and takes after its last number is summed per number, and a running
         total over the anchors gives the counts. A second count, of any row at all, tells no rows (null) from no items (0).
         """
-        spots = rows.select(F.col(order).alias("__v")).distinct().where("__v IS NOT NULL")
+        keys = {f"__g{i}": F.col(f"`{k}`") for i, k in enumerate(others)}
+        # the one pass over the rows: everything else follows from the distinct items of a value
+        pairs = rows.where(f"{order} IS NOT NULL").select(*[c.alias(n) for n, c in keys.items()], F.col(order).alias("__v"), F.expr(item).alias("__item")).distinct()
+        pairs = materialize(pairs, "items-by-value")
+        spots = pairs.select("__v").distinct()
         # an anchor reaches back to a value if its own start of reach lies at or before it
         marks = spots.select(F.explode(F.array(F.struct(F.col("__v").alias("__at"), F.lit(1).alias("__side"), F.col("__v")), F.struct(
             (F.col("__v") - step).alias("__at"), F.lit(0).alias("__side"), F.lit(None).cast(spots.schema["__v"].dataType).alias("__v")))).alias("m")).select("m.*")
@@ -235,20 +239,19 @@ class MetricView:
         reach = OrderedGroups(materialize(marks, "anchors"), [], ["__at", "__side"]).running(counts).result()
         # numbers of the anchors in reach: the next one up to the last
         reach = materialize(reach.where("__side = 1").select("__v", "__lo", (F.col("__hi") - 1).alias("__hi")), "reach")
-        keys = {f"__g{i}": F.col(f"`{k}`") for i, k in enumerate(others)}
-        seen = rows.select(*[c.alias(n) for n, c in keys.items()], F.col(order).alias("__v"), F.expr(item).alias("__item")).distinct().join(reach, "__v")
+        seen = pairs.join(reach, "__v")
         seen = seen.select(*keys, "__lo", "__hi", "__item", F.lit(0).alias("__any")).where("__item IS NOT NULL").unionByName(
             seen.select(*keys, "__lo", "__hi", F.lit(None).cast(seen.schema["__item"].dataType).alias("__item"), F.lit(1).alias("__any")).distinct())
         # at most one row for each anchor in a group
         ahead = F.lag("__hi").over(Window.partitionBy(*keys, "__any", "__item").orderBy("__lo"))
         fresh = seen.withColumn("__lo", F.greatest("__lo", F.coalesce(ahead + 1, F.lit(0)))).where("__lo <= __hi")
         ends = fresh.select(*keys, "__any", F.inline(F.array(F.struct(F.col("__lo").alias("__n"), F.lit(1).alias("__d")), F.struct((F.col("__hi") + 1).alias("__n"), F.lit(-1).alias("__d")))))
-        grid = rows.where(f"{order} IS NOT NULL").select(*[c.alias(n) for n, c in keys.items()], F.col(order).alias("__v")).distinct().join(reach.select("__v", (F.col("__lo") - 1).alias("__n")), "__v")
+        grid = pairs.select(*keys, "__v").distinct().join(reach.select("__v", (F.col("__lo") - 1).alias("__n")), "__v")
         change = lambda any_: F.sum(F.when(F.col("__any") == any_, F.col("__d")).otherwise(0))
         changes = ends.withColumn("__v", F.lit(None).cast(grid.schema["__v"].dataType)).unionByName(
             grid.select(*keys, F.lit(0).alias("__any"), "__n", F.lit(0).alias("__d"), "__v"))
         changes = changes.groupBy(*keys, "__n").agg(change(0).alias("__items"), change(1).alias("__rows"), F.max("__v").alias("__v"))
-        counts = OrderedGroups(settle(changes, "changes"), list(keys), ["__n"]).running({"__items": ("sum", F.col("__items")), "__rows": ("sum", F.col("__rows"))}).result()
+        counts = OrderedGroups(materialize(changes, "changes"), list(keys), ["__n"]).running({"__items": ("sum", F.col("__items")), "__rows": ("sum", F.col("__rows"))}).result()
         counts = counts.where("__v IS NOT NULL AND __rows > 0")
         return counts.select(*[F.col(n).alias(k) for n, k in zip(keys, others)], F.col("__v").alias("__at"), F.col("__items").alias(name))
 
