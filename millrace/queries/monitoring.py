@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import cdc, monitor
+from millrace.operators import cdc, monitor, sketches
+from millrace.operators.aggregates import exact_percentiles
 from millrace.operators.joins import close_intervals, interval_join
 from millrace.queries.registry import Tables, day, ntz, query, rnd
+from millrace.session import materialize
 
 def year():
     return F.date_format("l_shipdate", "yyyy")
@@ -27,6 +29,34 @@ def profile_metrics(t: Tables):
                        rnd("avg", 6).alias("mean"), rnd("sd", 6).alias("sd"), F.col("distinct").alias("kinds"))
 
 
+GRAINS, MARKS = ("day", "week", "month"), (0.1, 0.5, 0.9)
+
+
+@query("profile_granular", sql="""
+WITH g AS (SELECT *, CASE grain WHEN 'day' THEN date_trunc('day', ts) WHEN 'week' THEN date_trunc('week', ts) ELSE date_trunc('month', ts) END AS win,
+  unnest(['*', 'type']) AS slice_key, unnest(['*', event_type]) AS slice_value FROM events, (SELECT unnest(['day', 'week', 'month']) AS grain))
+SELECT grain, strftime(win, '%Y-%m-%d') AS win, slice_key, slice_value, count(*) AS "rows", count(*) - count(value) AS nulls, min(value) AS lo, max(value) AS hi, round(avg(value), 6) AS mean,
+ round(quantile_cont(value, 0.5), 6) AS median, true AS quantiles_near, count(DISTINCT user_id) AS users, true AS users_near FROM g GROUP BY 1, 2, 3, 4""")
+def profile_granular(t: Tables):
+    """Days, weeks and months from hourly sketches, each held against the exact median, ranks and distinct users."""
+    slices = {"type": "event_type"}
+    fine = materialize(sketches.fine_profile(t.events, "ts", ["value"], ["user_id"], slices), "hours")
+    keys = ["grain", "win", "slice_key", "slice_value"]
+    lines = sketches.merged_profile(fine, ["value"], ["user_id"], list(slices), GRAINS, MARKS)
+    lines = lines.withColumn("slice_value", F.when(F.col("slice_key").isNull(), "*").otherwise(F.coalesce("slice_value", F.lit("-")))).withColumn("slice_key", F.coalesce("slice_key", F.lit("*")))
+    lines = materialize(lines, "levels")
+    value = lines.where("column_name = 'value'").select(*keys, "rows", "nulls", F.col("min").alias("lo"), F.col("max").alias("hi"), rnd("mean", 6).alias("mean"))
+    users = lines.where("column_name = 'user_id'").select(*keys, "distinct_about")
+    guesses = lines.where("column_name = 'value'").select(*keys, "quantiles")
+    rows = sketches.levels(t.events.select("ts", "event_type", "value", "user_id"), "ts", slices, GRAINS)
+    near = sketches.ranks_near(rows, keys, "value", guesses, MARKS, 0.01)
+    median = exact_percentiles(rows, keys, "value", {"median": 0.5})
+    exact = rows.groupBy(*keys, "user_id").agg(F.count("*").alias("n")).groupBy(*keys).agg(F.count("user_id").alias("users"))
+    out = value.join(users, keys).join(near, keys, "left").join(median, keys, "left").join(exact, keys)
+    return out.select("grain", day("win").alias("win"), "slice_key", "slice_value", "rows", "nulls", "lo", "hi", "mean", rnd("median", 6).alias("median"), F.col("near").alias("quantiles_near"),
+                      "users", (F.abs(F.col("distinct_about") - F.col("users")) <= 0.05 * F.col("users") + 1).alias("users_near"))
+
+
 @query("profile_custom", sql="\nUNION ALL ".join(
     f"""SELECT l_returnflag, '{c}' AS column_name, round(sum({c} * {c}), 2) AS squares, count({c})::DOUBLE AS filled, round(sqrt(sum({c} * {c}) / count({c})), 6) AS rms FROM lineitem GROUP BY 1"""
     for c in ("l_quantity", "l_tax")))
