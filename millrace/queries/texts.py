@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as tx
 from millrace.functions.columns import hash_bucket
 from millrace.operators import text as jobs
-from millrace.operators import vectors
+from millrace.operators import similar, vectors
 from millrace.operators.ann import VectorIndex, recall_of
 from millrace.operators.sampling import top_per_group
 from millrace.queries.registry import Tables, query, rnd
@@ -106,6 +106,32 @@ def text_similarity(t: Tables):
     return sets.join(nxt, ["conv_id", "turn"]).select("conv_id", "turn", rnd(tx.jaccard(F.col("w"), F.col("w2")), 6).alias("similarity"))
 
 
+TURN_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[ \t\r\n]+'), lambda x: x <> '')"
+
+
+@query("turn_links", sql=f"""
+WITH s AS (SELECT row_number() OVER () AS id, conv_id, turn, list_distinct({TURN_WORDS}) AS w FROM conversations), k AS (SELECT id, len(w) AS n, unnest(w) AS word FROM s),
+ p AS (SELECT a.id, b.id AS other, count(*) AS common, any_value(a.n) AS n, any_value(b.n) AS m FROM k a JOIN k b ON a.word = b.word AND a.id <> b.id GROUP BY 1, 2),
+ l AS (SELECT id, count(*) AS links FROM p WHERE common >= 0.6 * (n + m - common) - 1e-9 GROUP BY 1), c AS (SELECT list_sort(w) AS w, count(*) AS copies FROM s GROUP BY 1)
+SELECT conv_id, turn, copies, coalesce(links, 0) AS links FROM s JOIN c ON list_sort(s.w) = c.w LEFT JOIN l USING (id)""")
+def turn_links(t: Tables):
+    """Turns of any conversation with at least six tenths of their words in common."""
+    turns = t.conversations.select("conv_id", "turn", tx.words(F.lower("text")).alias("w"))
+    return similar.set_links(turns, ["conv_id", "turn"], "w", 0.6).drop("class_id")
+
+
+@query("turn_cosine_links", sql=f"""
+WITH s AS (SELECT row_number() OVER () AS id, conv_id, turn, {TURN_WORDS} AS w FROM conversations), k AS (SELECT id, word, count(*) AS times FROM (SELECT id, unnest(w) AS word FROM s) GROUP BY 1, 2),
+ f AS (SELECT word, ln((SELECT count(*) FROM s) / count(*)) + 1 AS idf FROM k GROUP BY 1), v AS (SELECT id, word, times * idf AS x FROM k JOIN f USING (word)),
+ u AS (SELECT id, word, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM v), p AS (SELECT a.id, b.id AS other, sum(a.x * b.x) AS likeness FROM u a JOIN u b ON a.word = b.word AND a.id <> b.id GROUP BY 1, 2),
+ l AS (SELECT id, count(*) AS links FROM p WHERE likeness >= 0.3 - 1e-9 GROUP BY 1)
+SELECT conv_id, turn, coalesce(links, 0) AS links FROM s LEFT JOIN l USING (id)""")
+def turn_cosine_links(t: Tables):
+    """Turns whose weighted words point the same way; the threshold is low, as invented turns share no topics."""
+    turns = t.conversations.select("conv_id", "turn", tx.words(F.lower("text")).alias("w"))
+    return similar.cosine_links(turns, ["conv_id", "turn"], "w", 0.3).drop("class_id", "copies")
+
+
 # Patterns of the rule classifier and the extractor.
 CLASS_RULES = {"link": "https?://", "mail": "[a-zA-Z0-9._]+@[a-zA-Z0-9.]+", "number": "[0-9]{3,}"}
 FIELD_RULES = {"mail": "[a-zA-Z0-9._]+@[a-zA-Z0-9]+[.][a-z]+", "address": "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}", "number": "[0-9]{4,}"}
