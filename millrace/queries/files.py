@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from millrace.operators import cdc
 from millrace.queries.registry import Tables, day, query, rnd
 from millrace.session import rebalanced, work_dir
-from millrace.sources import files
+from millrace.sources import evolution, files
 from millrace.sources.snapshots import VersionedTable, morton_key
 
 
@@ -91,6 +91,28 @@ def schema_evolve(t: Tables):
     return files.read_files(t.spark, path, "json", schema).select("c_custkey", "c_acctbal", "c_mktsegment")
 
 
+@query("schema_widen", sql="""
+SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN c_nationkey::VARCHAR WHEN 1 THEN (10000000000 + c_custkey)::VARCHAR WHEN 2 THEN (floor(c_acctbal) + 0.25)::VARCHAR ELSE c_mktsegment END AS score,
+ CASE WHEN c_custkey % 4 < 3 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 4 IN (1, 2) THEN c_name END AS name, CASE WHEN c_custkey % 4 = 3 THEN '{"who":"' || c_name || '"}' END AS _rescued_data,
+ 4 AS versions FROM customer""")
+def schema_widen(t: Tables):
+    """A folder whose score turns from int to long, double and text, whose struct grows, and is a plain name at last."""
+    path, kept = work_dir(t.spark, "widen"), evolution.WideningSchema(t.spark, work_dir(t.spark, "widen-schema"), {"score": "int"})
+    plain, named = F.struct(F.col("c_mktsegment").alias("segment")), F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name"))
+    steps = [(F.col("c_nationkey"), plain), (F.col("c_custkey") + 10_000_000_000, named), (F.floor("c_acctbal") + F.lit(0.25), named), (F.col("c_mktsegment"), F.col("c_name"))]
+    versions = 0
+    for i, (score, who) in enumerate(steps):
+        t.customer.where(F.col("c_custkey") % 4 == i).select(F.col("c_custkey").alias("id"), score.alias("score"), who.alias("who")).write.mode("append").json(path)
+        try:
+            schema = kept.resolve(path)
+            versions += i == 0
+        except evolution.SchemaWidened:
+            versions += 1
+            schema = kept.resolve(path)  # the restart adopts the wider schema
+    rows = evolution.read_widened(t.spark.read.text(path), schema)
+    return rows.select("id", "score", "who.segment", "who.name", "_rescued_data", F.lit(versions).alias("versions"))
+
+
 @query("ingest_incremental", sql="SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
 def ingest_incremental(t: Tables):
     source, target, ckpt = (work_dir(t.spark, x) for x in ("ingest-in", "ingest-out", "ingest-ckpt"))

@@ -121,6 +121,28 @@ def scripted_sum(t: Tables):
     return spark.sql("SELECT o_orderstatus, round(sum(o_totalprice), 2) AS total, count(*) AS n FROM orders WHERE o_totalprice > :floor GROUP BY 1", args={"floor": floor})
 
 
+@query("scripted_loop", sql="""
+WITH g AS (SELECT o_orderpriority AS priority, count(*) AS n, sum(o_totalprice) AS total, count(*) FILTER (WHERE o_orderstatus = 'P') AS parted FROM orders GROUP BY 1)
+SELECT priority, n, round(total, 2) AS total, round(sum(total) OVER (ORDER BY priority ROWS UNBOUNDED PRECEDING), 2) AS so_far, CASE WHEN parted > 0 THEN round(n / parted, 6) END AS per_parted FROM g""")
+def scripted_loop(t: Tables):
+    """A block with a loop and a handler, run by Spark: the rows are aggregated first, the loop walks the few groups."""
+    return t.views("orders").sql("""
+BEGIN
+  DECLARE so_far DOUBLE DEFAULT 0;
+  DECLARE ratio DOUBLE;
+  DECLARE lines ARRAY<STRUCT<priority: STRING, n: BIGINT, total: DOUBLE, so_far: DOUBLE, per_parted: DOUBLE>> DEFAULT array();
+  FOR g AS SELECT o_orderpriority AS priority, count(*) AS n, sum(o_totalprice) AS total, count_if(o_orderstatus = 'P') AS parted FROM orders GROUP BY 1 ORDER BY 1 DO
+    SET so_far = so_far + g.total;
+    BEGIN
+      DECLARE EXIT HANDLER FOR DIVIDE_BY_ZERO SET ratio = NULL;
+      SET ratio = round(g.n / g.parted, 6);
+    END;
+    SET lines = array_append(lines, named_struct('priority', g.priority, 'n', g.n, 'total', round(g.total, 2), 'so_far', round(so_far, 2), 'per_parted', ratio));
+  END FOR;
+  SELECT inline(lines);
+END""")
+
+
 # ---------------------------------------------------------------- user functions
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.operators import cdc
 from millrace.queries.changes import FEED, feed
 from millrace.queries.registry import Tables, ntz, query, rnd
-from millrace.session import work_dir
+from millrace.session import conf_int, work_dir
 from millrace.sources.snapshots import VersionedTable
-from millrace.streaming import jobs, sessions
+from millrace.streaming import accounts, jobs, sessions
 
 
 def events(t: Tables, delay: str = "1 hour"):
@@ -146,3 +147,54 @@ def stream_stream_join(t: Tables):
     buys = events(t).where("event_type = 'purchase'").select(F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("p_ts")).withColumn("p_slot", hour("p_ts"))
     near = F.expr("u = user_id AND slot = p_slot AND p_ts >= c_ts AND p_ts <= c_ts + INTERVAL 6 HOURS")
     return jobs.drain(clicks.join(buys, near).select("click_id", "purchase_id"), "pair")
+
+
+@query("st_late_rows", sql="""
+WITH w AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS mark FROM events WHERE event_type <> 'error')
+SELECT 1 AS run, count(*) AS rows_in, 0::BIGINT AS late, count(*) AS kept FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 2, count(*), count(*) FILTER (WHERE ts <= mark), count(*) FILTER (WHERE ts > mark) FROM events, w WHERE event_type = 'error'""")
+def st_late_rows(t: Tables):
+    """Errors are delivered after everything else; those behind the watermark are dropped, and counted by the query's own reports."""
+    path, out, ckpt = (work_dir(t.spark, x) for x in ("late-in", "late-out", "late-ckpt"))
+    made = []
+    with accounts.followed(t.spark) as followed:
+        for run, part in enumerate(("event_type <> 'error'", "event_type = 'error'"), 1):
+            t.events.where(part).write.mode("append").parquet(path)
+            stream = jobs.with_event_time(jobs.file_stream(t.spark, path, t.events.schema), "ts", "1 hour")
+            once = stream.dropDuplicatesWithinWatermark(["event_id"]).select("event_id", "event_type")
+            ended = once.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+            ended.awaitTermination()
+            followed.wait(ended)
+            made.append((run, str(ended.runId), "error" if run == 2 else "other"))
+    runs = t.spark.createDataFrame(made, "run_number int, run string, kind string")
+    reported = followed.table().join(runs, "run").groupBy("run_number", "kind").agg(F.sum("rows_in").alias("rows_in"), F.sum("late").alias("late"))
+    kept = t.spark.read.schema("event_id long, event_type string").parquet(out).groupBy(F.when(F.col("event_type") == "error", "error").otherwise("other").alias("kind")).agg(F.count("*").alias("kept"))
+    return reported.join(kept, "kind", "left").select(F.col("run_number").alias("run"), "rows_in", "late", F.coalesce("kept", F.lit(0).cast("long")).alias("kept"))
+
+
+@query("st_restart", sql="SELECT event_type, count(*) AS n, round(sum(value), 2) AS total, true AS broke FROM events GROUP BY 1")
+def st_restart(t: Tables):
+    """A writer that fails after its second batch is written and before it is committed; the restart writes that batch again, in its place."""
+    path, ckpt = work_dir(t.spark, "restart-in"), work_dir(t.spark, "restart-ckpt")
+    parts = max(4, conf_int(t.spark, "spark.sql.shuffle.partitions", 200))
+    t.events.select("event_id", "event_type", "value").repartition(parts, "event_id").write.parquet(path)
+    schema = "event_id long, event_type string, value double"
+    log = jobs.UpdateLog(t.spark, work_dir(t.spark, "restart-log"), t.spark.read.parquet(path).schema)
+
+    def failing(df, batch):
+        log.write(df, batch)
+        if batch == 1:
+            raise OSError("the writer is lost")
+
+    def run(write):
+        stream = jobs.file_stream(t.spark, path, schema, max_files=parts // 4)  # four batches or so, however large the table
+        stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
+
+    broke = False
+    try:
+        run(failing)
+    except StreamingQueryException:
+        broke = True
+    run(log.write)
+    rows = t.spark.read.parquet(log.path)
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), rnd(F.sum("value"), 2).alias("total")).withColumn("broke", F.lit(broke))

@@ -74,7 +74,7 @@ def read_files(spark: SparkSession, path: str, format: str = "auto", schema: T.S
     return df.withColumns({f"_{m}": F.col(f"_metadata.{m}") for m in metadata}) if metadata else df
 
 
-def hinted_schema(spark: SparkSession, path: str, format: str, hints: Mapping[str, str], options: Mapping[str, str]) -> T.StructType:
+def hinted_schema(spark: SparkSession, path: str | list[str], format: str, hints: Mapping[str, str], options: Mapping[str, str]) -> T.StructType:
     """Inferred schema with hinted columns replaced (and missing hinted columns added)."""
     opts = {**options, **({"inferSchema": "true"} if format == "csv" else {})}
     found = spark.read.format(format).options(**opts).load(path).schema

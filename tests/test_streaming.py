@@ -7,7 +7,7 @@ from millrace.operators import cdc
 from millrace.operators.intervals import number_sessions
 from millrace.sources import files
 from millrace.sources.snapshots import VersionedTable
-from millrace.streaming import jobs, sessions
+from millrace.streaming import accounts, jobs, sessions
 
 SHAPE = "id long, u long, at timestamp, kind string"
 
@@ -81,3 +81,31 @@ def test_stateful_sessions_over_batches(spark, tmp_path, rocks):
 def test_batches_on_both_sides_of_the_watermark_merge(spark):
     assert sessions.merge_spans([(0, 5, 1, 0), (20, 25, 2, 1), (8, 16, 1, 1)], 4) == [(0, 25, 4, 2)]
     assert sessions.merge_spans([(0, 5, 1, 0), (10, 11, 1, 0)], 4) == [(0, 5, 1, 0), (10, 11, 1, 0)]
+
+
+def test_accounts_tell_rows_and_failures(spark, tmp_path):
+    src = f"{tmp_path}/in"
+    batch(spark, src, [(1, 1, 0, "a"), (2, 1, 5, "b")])
+
+    def start(write, ckpt):
+        return jobs.file_stream(spark, src, SHAPE).writeStream.queryName(f"q{ckpt}").option("checkpointLocation", f"{tmp_path}/{ckpt}").foreachBatch(write).trigger(availableNow=True).start()
+
+    def broken(df, number):
+        raise OSError("no room")
+
+    with accounts.followed(spark) as followed:
+        good = start(lambda df, number: df.write.format("noop").mode("append").save(), "c1")
+        good.awaitTermination()
+        followed.wait(good)
+        bad = start(broken, "c2")
+        with pytest.raises(Exception, match="no room"):
+            bad.awaitTermination()
+        followed.wait(bad)
+    rows = followed.table().where("rows_in > 0").collect()
+    assert [(r.query, r.batch, r.rows_in, r.late) for r in rows if r.run == str(good.runId)] == [("qc1", 0, 2, 0)] and rows[0].trigger_ms > 0
+    assert set(followed.errors) == {str(bad.runId)} and "no room" in followed.errors[str(bad.runId)]
+    late = start(lambda df, number: None, "c3")  # no longer followed
+    late.awaitTermination()
+    assert all(r.run != str(late.runId) for r in followed.table().collect())
+    with pytest.raises(TimeoutError):
+        followed.wait(late, 0.1)
