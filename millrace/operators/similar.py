@@ -83,10 +83,12 @@ def cosine_links(df: DataFrame, keys: Sequence[str], words: str, least: float =
 
 def _terms(df: DataFrame, keys: Sequence[str], bag: Column) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """Rows with their class, classes with bag and copies, and words per class with the numbers of classes and rows that hold them."""
-    bagged = df.select(*keys, F.coalesce(bag, F.array().cast("array<string>")).alias("bag")).withColumn("class_id", F.sha2(F.to_json("bag"), 256))
+    bagged = df.select(*keys, F.coalesce(bag, F.array().cast("array<string>")).alias("bag")).withColumn("digest", F.sha2(F.to_json("bag"), 256))
     bagged = materialize(bagged, "bags")
-    classes = materialize(bagged.groupBy("class_id").agg(F.any_value("bag").alias("bag"), F.count("*").alias("copies")), "classes")
-    rows, total = bagged.select(*keys, "class_id"), bagged.count()
+    classes = bagged.groupBy("digest").agg(F.any_value("bag").alias("bag"), F.count("*").alias("copies"))
+    # a short number stands for the digest in all tables of words; it holds once the classes are written
+    classes = materialize(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
+    rows, total = bagged.select(*keys, "digest"), bagged.count()
     terms = classes.select("class_id", "copies", F.explode("bag").alias("word")).groupBy("class_id", "copies", "word").agg(F.count("*").alias("times"))
     terms = materialize(terms, "terms")
     held = materialize(terms.groupBy("word").agg(F.count("*").alias("held"), F.sum("copies").alias("rows_with")), "words")
@@ -123,7 +125,7 @@ def _links(rows: DataFrame, keys: Sequence[str], classes: DataFrame, pairs: Data
     ends = F.explode(F.array(F.struct(F.col("a").alias("class_id"), F.col("copies_b").alias("n")), F.struct(F.col("b").alias("class_id"), F.col("copies_a").alias("n"))))
     partners = true_pairs.select(ends.alias("e")).select("e.*").groupBy("class_id").agg(F.sum("n").alias("others"))
     same = F.when(F.size("bag") > 0, F.col("copies") - 1).otherwise(F.lit(0))
-    counted = classes.join(partners, "class_id", "left").select("class_id", "copies", (same + F.coalesce("others", F.lit(0))).cast("long").alias("links"))
+    counted = classes.join(partners, "class_id", "left").select("digest", "copies", (same + F.coalesce("others", F.lit(0))).cast("long").alias("links"))
     counted = materialize(counted, "links")
     hot = F.col("copies") > F.lit(rows.count() / HOT_SHARE)
-    return _look_up(rows, counted, "class_id", hot).select(*keys, "class_id", "copies", "links")
+    return _look_up(rows, counted, "digest", hot).select(*keys, F.col("digest").alias("class_id"), "copies", "links")
