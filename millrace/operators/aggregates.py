@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import OrderedGroups, order_number, settle
+from millrace.operators.ordered import OrderedGroups, null_safe, settle
 from millrace.session import materialize
 
 
@@ -70,17 +70,23 @@ def rollup_components(demand: DataFrame, bom: DataFrame, levels: int | None = No
 
 
 def ranks(df: DataFrame, keys: Sequence[str], value: str, rank: str, dense: str) -> DataFrame:
-    """``rank`` and ``dense_rank`` by descending ``value``, from counts of equal values.
+    """``rank`` and ``dense_rank`` by descending ``value`` of any type (nulls last), from counts of equal values.
 
     Only distinct values are ordered; the rows get their rank by an equality join, which
     splits hot keys, instead of all rows of a key passing through one window task.
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     counts = settle(counts, "value-counts")
-    back = counts.withColumn("__v", -order_number(counts, value))
-    done = OrderedGroups(back, keys, ["__v"]).running({"__upto": ("sum", F.col("__n")), dense: ("count", F.lit(1))}).result()
-    table = done.select(*keys, value, (F.col("__upto") - F.col("__n") + 1).alias(rank), dense)
-    return df.join(table, [*keys, value])
+    done = OrderedGroups(counts, keys, [value]).running({"__upto": ("sum", F.col("__n")), "__place": ("count", F.lit(1))}).result()
+    totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__all"), F.count(F.lit(1)).alias("__values"))
+    if keys:
+        side, on = null_safe(done, totals, keys)
+        done = done.join(side, on).drop(*[f"__key{i}" for i in range(len(keys))])
+    else:
+        done = done.withColumns({c: totals.select(c).scalar() for c in ("__all", "__values")})
+    table = done.select(*keys, value, (F.col("__all") - F.col("__upto") + 1).alias(rank), (F.col("__values") - F.col("__place") + 1).alias(dense))
+    side, on = null_safe(df, table, [*keys, value])
+    return df.join(side, on).drop(*[f"__key{i}" for i in range(len(keys) + 1)])
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, marks: Mapping[str, float]) -> DataFrame:
@@ -95,7 +101,8 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, marks: Map
     upto = OrderedGroups(counts, keys, [value]).running({"__upto": ("sum", F.col("__n"))}).result()
     totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__all"))
     if keys:
-        both = upto.join(totals, list(keys))
+        side, on = null_safe(upto, totals, keys)
+        both = upto.join(side, on).drop(*[f"__key{i}" for i in range(len(keys))])
     else:
         both = upto.withColumn("__all", totals.select("__all").scalar())
     picks, out = [], []

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.aggregates import exact_percentiles
 from millrace.operators.intervals import pack_intervals
 from millrace.operators.joins import overlap_join
-from millrace.operators.ordered import global_numbers
+from millrace.operators.ordered import global_numbers, null_safe, settle
 from millrace.session import materialize
 
 # Two-sided normal quantiles.
@@ -62,11 +63,15 @@ def compound(df: DataFrame, by: Sequence[str], at: str, ret: str, name: str) ->
 
 
 def risk(returns: DataFrame, by: Sequence[str], ret: str, periods: int, tail: float = 0.05) -> DataFrame:
-    """Annualised return and volatility, Sharpe ratio and historical value at risk."""
+    """Annualised return and volatility, Sharpe ratio and historical value at risk (null where no return is known).
+
+    The tail quantile comes from counted values, so no task holds a group's returns.
+    """
+    known = settle(returns.where(F.col(ret).isNotNull()).select(*by, ret), "returns")
     mean, sd = F.avg(ret) * periods, F.stddev_samp(ret) * F.sqrt(F.lit(float(periods)))
-    return returns.where(F.col(ret).isNotNull()).groupBy(*by).agg(
-        F.count("*").alias("n"), mean.alias("annual_return"), sd.alias("annual_vol"), F.try_divide(mean, sd).alias("sharpe"),
-        F.percentile(ret, F.lit(tail)).alias("value_at_risk"))
+    moments = known.groupBy(*by).agg(F.count("*").alias("n"), mean.alias("annual_return"), sd.alias("annual_vol"), F.try_divide(mean, sd).alias("sharpe"))
+    tails, on = null_safe(moments, exact_percentiles(known, by, ret, {"value_at_risk": tail}), by)
+    return moments.join(tails, on, "left").drop(*[f"__key{i}" for i in range(len(by))])
 
 
 def survival(df: DataFrame, arm: str, lived: str, most: int) -> DataFrame:

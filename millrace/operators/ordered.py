@@ -1,10 +1,11 @@
 """Ordered per-key computations that survive a key holding a large part of the table.
 
 A plain ``Window.partitionBy(key)`` sends a whole key to one task. Here every key with more
-than ``share`` of the rows is cut along its order column into chunks. Window functions run
-inside (key, chunk); a one-row summary per chunk is then scanned per key and its running
-result is joined back as the carry-in of each chunk. Light keys keep a single chunk and see
-exactly the plan of the plain window, and so does any input that is small as a whole.
+than ``share`` of the rows is cut along its whole order into chunks: Spark's range partitioning
+of the heavy keys' rows by (key, order), so each key is cut at quantiles of its own. Window
+functions run inside (key, chunk); a one-row summary per chunk is then scanned per key and its
+running result is joined back as the carry-in of each chunk. Light keys keep a single chunk and
+see exactly the plan of the plain window, and so does any input that is small as a whole.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ HEAVY_BYTES = 1 << 30
 # Inputs that are not files have no true size; their estimate lies above this.
 UNKNOWN_BYTES = 1 << 60
 TARGET_CHUNK_BYTES = 128 << 20
-MAX_CHUNKS = 8192
+TARGET_CHUNK_ROWS = 1_000_000  # where the input's size is unknown
+LEAST_CHUNKS = 8
 
 
 def is_small(df: DataFrame) -> bool:
@@ -42,8 +44,8 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df if is_small(df) else materialize(df, label)
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: at most ``1/share`` of them.
+def heavy_counts(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> tuple[DataFrame, int]:
+    """Keys holding more than ``share`` of the rows (at most ``1/share`` of them), and how many rows they hold together.
 
     One job: partial counts combine map-side, the ordered limit keeps only the largest
     ``1/share`` groups, and the total is observed on the way.
@@ -57,48 +59,14 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -
     )
     top = counts.orderBy(F.desc("__rows")).limit(limit).collect()
     floor = (total.get["n"] if top else 0) * share
+    found = [r for r in top if r["__rows"] > floor]
     schema = T.StructType([f for f in counts.schema.fields if f.name != "__rows"])
-    rows = [tuple(r[k] for k in keys) for r in top if r["__rows"] > floor]
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
-def order_number(df: DataFrame, name: str) -> Column:
-    """Monotone number for an order column (microseconds for dates and timestamps)."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    if isinstance(kind, T.NumericType):
-        return F.col(name)
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        # the first seven bytes as a number: never falls as the text rises; texts that share them stay in one chunk
-        return F.conv(F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
-    if isinstance(kind, T.BooleanType):
-        return F.col(name).cast("int")
-    raise TypeError(f"cannot cut groups along {name} of type {kind.simpleString()}")
-
-
-def cut_points(df: DataFrame, number: Column, chunks: int) -> list:
-    """Up to ``chunks - 1`` ascending cut values at even row quantiles (one small aggregate)."""
-    marks = [i / chunks for i in range(1, chunks)]
-    row = df.agg(F.percentile_approx(number, marks, max(10_000, 20 * chunks)).alias("q")).first()
-    return sorted(set(row["q"] or []))
-
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], schema), sum(r["__rows"] for r in found)
 
-def chunk_of(number: Column, cuts: Sequence) -> Column:
-    """How many cuts are <= the value: a binary search over one constant array."""
-    steps, step = [], 1
-    while step <= len(cuts):
-        steps.insert(0, step)
-        step *= 2
-    if not steps:
-        return F.lit(0)
-    table = F.array(*[F.lit(c) for c in cuts])
 
-    def advance(found: Column, step: Column) -> Column:
-        # get() is null past the end, and a null comparison does not advance
-        return F.when(number >= F.get(table, found + step - 1), found + step).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> DataFrame:
+    """Keys holding more than ``share`` of the rows: at most ``1/share`` of them."""
+    return heavy_counts(df, keys, share)[0]
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -115,47 +83,44 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[D
 class OrderedGroups:
     """Rows grouped by ``keys`` and ordered by ``order`` (ascending, ideally a total order).
 
-    Groups are cut along the first order column (a number, date, timestamp, boolean, text or binary), so rows that
-    tie on it, or texts that share their first seven bytes, always stay together.
+    Groups are cut along the whole order, whatever the columns' types; only rows that tie on all of it stay
+    together, as nothing tells them apart. ``always`` cuts heavy keys of small inputs too. ``chunks`` is the
+    number of chunks over all heavy keys; without it a chunk gets some TARGET_CHUNK_BYTES.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
-                 chunks: int | None = None, share: float = HEAVY_SHARE, _cuts: list | None = None, _carried: bool = False):
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunks: int | None = None,
+                 share: float = HEAVY_SHARE, always: bool = False, _split: bool | None = None, _carried: bool = False):
         self.keys, self.order = list(keys), list(order)
-        self.cuts: list = []
+        self.split = bool(_split)
         self._has_carry = _carried
-        if _cuts is not None:
-            self.df, self.cuts = df, _cuts
+        if _split is not None:
+            self.df = df
             return
         self.df = df.withColumn(CHUNK, F.lit(WHOLE))
-        if self.keys and is_small(df):
+        if self.keys and not always and is_small(df):
             return
-        number = order_number(df, self.order[0])
         size = plan_bytes(df)
-        n = chunks or min(MAX_CHUNKS, max(8, (size or (1 << 62)) // TARGET_CHUNK_BYTES))
-        if not self.keys:
-            # one group over everything: always cut, so no task sees the whole table
-            self.cuts = cut_points(df, number, n)
-            self.df = df.withColumn(CHUNK, chunk_of(number, self.cuts))
-            return
-        heavy = heavy_keys(df, self.keys, min(share, HEAVY_BYTES / size) if size and size < UNKNOWN_BYTES else share)
-        if heavy.isEmpty():
-            return
-        marks, on = null_safe(df, heavy.withColumn("__heavy", F.lit(True)), self.keys)
-        # the heavy list has at most 1/share rows by construction
-        marked = df.join(F.broadcast(marks), on, "left").drop(*[f"__key{i}" for i in range(len(self.keys))])
-        self.cuts = cut_points(marked.where("__heavy"), number, n)
-        self.df = marked.withColumn(
-            CHUNK, F.when(F.col("__heavy"), chunk_of(number, self.cuts)).otherwise(F.lit(WHOLE))
-        ).drop("__heavy")
+        known = size if size and size < UNKNOWN_BYTES else None
+        light, hot = None, df
+        if self.keys:
+            heavy, rows = heavy_counts(df, self.keys, min(share, HEAVY_BYTES / known) if known else share)
+            if not rows:
+                return
+            marks, on = null_safe(df, heavy.withColumn("__heavy", F.lit(True)), self.keys)
+            # the heavy list has at most 1/share rows by construction
+            marked = df.join(F.broadcast(marks), on, "left").drop(*[f"__key{i}" for i in range(len(self.keys))])
+            light, hot = (marked.where(c).drop("__heavy") for c in ("__heavy IS NULL", "__heavy"))
+        elif not known:
+            rows = df.count()
+        n = chunks or max(LEAST_CHUNKS, known // TARGET_CHUNK_BYTES if known else rows // TARGET_CHUNK_ROWS)
+        # written, as a second evaluation could sample other borders
+        cut = materialize(hot.repartitionByRange(n, *self.keys, *self.order).withColumn(CHUNK, F.spark_partition_id()), "chunks")
+        self.df = cut if light is None else light.withColumn(CHUNK, F.lit(WHOLE)).unionByName(cut)
+        self.split = True
 
     # -- plumbing ---------------------------------------------------------------------
-    @property
-    def split(self) -> bool:
-        return bool(self.cuts)
-
     def _with(self, df: DataFrame, carried: bool = False) -> OrderedGroups:
-        return OrderedGroups(df, self.keys, self.order, _cuts=self.cuts, _carried=carried or self._has_carry)
+        return OrderedGroups(df, self.keys, self.order, _split=self.split, _carried=carried or self._has_carry)
 
     def window(self) -> Window:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)

@@ -49,6 +49,17 @@ def win_lag_lead(t: Tables):
                       F.floor((us("ts") - us("prev_ts")) / 1000000).alias("gap_seconds"))
 
 
+@query("win_hot_key", sql="""
+SELECT l_orderkey, l_linenumber, row_number() OVER w AS n, round(sum(l_quantity) OVER (w ROWS UNBOUNDED PRECEDING), 2) AS shipped,
+ lag(l_orderkey) OVER w AS before, lead(l_linenumber) OVER w AS next_line FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_linestatus, l_shipdate, l_orderkey, l_linenumber, l_quantity)""")
+def win_hot_key(t: Tables):
+    """Three keys, each with about a third of all rows and a handful of values in the first order column: cut into chunks at any size of the table."""
+    rows = t.lineitem.select("l_returnflag", "l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")
+    g = OrderedGroups(rows, ["l_returnflag"], ["l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"], always=True)
+    out = g.row_number("n").running({"shipped": ("sum", F.col("l_quantity"))}).lag({"before": "l_orderkey"}).lead({"next_line": "l_linenumber"}).result()
+    return out.select("l_orderkey", "l_linenumber", "n", rnd("shipped", 2).alias("shipped"), "before", "next_line")
+
+
 @query("win_lag_agg", sql="""
 WITH m AS (SELECT c_mktsegment, date_trunc('month', o_orderdate)::TIMESTAMP AS month, sum(o_totalprice) AS total
  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)

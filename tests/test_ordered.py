@@ -10,7 +10,7 @@ from millrace.operators.aggregates import exact_percentiles, ranks
 from millrace.operators.features import rolling
 from millrace.operators.intervals import number_sessions, pack_intervals
 from millrace.operators.joins import asof_join, interval_join, overlap_join
-from millrace.operators.ordered import OrderedGroups, chunk_of, cut_points, global_numbers, heavy_keys
+from millrace.operators.ordered import OrderedGroups, global_numbers, heavy_keys
 
 
 @pytest.fixture(scope="module")
@@ -32,12 +32,42 @@ def rows_of(df, *cols):
 def test_heavy_keys_and_cuts(spark, hot):
     heavy = heavy_keys(hot, ["k"], 0.2)
     assert [r["k"] for r in heavy.collect()] == [1]
-    cuts = cut_points(hot, F.col("t"), 16)
-    sizes = hot.groupBy(chunk_of(F.col("t"), cuts).alias("c")).count().collect()
-    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 3000 / 16 * 1.6
-    for probe in (cuts[0] - 1, cuts[0], cuts[7], cuts[-1] + 5):
-        found = spark.range(1).select(chunk_of(F.lit(probe), cuts).alias("c")).first()["c"]
-        assert found == sum(c <= probe for c in cuts)
+    groups = OrderedGroups(hot, [], ["t", "id"], chunks=16)
+    spans = groups.df.groupBy("__chunk").agg(F.count("*").alias("n"), F.min(F.struct("t", "id")).alias("a"), F.max(F.struct("t", "id")).alias("b")).orderBy("__chunk").collect()
+    assert len(spans) == 16 and max(r["n"] for r in spans) < 3000 / 16 * 1.6 and sum(r["n"] for r in spans) == 3000
+    assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]))
+
+
+def chunk_sizes(groups, key):
+    return sorted(r["count"] for r in groups.df.where(key).groupBy("__chunk").count().collect())
+
+
+def test_each_heavy_key_has_cuts_of_its_own(spark):
+    """One key lives in a short span of time, one ties on its first column, one has long texts of one beginning."""
+    rows = [("wide", 1000 * i, "x", i) for i in range(2000)] + [("brief", 700_000 + i // 100, "x", i) for i in range(2000)]
+    rows += [("tied", 5, "x", i) for i in range(2000)] + [(None, 9, f"the same beginning {i:05d}", 0) for i in range(2000)] + [("light", 1, None, i) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, t long, s string, id long").repartition(3)
+    g = OrderedGroups(df, ["k"], ["t", "s", "id"], chunks=40, share=0.1, always=True)
+    assert g.split and g.df.count() == len(rows)
+    for key in ("k = 'wide'", "k = 'brief'", "k = 'tied'", "k IS NULL"):
+        sizes = chunk_sizes(g, key)
+        assert len(sizes) in (10, 11) and sizes[-1] < 2000 / 10 * 2
+    assert chunk_sizes(g, "k = 'light'") == [20]
+    w = Window.partitionBy("k").orderBy("t", "s", "id")
+    got = g.row_number("n").lag({"b": "id"}).result()
+    want = df.select("*", F.row_number().over(w).alias("n"), F.lag("id").over(w).alias("b"))
+    assert got.exceptAll(want.select(*got.columns)).isEmpty() and got.count() == len(rows)
+
+
+def test_cut_along_any_type_ties_and_empty(spark, split_all):
+    df = spark.sql("SELECT id % 2 AS k, named_struct('a', array(id % 7), 'b', cast(id AS decimal(30, 3))) AS o, id FROM range(400)")
+    got = OrderedGroups(df, ["k"], ["o"], chunks=8, share=0.1).row_number("n")
+    want = df.select("id", F.row_number().over(Window.partitionBy("k").orderBy("o")).alias("n"))
+    assert got.split and rows_of(got.result(), "id", "n") == rows_of(want, "id", "n")
+    ties = OrderedGroups(spark.sql("SELECT 1 AS k, 3 AS t, id FROM range(300)"), ["k"], ["t"], chunks=8, share=0.1)
+    assert sorted(r["n"] for r in ties.row_number("n").result().collect()) == list(range(1, 301))
+    for keys in (["k"], []):
+        assert OrderedGroups(df.where("id < 0"), keys, ["id"]).row_number("n").result().isEmpty()
 
 
 def test_window_functions_with_carry(split_all, hot):
@@ -76,6 +106,13 @@ def test_ranks_and_percentiles(split_all, hot):
     base = hot.where("v IS NOT NULL AND k IS NOT NULL")
     want = base.select("id", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
     assert rows_of(ranks(base, ["k"], "v", "r", "d"), "id", "r", "d") == rows_of(want, "id", "r", "d")
+    # null keys and values, and texts that begin alike
+    for value in (F.col("v"), F.concat(F.lit("the same beginning "), F.lpad(F.col("v").cast("string"), 3, "0"))):
+        every = hot.withColumn("x", value)
+        for keys in (["k"], []):
+            wx = Window.partitionBy(*keys).orderBy(F.desc("x"))
+            want = every.select("id", F.rank().over(wx).alias("r"), F.dense_rank().over(wx).alias("d"))
+            assert rows_of(ranks(every, keys, "x", "r", "d"), "id", "r", "d") == rows_of(want, "id", "r", "d")
     got = exact_percentiles(hot.where("k IS NOT NULL"), ["k"], "v", {"a": 0.1, "b": 0.77})
     want = hot.where("k IS NOT NULL").groupBy("k").agg(F.percentile("v", F.lit(0.1)).alias("a"), F.percentile("v", F.lit(0.77)).alias("b")).where("a IS NOT NULL")
     near = lambda df: [(r["k"], round(r["a"], 9), round(r["b"], 9)) for r in df.orderBy("k").collect()]
