@@ -6,11 +6,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.operators import cdc
+from millrace.operators.ordered import OrderedGroups
 from millrace.queries.changes import FEED, feed
 from millrace.queries.registry import Tables, ntz, query, rnd
 from millrace.session import conf_int, work_dir
 from millrace.sources.snapshots import VersionedTable
-from millrace.streaming import accounts, jobs, sessions
+from millrace.streaming import accounts, jobs, queue, sessions
 
 
 def events(t: Tables, delay: str = "1 hour"):
@@ -198,3 +199,25 @@ def st_restart(t: Tables):
     run(log.write)
     rows = t.spark.read.parquet(log.path)
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), rnd(F.sum("value"), 2).alias("total")).withColumn("broke", F.lit(broke))
+
+
+@query("st_queue", sql="""
+WITH e AS (SELECT event_id, event_type, ts, lead(ts) OVER w AS next_at, lead(event_type) OVER w AS next_type FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT event_id AS request, CASE WHEN event_type = 'purchase' THEN 'done'
+ WHEN ('0x' || substr(md5(event_id::VARCHAR || 'queue'), 1, 15))::BIGINT % 100 < 10 OR (next_type = 'error' AND next_at <= ts + INTERVAL 2 DAYS) THEN 'to_process' ELSE 'skipped' END AS status FROM e""")
+def st_queue(t: Tables):
+    """Every event is a request (purchases are done already); an error is feedback on what its user did just before. Feedback arrives after all requests."""
+    asked = t.events.select(F.col("event_id").alias("request"), F.col("ts").cast("timestamp").alias("requested_at"),
+                            F.when(F.col("event_type") == "purchase", "done").alias("status"), F.lit(None).cast("timestamp").alias("feedback_at"))
+    steps = OrderedGroups(t.events.select("user_id", "event_id", "event_type", "ts"), ["user_id"], ["ts", "event_id"]).lag({"request": "event_id", "before": "ts"}).result()
+    told = steps.where("event_type = 'error' AND request IS NOT NULL").select(
+        "request", F.col("before").cast("timestamp").alias("requested_at"), F.lit(None).cast("string").alias("status"), F.col("ts").cast("timestamp").alias("feedback_at"))
+    path, ckpt = work_dir(t.spark, "queue-in"), work_dir(t.spark, "queue-ckpt")
+    days = t.events.agg(F.date_diff(F.max("ts"), F.min("ts"))).first()[0] or 0
+    log = None
+    for rows in (asked, told):  # the second run finds the state of the first
+        rows.write.mode("append").parquet(path)
+        marked = queue.claims(jobs.file_stream(t.spark, path, queue.SHAPE), within="2 days", keep=f"{days + 2} days")
+        log = log or jobs.UpdateLog(t.spark, work_dir(t.spark, "queue"), marked.schema)
+        queue.mark(marked, log, ckpt)
+    return log.latest(["request"]).select("request", "status")
