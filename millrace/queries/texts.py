@@ -222,3 +222,26 @@ def assessment_merge(t: Tables):
     # grades come from a scale of ten steps, so the collected set is bounded
     graded = t.events.where("event_type = 'view'").groupBy(*key).agg(F.array_sort(F.collect_set(grade)).alias("g"))
     return latest.join(graded, ["user_id", "d"], "full").select("user_id", "d", "rating", F.array_join(F.col("g").cast("array<string>"), ",").alias("grades"))
+
+
+AT = "p[({r} + 1) * 8 + {c} + 2]"
+
+
+@query("image_augment", sql=f"""
+WITH e AS (SELECT vec_id, ('0x' || substr(md5(vec_id::VARCHAR || 'mirror'), 1, 15))::BIGINT % 2 = 1 AS flip,
+  list_transform(embedding, lambda x: least(255, greatest(0, floor(128 + 64 * x::DOUBLE)))::BIGINT) AS p FROM embeddings),
+ n AS (SELECT i, least(120, greatest(0, (2 * i + 1) * 6 - 12)) AS n FROM (SELECT unnest(generate_series(0, 11)) AS i)),
+ a AS (SELECT i, n // 24 AS lo, least(n // 24 + 1, 5) AS hi, n % 24 AS f FROM n),
+ px AS (SELECT vec_id, y.i * 12 + CASE WHEN flip THEN 12 - x.i ELSE x.i + 1 END AS place, ((24 - y.f) * ((24 - x.f) * {AT.format(r="y.lo", c="x.lo")} + x.f * {AT.format(r="y.lo", c="x.hi")})
+  + y.f * ((24 - x.f) * {AT.format(r="y.hi", c="x.lo")} + x.f * {AT.format(r="y.hi", c="x.hi")}) + 288) // 576 AS v FROM e, a y, a x)
+SELECT vec_id, CAST(157 AS BIGINT) AS n_bytes, sum(v)::BIGINT AS brightness, sum(v * place)::BIGINT AS checksum FROM px GROUP BY 1""")
+def image_augment(t: Tables):
+    """Vectors of 64 as 8 x 8 grey images: the middle 6 x 6 enlarged to 12 x 12, half of them mirrored."""
+    from millrace.operators.images import augment, grey_map, pixel_values
+
+    shade = F.transform("embedding", lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(128 + 64 * x.cast("double")))).cast("int"))
+    rows = t.embeddings.select("vec_id", grey_map(shade, 8, 8).alias("image"))
+    made = augment(rows, "image", (12, 12), (6, 6), hash_bucket(F.col("vec_id"), 2, "mirror") == 1)
+    shown = made.select("vec_id", F.length("image").cast("long").alias("n_bytes"), pixel_values(F.col("image"), 12, 12).alias("v"))
+    return shown.select("vec_id", "n_bytes", F.aggregate("v", F.lit(0).cast("long"), lambda s, v: s + v).alias("brightness"),
+                        F.aggregate(F.transform("v", lambda v, i: v * (i + 1)), F.lit(0).cast("long"), lambda s, v: s + v).alias("checksum"))
