@@ -113,3 +113,16 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, marks: Map
         low, high = F.col(f"__lo{i}").cast("double"), F.col(f"__hi{i}").cast("double")
         out.append((low + (high - low) * F.col(f"__w{i}")).alias(name))
     return both.groupBy(*keys).agg(*picks).select(*keys, *out)
+
+
+def text_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], text: str, name: str, sep: str = "; ", size: int = 1000) -> DataFrame:
+    """The texts of each key in ``order`` (a total order), joined, in segments of ``size`` texts: ``keys, segment, texts, name``.
+
+    Numbering by chunks and the cut into segments keep a hot key from becoming one row or one task; no text is
+    dropped. Null texts are left out before counting; empty ones stay.
+    """
+    told = df.where(F.col(text).isNotNull()).select(*{c: None for c in [*keys, *order, text]})
+    numbered = OrderedGroups(told, keys, order).row_number("__n").result()
+    packed = numbered.groupBy(*keys, F.floor((F.col("__n") - 1) / size).alias("segment")).agg(
+        F.count(F.lit(1)).alias("texts"), F.sort_array(F.collect_list(F.struct("__n", F.col(text).alias("t")))).alias("__list"))
+    return packed.select(*keys, "segment", "texts", F.array_join(F.col("__list.t"), sep).alias(name))

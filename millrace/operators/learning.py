@@ -7,16 +7,14 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import OrderedGroups
-from millrace.session import materialize
-
-from millrace.session import work_dir
+from millrace.session import materialize, work_dir
 
 
 def prepare(numbers: Sequence[str], labels: Sequence[str] = ()) -> Pipeline:
@@ -36,17 +34,36 @@ def prepare(numbers: Sequence[str], labels: Sequence[str] = ()) -> Pipeline:
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol="features")])
 
 
+def balanced(rows: DataFrame, label: str) -> DataFrame:
+    """Rows with a ``weight`` that makes label 1 weigh as much as label 0 (all 1 where a label is missing)."""
+    n, ones = rows.agg(F.count("*"), F.sum(label)).first()
+    up = (n - ones) / ones if ones and n > ones else 1.0
+    return rows.withColumn("weight", F.when(F.col(label) == 1, F.lit(float(up))).otherwise(1.0))
+
+
 def fit_classifier(rows: DataFrame, numbers: Sequence[str], labels: Sequence[str], label: str = "label", iterations: int = 100) -> PipelineModel:
     """Logistic regression with weights that balance the two classes, until it converges or for so many iterations."""
-    n, ones = rows.agg(F.count("*"), F.sum(label)).first()
-    ones = ones or 0.0
-    up = (n - ones) / ones if ones else 1.0
-    weighted = rows.withColumn("weight", F.when(F.col(label) == 1, F.lit(float(up))).otherwise(1.0))
+    weighted = balanced(rows, label)
     head = LogisticRegression(labelCol=label, weightCol="weight", maxIter=iterations, regParam=0.01)
     fitted = Pipeline(stages=[*prepare(numbers, labels).getStages(), head]).fit(weighted)
     return publish_model(rows.sparkSession, fitted, "classifier")
 
 
+def fit_boosted(rows: DataFrame, numbers: Sequence[str], labels: Sequence[str], choosing: str, label: str = "label",
+                rounds: int = 40, depth: int = 3, step: float = 0.1, seed: int = 1) -> PipelineModel:
+    """Gradient-boosted trees with weights that balance the classes; rows where ``choosing`` is true say after how many trees to stop.
+
+    Those rows take no part in growing the trees, nor in the means, scales and codes of the features. Nulls in
+    numbers become the mean; rows with a null label are left out; labels are 0 and 1.
+    """
+    known = rows.where(F.col(label).isNotNull()).withColumn(choosing, F.coalesce(choosing, F.lit(False)))
+    known = materialize(known, "boosting")
+    shape = prepare(numbers, labels).fit(known.where(~F.col(choosing)))
+    head = GBTClassifier(labelCol=label, weightCol="weight", validationIndicatorCol=choosing, maxIter=rounds, maxDepth=depth, stepSize=step, validationTol=0.0, seed=seed)
+    trees = head.fit(shape.transform(balanced(known, label)))
+    return publish_model(rows.sparkSession, PipelineModel([*shape.stages, trees]), "boosted")
+
+
 def publish_model(spark: SparkSession, model: PipelineModel, label: str) -> PipelineModel:
     """Save a fitted model to the shared folder and load it back.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.aggregates import exact_percentiles, totals_at_levels, trailing_months
+from millrace.operators.aggregates import exact_percentiles, text_lists, totals_at_levels, trailing_months
 from millrace.queries.registry import Tables, day, ntz, query, rnd
 
 
@@ -166,6 +166,15 @@ def agg_collect(t: Tables):
         F.array_join(F.array_sort(F.collect_set("o_orderpriority")), " | ").alias("priorities"))
 
 
+@query("agg_text_list", sql="""
+WITH n AS (SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity, l_linestatus || l_orderkey::VARCHAR AS t,
+ row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_quantity, l_linestatus) AS n FROM lineitem)
+SELECT l_returnflag, (n - 1) // 1000 AS segment, count(*) AS texts, string_agg(t, '; ' ORDER BY n) AS lines FROM n GROUP BY 1, 2""")
+def agg_text_list(t: Tables):
+    rows = t.lineitem.withColumn("t", F.concat("l_linestatus", F.col("l_orderkey").cast("string")))
+    return text_lists(rows, ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_quantity", "l_linestatus"], "t", "lines")
+
+
 @query("agg_ratio", sql="""
 SELECT l_suppkey, round(sum(l_discount * l_extendedprice) / nullif(sum(l_extendedprice), 0), 8) AS disc_rate,
  round(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) / nullif(sum(CASE WHEN l_tax > 1 THEN 1 ELSE 0 END), 0), 6) AS never

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,6 +98,22 @@ def quality_log(t: Tables):
     return opened.select("dataset", "e.*")
 
 
+@query("lineage_rows", sql="""
+WITH n AS (SELECT 'orders_raw' AS d, (SELECT count(*) FROM orders) AS n UNION ALL SELECT 'customers', (SELECT count(*) FROM customer)
+ UNION ALL SELECT 'orders_clean', (SELECT count(*) FROM orders WHERE o_totalprice > 5000 AND o_orderstatus IN ('O','F'))
+ UNION ALL SELECT 'orders_joined', (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 5000 AND o_orderstatus IN ('O','F'))
+ UNION ALL SELECT 'segment_revenue', (SELECT count(*) FROM (SELECT DISTINCT c_mktsegment, year(o_orderdate) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 5000 AND o_orderstatus IN ('O','F')))),
+ e(input, output, kind) AS (VALUES ('orders_raw', 'orders_clean', 'table'), ('orders_clean', 'orders_joined', 'table'), ('customers', 'orders_joined', 'table'), ('orders_joined', 'segment_revenue', 'view'))
+SELECT e.*, i.n AS rows_in, o.n AS rows_out FROM e JOIN n i ON i.d = input JOIN n o ON o.d = output""")
+def lineage_rows(t: Tables):
+    """What each dataset of a refresh was made from, with the rows that went in and came out."""
+    pipeline = build(t)
+    made = pipeline.refresh().tables
+    sizes = reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).withColumn("d", F.lit(name)) for name, df in made.items()])
+    side = lambda name, n: sizes.select(F.col("d").alias(name), F.col("n").alias(n))
+    return pipeline.lineage().join(side("input", "rows_in"), "input").join(side("output", "rows_out"), "output")
+
+
 @query("quality_report", sql="""
 SELECT d, rule, sum(bad)::BIGINT AS failed, count(*) AS seen, round(sum(bad) / count(*), 6) AS failure_rate FROM (
  SELECT strftime(o_orderdate, '%Y-%m') AS d, 'positive_total' AS rule, (NOT o_totalprice > 5000)::INT AS bad FROM orders

@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not glob.glob(f"{SF}/*.parquet"), reason="test t
 
 # Model fits, hashed vectors, section chunks and approximate neighbours have no SQL twin; others must have one.
 ROWS_ONLY = {
-    "ml_prep", "ml_train_score", "ml_batch_score", "ml_lookup_score",
+    "ml_prep", "ml_train_score", "ml_boosted", "ml_batch_score", "ml_lookup_score",
     "embed_hashing", "text_classify", "chunk_sections", "vector_ann_neighbours",
 }
 
