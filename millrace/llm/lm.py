@@ -3,12 +3,13 @@
 Words are cut into ids of a public byte-level vocabulary. Each id has a query, a key, a value and an embedding; one
 head of attention with learnt distance weights looks back over the window, and a softmax over classes of ids
 follows from what it gathers and from the last id. Within a class, ids have smoothed corpus probabilities given
-the class before. A text is scored in windows that overlap: every id is predicted once, with eight to 31 ids before
+the class before; ids without vectors of their own share one and are told apart by their smoothed counts. A text is scored in windows that overlap: every id is predicted once, with eight to 31 ids before
 its own predecessor in view, and many windows go through one masked batch.
 
 What is gathered from the corpus grows with it: word counts, id pairs and classes cover all training texts; the
-attention is trained in every partition on consecutive windows that make every id of its texts, the end included, a
-goal once a round, and partitions' weights are averaged over a tree, some rounds in a row.
+attention is trained on consecutive windows that make every id of its texts, the end included, a goal once a round.
+Windows are dealt to parts of about PART_WINDOWS by a hash of text, id and place, and sorted there, so that training is
+the same however the table is laid out; the parts' weights are averaged over a tree, some rounds in a row.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import groupby
 from zlib import crc32
 
 import numpy as np
@@ -41,7 +42,9 @@ LENGTH = STRIDE + BACK
 WIDTH = 3 * HEAD_WIDTH + LAST_WIDTH
 #: Windows that a task sends at once while it cuts texts.
 SENT_WINDOWS = 8_192
-ROUNDS, BATCH, RATE, LEAST_STEPS = 2, 64, 0.1, 150
+ROUNDS, BATCH, RATE = 2, 64, 0.1
+#: Windows that one task trains on in a round, on average.
+PART_WINDOWS = 65_536
 MAX_WORDS, FLUSH_WORDS, BLOCK_BYTES = 300_000, 200_000, 1 << 21
 MASKED = np.float32(-1e9)
 
@@ -158,6 +161,9 @@ class Classes:
         self.row_of[order] = np.arange(len(order))
         self.row_counts = np.append(counts[order], counts.sum() - counts[order].sum()).astype(np.float64)
         self.rest = max(1, self.size - len(order))
+        others = np.where(self.row_of == self.rows - 1, counts + 0.5, 0)
+        #: log10 of how much likelier an id without a row is than the average one of them, by corpus counts; 0 for all others.
+        self.uneven = np.where(others > 0, np.log10(np.maximum(others, 0.5) * self.rest / max(others.sum(), 0.5)), 0).astype(np.float32)
         self.starts_word = np.append(vocab.starts_word[order], False)
         self.class_of = np.minimum(np.arange(self.rows), SINGLE_CLASSES).astype(np.int32)
         self.class_of[-1] = CLASSES - 1
@@ -281,15 +287,9 @@ class Trainer:
             order = order[BATCH:]
 
     def stream(self, groups: Iterator[np.ndarray], rng: np.random.Generator) -> None:
-        """One pass over groups of windows, each shuffled, without holding more than a group and the first LEAST_STEPS batches.
-
-        Where all are fewer than those, more passes make up LEAST_STEPS.
-        """
-        left, held, room = np.empty((0, LENGTH + 1), np.int32), [], LEAST_STEPS * BATCH
+        """One pass over groups of windows, each shuffled, without holding more than a group."""
+        left = np.empty((0, LENGTH + 1), np.int32)
         for group in groups:
-            if room > 0:
-                held.append(group[:room])
-                room -= len(held[-1])
             left = np.concatenate([left, group[rng.permutation(len(group))]])
             whole = len(left) // BATCH * BATCH
             for at in range(0, whole, BATCH):
@@ -297,14 +297,12 @@ class Trainer:
             left = left[whole:]
         if len(left):
             self.step(left)
-        if self.steps < LEAST_STEPS and held:
-            self.passes(np.concatenate(held), rng, LEAST_STEPS - self.steps)
 
 
 def train_windows(weights: dict[str, np.ndarray], windows: np.ndarray, class_of: np.ndarray, seed: int, steps: int | None = None) -> dict[str, np.ndarray]:
-    """Weights after steps (a pass, and LEAST_STEPS at least, unless given) over shuffled windows that are all at hand."""
+    """Weights after steps (a pass unless given) over shuffled windows that are all at hand."""
     trainer, rng = Trainer(weights, class_of), np.random.default_rng(seed)
-    trainer.passes(windows, rng, max(LEAST_STEPS, math.ceil(len(windows) / BATCH)) if steps is None else steps)
+    trainer.passes(windows, rng, math.ceil(len(windows) / BATCH) if steps is None else steps)
     return trainer.weights
 
 
@@ -393,58 +391,89 @@ def cut_windows(rows: np.ndarray) -> np.ndarray:
 
 
 def training_windows(texts: DataFrame, ranks, pattern: str, rows) -> DataFrame:
-    """One row per window of :func:`cut_windows` over every whole text: LENGTH + 1 rows of ids as two bytes each."""
-    key = ("window-words", pattern, crc32(rows.value.tobytes()))
+    """One row per window of :func:`cut_windows` over every whole text: LENGTH + 1 rows of ids as two bytes each.
+
+    ``at`` is a hash of the text, its doc_id where there is one, and the window's place in it: copies under other ids,
+    and windows of one long text, get other values.
+    """
+    key = ("window-words", pattern, crc32(ranks.value))
+    named = "doc_id" in texts.columns
 
-    def sent(made: list[np.ndarray]) -> pa.RecordBatch:
+    def sent(made: list[np.ndarray], at: list[np.ndarray]) -> pa.RecordBatch:
         flat = np.concatenate(made)
         fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (LENGTH + 1)), len(flat), [None, pa.py_buffer(flat.tobytes())])
-        return pa.RecordBatch.from_pydict({"window": fixed.cast(pa.binary())})
+        return pa.RecordBatch.from_pydict({"at": pa.array(np.concatenate(at)), "window": fixed.cast(pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern), rows.value))
-        end = np.array([rows.value[packed.vocab.end]], np.int32).tobytes()
-        made, n = [], 0
+        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern)))
+        end = np.array([packed.vocab.end], np.int32).tobytes()
+        row_of = rows.value.astype(np.int16)  # at most OWN_IDS + 1 rows
+        made, at, n = [], [], 0
         for batch in batches:
-            for text in raw_texts(batch):
+            names = batch.column("doc_id").to_pylist() if named else [None] * batch.num_rows
+            for text, name in zip(raw_texts(batch), names):
                 parts = [end]
                 for block in text_blocks(text):
                     parts.append(b"".join(map(packed.__getitem__, block)))
                 parts.append(end)
-                made.append(cut_windows(np.frombuffer(b"".join(parts), np.int32).astype(np.int16)))  # at most OWN_IDS + 1 rows
+                made.append(cut_windows(row_of[np.frombuffer(b"".join(parts), np.int32)]))
+                start = crc32(text, crc32(str(name).encode())) << 31
+                at.append(start ^ np.arange(len(made[-1]), dtype=np.int64))
                 n += len(made[-1])
                 if n >= SENT_WINDOWS:
-                    yield sent(made)
-                    made, n = [], 0
+                    yield sent(made, at)
+                    made, at, n = [], [], 0
         if made:
-            yield sent(made)
+            yield sent(made, at)
+
+    return texts.select("text", *["doc_id"] * named).mapInArrow(run, "at long, window binary")
+
+
+def training_parts(windows: DataFrame, parts: int) -> DataFrame:
+    """``part`` and ``windows``: the windows of each of so many parts in an order of their own, SENT_WINDOWS to a row.
+
+    The rows of a part follow each other in one file, which is far smaller than a split, so they reach one task.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        part = None
+        for batch in batches:
+            if batch.num_rows and part is None:
+                part = batch.column("part")[0].as_py()
+            held += batch.column("window").to_pylist()
+            while len(held) >= SENT_WINDOWS:
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "windows": [b"".join(held[:SENT_WINDOWS])]})
+                held = held[SENT_WINDOWS:]
+        if held:
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "windows": [b"".join(held)]})
 
-    return texts.select("text").mapInArrow(run, "window binary")
+    dealt = windows.repartition(parts, "at").sortWithinPartitions("at", "window")
+    return dealt.select(F.spark_partition_id().alias("part"), "window").mapInArrow(pack, "part int, windows binary")
 
 
-def _average(weights: dict[str, np.ndarray], windows: DataFrame, class_of: np.ndarray, seed: int) -> dict[str, np.ndarray]:
-    """One round: each partition trains on from ``weights``; the results are averaged by windows, in two steps."""
+def _average(weights: dict[str, np.ndarray], windows: DataFrame, parts: int, class_of: np.ndarray, seed: int) -> dict[str, np.ndarray]:
+    """One round: each part (:func:`training_parts`) trains on from ``weights``; the results are averaged by windows, in two steps."""
     spark = windows.sparkSession
     sent = spark.sparkContext.broadcast((weights, class_of))
-    parts = windows.rdd.getNumPartitions()
     fan = max(1, math.isqrt(parts))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = (np.frombuffer(b"".join(batch.column("window").to_pylist()), np.int16).reshape(-1, LENGTH + 1).astype(np.int32) for batch in batches if batch.num_rows)
-        first = next(groups, None)
-        if first is not None:
-            mark, n = crc32(first.tobytes()), 0
+        rows = ((part, data) for batch in batches for part, data in zip(batch.column("part").to_pylist(), batch.column("windows").to_pylist()))
+        for part, own in groupby(rows, key=lambda row: row[0]):
+            n = 0
 
             def counted() -> Iterator[np.ndarray]:
                 nonlocal n
-                for group in chain([first], groups):
+                for _, data in own:
+                    group = np.frombuffer(data, np.int16).reshape(-1, LENGTH + 1).astype(np.int32)
                     n += len(group)
                     yield group
 
             trainer = Trainer(*sent.value)
-            trainer.stream(counted(), np.random.default_rng(seed + mark))
+            trainer.stream(counted(), np.random.default_rng((seed, part)))
             made = flatten(trainer.weights).astype(np.float64) * n
-            yield pa.RecordBatch.from_pydict({"branch": pa.array([mark % fan], pa.int32()), "n": pa.array([float(n)]), "total": pa.array([made.tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"branch": pa.array([part % fan], pa.int32()), "n": pa.array([float(n)]), "total": pa.array([made.tobytes()], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0.0, None
@@ -486,21 +515,22 @@ def fit_model(train: DataFrame, words: DataFrame, ranks, pattern: str, n_texts:
     classes.group_rare(np.concatenate([table[:SINGLE_CLASSES + 1], table[-1:]]))
     within = classes.within(by_class(classes.class_of))
     rows = spark.sparkContext.broadcast(classes.row_of)
-    windows = materialize(training_windows(train, ranks, pattern, rows), "windows")
+    parts = max(1, round(counts.sum() / (LENGTH * PART_WINDOWS)))
+    windows = materialize(training_parts(training_windows(train, ranks, pattern, rows), parts), "windows")
     weights = start_weights(classes)
     for turn in range(ROUNDS):
-        weights = _average(weights, windows, classes.class_of, turn)
+        weights = _average(weights, windows, parts, classes.class_of, turn)
     return classes, Model(weights, classes.class_of, classes.starts_word, within)
 
 
 class Words(dict):
-    """Packed rows of the ids of a word; bounded."""
+    """Packed ids of a word; bounded."""
 
-    def __init__(self, vocab: Vocabulary, row_of: np.ndarray):
-        self.vocab, self.row_of = vocab, row_of.tolist()
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
 
     def __missing__(self, word: bytes) -> bytes:
-        made = np.array([self.row_of[i] for i in self.vocab.ids(word)], np.int32).tobytes()
+        made = np.array(self.vocab.ids(word), np.int32).tobytes()
         if len(self) >= MAX_WORDS:
             self.clear()
         if len(word) <= 64:
@@ -534,13 +564,12 @@ def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int
     classes, model = fit_model(train, words, ranks, pattern, n_texts)
     head = Head((r.word.encode(), math.log10(r.n + 1) - log_all) for r in frequent_words(words, head_words).toLocalIterator())
     end = (math.log10(n_texts + 1) - log_all, int(n_texts > 0))
-    sent = spark.sparkContext.broadcast((head, classes.row_of, model))
+    sent = spark.sparkContext.broadcast((head, classes.row_of, classes.uneven, model))
     key = ("lm", total, distinct, float(model.weights["ids"].sum()), float(model.weights["out"].sum()))
 
     def work(batch: pa.RecordBatch) -> dict:
-        head, row_of, model = sent.value
-        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern), row_of))
-        last = int(row_of[packed.vocab.end])
+        head, row_of, uneven, model = sent.value
+        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern)))
         sequences, n_tokens, base, known, rest = [], [], [], [], []
         for text in raw_texts(batch):
             parts, n, value, unknown = [], 1, end[0], Counter()
@@ -557,10 +586,10 @@ def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int
             known.append(n - 1 - unknown.total() + end[1])
             rest.append([{"word": w.decode(), "times": c} for w, c in unknown.items()])
         sizes = np.array([len(x) + 1 for x in sequences])
-        stop = np.array([last], np.int32)
+        stop = np.array([packed.vocab.end], np.int32)
         inputs = np.concatenate([y for x in sequences for y in (stop, x)])
         goals = np.concatenate([y for x in sequences for y in (x, stop)])
-        scores = np.add.reduceat(model.log10(inputs, goals, sizes), np.cumsum(sizes) - sizes)
+        scores = np.add.reduceat(model.log10(row_of[inputs], row_of[goals], sizes) + uneven[goals], np.cumsum(sizes) - sizes)
         return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()), "known": pa.array(known, pa.int64()),
                 "base": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64()), "n_ids": pa.array(sizes, pa.int64()),
                 "rest": pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])))}

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import labelled, lm, quality, toxicity
 
@@ -182,6 +183,33 @@ def test_within_class_probabilities_sum_to_one(small):
         assert np.allclose(mass[used], 1, atol=1e-4)
 
 
+def test_ids_without_a_row_keep_their_counts(monkeypatch):
+    monkeypatch.setattr(lm, "OWN_IDS", 150)
+
+    class Vocab:
+        starts_word = np.zeros(301, bool)
+
+    counts = np.random.default_rng(7).integers(0, 50, 301).astype(float)
+    classes = lm.Classes(Vocab, counts)
+    others = classes.row_of == classes.rows - 1
+    assert others.sum() == classes.rest == 151 and not classes.uneven[~others].any()
+    # the shares of the rest sum to one, and follow the counts
+    share = 10.0 ** classes.uneven[others].astype(float) / classes.rest
+    assert share.sum() == pytest.approx(1, abs=1e-5) and share == pytest.approx((counts[others] + 0.5) / (counts[others] + 0.5).sum(), abs=1e-6)
+
+
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART_WINDOWS", 600)  # several parts
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.where("doc_id < 40"))
+    made = []
+    for table in (docs.coalesce(1), docs.repartition(7, F.xxhash64("text"))):
+        made.append(sorted((r.doc_id, r.n_ids, r.score) for r in lm.score_texts(table, RANKS, public_tokenizers.PATTERN).collect()))
+    one, other = made
+    assert [r[:2] for r in one] == [r[:2] for r in other] and len(one) == docs.count()
+    assert [r[2] for r in one] == pytest.approx([r[2] for r in other], rel=1e-3)
+
+
 def test_training_lowers_the_loss(small):
     classes, model = small
     rng = np.random.default_rng(2)
@@ -233,7 +261,6 @@ def test_every_id_and_the_end_is_a_training_goal_once(spark):
 
 def test_streamed_training_sees_every_window(small, monkeypatch):
     classes, _ = small
-    monkeypatch.setattr(lm, "LEAST_STEPS", 1)
     seen = collections.Counter()
     step = lm.Trainer.step
     monkeypatch.setattr(lm.Trainer, "step", lambda self, part: (seen.update(part[:, 0].tolist()), step(self, part)))
