@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
 def test_recursion_is_not_ended_by_a_row_limit(spark, tmp_path):
     spark.createDataFrame([(i,) for i in [*range(1, 200), 5, None, 0]], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
     spark.conf.set("spark.sql.cteRecursionRowLimit", "100")
@@ -13,3 +17,13 @@ def test_recursion_is_not_ended_by_a_row_limit(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.cteRecursionRowLimit")
     assert got == {i: i.bit_length() for i in range(200)} | {None: 0}
+
+
+def test_distinct_users_beside_their_estimate(spark, tmp_path):
+    rows = [("a", i % 300) for i in range(900)] + [(None, 1), (None, None), ("none", None), ("one", 7)]
+    spark.createDataFrame(rows, "event_type string, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    made = entry.queries()["agg_approx_distinct"](spark, str(tmp_path))
+    assert {tuple(r) for r in made.collect()} == {("a", 300, True), (None, 1, True), ("none", 0, True), ("one", 1, True)}
+    # no aggregate by pairs of type and user may hold a sketch
+    sketched = [line for line in plan_of(made).splitlines() if "approx_count_distinct" in line and "keys=" in line]
+    assert sketched and not any("user_id" in line.split("keys=")[1].split("]")[0] for line in sketched)
