@@ -164,7 +164,9 @@ class VectorIndex:
             return pd.Series((unit(a, dim) * unit(b, dim)).sum(axis=1))
 
         vectors = self.items.select("id", F.col("v").alias("iv"))
-        exact = chosen.join(vectors, "id").join(queries.select(F.col(query_id).alias("q"), F.col(vector).alias("v")), "q")
+        asked_for = queries.select(F.col(query_id).alias("q"), F.col(vector).alias("v"))
+        # merged, as a broadcast would bring the vectors of all items to the driver, once a search
+        exact = chosen.join(vectors.hint("merge"), "id").join(asked_for.hint("merge"), "q")
         top = top_per_group(exact.select("q", "id", cosine("v", "iv").alias("similarity")), ["q"], [F.desc("similarity"), F.asc("id")], k)
         return top.join(touched, "q").withColumnRenamed("q", query_id)
 

@@ -1,8 +1,12 @@
 """What grows with the table: limits that small rows reach when they are set low, and plans that decide what a task or the driver holds."""
 
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from millrace.operators import ann
 
 
 def plan_of(df):
@@ -27,3 +31,12 @@ def test_distinct_users_beside_their_estimate(spark, tmp_path):
     # no aggregate by pairs of type and user may hold a sketch
     sketched = [line for line in plan_of(made).splitlines() if "approx_count_distinct" in line and "keys=" in line]
     assert sketched and not any("user_id" in line.split("keys=")[1].split("]")[0] for line in sketched)
+
+
+def test_searches_broadcast_no_vectors(spark):
+    rng = np.random.default_rng(3)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((200, 8)))], "id long, v array<double>")
+    index = ann.VectorIndex.build(table, "id", "v", 8, parts=4)
+    made = index.search(table.where("id % 20 = 0").withColumnRenamed("id", "q"), "q", "v", 5, 3)
+    joins = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert sum("strategy=merge" in line for line in joins) == 2 and made.count() == 50
