@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from millrace.session import rebalanced
 
+#: Rows that one file of a compacted table gets at most, about.
+MOST_FILE_ROWS = 1_000_000
 MANIFEST = "version long, bucket int, path string, operation string, rows long, written_at timestamp, batch string"
 
 
@@ -177,8 +179,13 @@ class VersionedTable:
         return other
 
     def compact(self, by: Sequence[str], files: int) -> int:
-        """Fewer, range-clustered files: min/max statistics then prune scans on ``by``."""
-        sort = lambda df: df.repartitionByRange(files, *by).sortWithinPartitions(*by)
+        """Fewer, range-clustered files: min/max statistics then prune scans on ``by``.
+
+        There are ``files`` of them, or more where one would get over MOST_FILE_ROWS rows, as a task sorts the rows of its file.
+        """
+        rows = self.manifest().where(F.col("version") == self.latest()).agg(F.sum("rows")).first()[0] or 0
+        parts = max(files, -(-rows // MOST_FILE_ROWS))
+        sort = lambda df: df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
         return self.publish(self.read(), "compact", clustered=sort)
 
     def vacuum(self, older_than: dt.datetime) -> int:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from millrace.operators import ann
+from millrace.sources import snapshots
 
 
 def plan_of(df):
@@ -40,3 +41,14 @@ def test_searches_broadcast_no_vectors(spark):
     made = index.search(table.where("id % 20 = 0").withColumnRenamed("id", "q"), "q", "v", 5, 3)
     joins = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
     assert sum("strategy=merge" in line for line in joins) == 2 and made.count() == 50
+
+
+def test_compacted_files_keep_their_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "MOST_FILE_ROWS", 50)
+    table = snapshots.VersionedTable(spark, f"{tmp_path}/t")
+    table.publish(spark.range(1000), "create")
+    table.compact(["id"], 8)
+    files = table.read().groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 20 and max(r["count"] for r in files) <= 100 and table.read().count() == 1000
+    table.compact(["id"], 40)
+    assert table.read().select(F.input_file_name()).distinct().count() == 40
