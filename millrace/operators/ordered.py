@@ -20,17 +20,19 @@ from millrace.session import conf_int, materialize, plan_bytes
 
 CHUNK = "__chunk"
 WHOLE = -1  # chunk of keys that are not cut
-# Inputs below this size are never split: no task can get more than that.
+# Inputs whose files are below this size are never split: no task can get more than their rows. Files hold
+# rows ten and more times smaller than a sort does, so the size is well below what a task may hold.
 SMALL_BYTES_CONF = "spark.millrace.split.smallBytes"
-SMALL_BYTES = 256 << 20
+SMALL_BYTES = 32 << 20
 # A key is heavy above this share of all rows, so there are at most 1/share heavy keys. Where the input's
 # size is known, the share is lowered until it stands for HEAVY_BYTES: a light key then fits one task at any size.
 HEAVY_SHARE = 1.0 / 4096
 HEAVY_BYTES = 1 << 30
 # Inputs that are not files have no true size; their estimate lies above this.
 UNKNOWN_BYTES = 1 << 60
-TARGET_CHUNK_BYTES = 128 << 20
-TARGET_CHUNK_ROWS = 1_000_000  # where the input's size is unknown
+# A chunk gets no more of the input's files, and no more rows, than these: well packed files hold very many rows.
+TARGET_CHUNK_BYTES = 32 << 20
+TARGET_CHUNK_ROWS = 500_000
 LEAST_CHUNKS = 8
 
 
@@ -85,13 +87,14 @@ class OrderedGroups:
 
     Groups are cut along the whole order, whatever the columns' types; only rows that tie on all of it stay
     together, as nothing tells them apart. ``always`` cuts heavy keys of small inputs too. ``chunks`` is the
-    number of chunks over all heavy keys; without it a chunk gets some TARGET_CHUNK_BYTES.
+    number of chunks over all heavy keys; without it a chunk gets at most some TARGET_CHUNK_BYTES and TARGET_CHUNK_ROWS.
+    Chunks are dealt to as many partitions as there are chunks, so what a task gets does not grow with the table.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunks: int | None = None,
-                 share: float = HEAVY_SHARE, always: bool = False, _split: bool | None = None, _carried: bool = False):
+                 share: float = HEAVY_SHARE, always: bool = False, _split: bool | None = None, _carried: bool = False, _parts: int | None = None):
         self.keys, self.order = list(keys), list(order)
-        self.split = bool(_split)
+        self.split, self.parts = bool(_split), _parts
         self._has_carry = _carried
         if _split is not None:
             self.df = df
@@ -110,17 +113,17 @@ class OrderedGroups:
             # the heavy list has at most 1/share rows by construction
             marked = df.join(F.broadcast(marks), on, "left").drop(*[f"__key{i}" for i in range(len(self.keys))])
             light, hot = (marked.where(c).drop("__heavy") for c in ("__heavy IS NULL", "__heavy"))
-        elif not known:
+        else:
             rows = df.count()
-        n = chunks or max(LEAST_CHUNKS, known // TARGET_CHUNK_BYTES if known else rows // TARGET_CHUNK_ROWS)
+        n = chunks or max(LEAST_CHUNKS, -(-known // TARGET_CHUNK_BYTES) if known else 0, -(-rows // TARGET_CHUNK_ROWS))
         # written, as a second evaluation could sample other borders
         cut = materialize(hot.repartitionByRange(n, *self.keys, *self.order).withColumn(CHUNK, F.spark_partition_id()), "chunks")
         self.df = cut if light is None else light.withColumn(CHUNK, F.lit(WHOLE)).unionByName(cut)
-        self.split = True
+        self.split, self.parts = True, max(n, conf_int(df.sparkSession, "spark.sql.shuffle.partitions", 200))
 
     # -- plumbing ---------------------------------------------------------------------
     def _with(self, df: DataFrame, carried: bool = False) -> OrderedGroups:
-        return OrderedGroups(df, self.keys, self.order, _split=self.split, _carried=carried or self._has_carry)
+        return OrderedGroups(df, self.keys, self.order, _split=self.split, _carried=carried or self._has_carry, _parts=self.parts)
 
     def window(self) -> Window:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)
@@ -155,8 +158,10 @@ class OrderedGroups:
         carry = per_chunk.select(
             *self.keys, CHUNK, F.count(F.lit(1)).over(w).alias("__before"), *[c.over(w).alias(n) for n, c in scans.items()]
         ).where("__before > 0").drop("__before")
-        side, on = null_safe(self.df, carry, [*self.keys, CHUNK])
-        return self.df.join(side, on, "left").drop(*[f"__key{i}" for i in range(len(self.keys) + 1)])
+        # the windows that follow find their rows dealt already; the summary has few rows, so the rows stay where they are
+        dealt = self.df.repartition(self.parts, *self.keys, CHUNK)
+        side, on = null_safe(dealt, carry, [*self.keys, CHUNK])
+        return dealt.join(F.broadcast(side), on, "left").drop(*[f"__key{i}" for i in range(len(self.keys) + 1)])
 
     def _position(self) -> Column:
         return F.struct(*self.order)

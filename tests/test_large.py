@@ -3,10 +3,12 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from millrace.operators import ann
+from millrace.operators import ann, ordered
+from millrace.operators.ordered import OrderedGroups
 from millrace.sources import snapshots
 
 
@@ -52,3 +54,28 @@ def test_compacted_files_keep_their_size(spark, tmp_path, monkeypatch):
     assert len(files) == 20 and max(r["count"] for r in files) <= 100 and table.read().count() == 1000
     table.compact(["id"], 40)
     assert table.read().select(F.input_file_name()).distinct().count() == 40
+
+
+@pytest.fixture
+def chunks_of_100(monkeypatch, spark, split_all):
+    monkeypatch.setattr(ordered, "TARGET_CHUNK_ROWS", 100)
+
+
+def parts_of(df, spark):
+    """Rows of the partitions in which ``df`` ends."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_chunks_and_their_tasks_follow_the_rows(spark, tmp_path, chunks_of_100, folder):
+    """Two keys hold all rows; files say little of how many rows they hold."""
+    rows = spark.range(6000).select((F.col("id") % 2).alias("k"), "id")
+    if folder:
+        rows.write.parquet(f"{tmp_path}/rows")
+        rows = spark.read.parquet(f"{tmp_path}/rows")
+    for keys, low, high in ((["k"], 60, 1 / 2), ([], 60, 1)):
+        g = OrderedGroups(rows, keys, ["id"])
+        assert g.split and g.df.select(ordered.CHUNK).distinct().count() >= low
+        sizes = parts_of(g.row_number("n").df, spark)
+        assert max(sizes) <= 1000 and sum(sizes) == 6000  # four partitions would hold 1,500 each
+        assert g.row_number("n").result().where(F.col("n") != F.floor(F.col("id") * high) + 1).isEmpty()
