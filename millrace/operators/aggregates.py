@@ -122,7 +122,10 @@ def text_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], text: s
     dropped. Null texts are left out before counting; empty ones stay.
     """
     told = df.where(F.col(text).isNotNull()).select(*{c: None for c in [*keys, *order, text]})
-    numbered = OrderedGroups(told, keys, order).row_number("__n").result()
-    packed = numbered.groupBy(*keys, F.floor((F.col("__n") - 1) / size).alias("segment")).agg(
+    groups = OrderedGroups(told, keys, order).row_number("__n")
+    numbered = groups.result().withColumn("__segment", F.floor((F.col("__n") - 1) / size))
+    if groups.split:  # as many parts as chunks: the texts of a key and segment come together whole
+        numbered = numbered.repartition(groups.parts, *keys, "__segment")
+    packed = numbered.groupBy(*keys, F.col("__segment").alias("segment")).agg(
         F.count(F.lit(1)).alias("texts"), F.sort_array(F.collect_list(F.struct("__n", F.col(text).alias("t")))).alias("__list"))
     return packed.select(*keys, "segment", "texts", F.array_join(F.col("__list.t"), sep).alias(name))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from millrace.operators import ann, ordered
+from millrace.operators import aggregates, ann, ordered
 from millrace.operators.ordered import OrderedGroups
 from millrace.sources import snapshots
 
@@ -79,3 +79,10 @@ def test_chunks_and_their_tasks_follow_the_rows(spark, tmp_path, chunks_of_100,
         sizes = parts_of(g.row_number("n").df, spark)
         assert max(sizes) <= 1000 and sum(sizes) == 6000  # four partitions would hold 1,500 each
         assert g.row_number("n").result().where(F.col("n") != F.floor(F.col("id") * high) + 1).isEmpty()
+
+
+def test_text_lists_of_a_hot_key_are_dealt_out(spark, chunks_of_100):
+    rows = spark.range(6000).select(F.lit("x").alias("k"), "id", F.col("id").cast("string").alias("t"))
+    made = aggregates.text_lists(rows, ["k"], ["id"], "t", "lines", " ", 50)
+    assert len(parts_of(made, spark)) > 30  # four before
+    assert {r.segment: (r.texts, r.lines) for r in made.collect()} == {s: (50, " ".join(str(50 * s + i) for i in range(50))) for s in range(120)}
