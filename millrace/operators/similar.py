@@ -1,10 +1,14 @@
 """Links between similar texts by word sets (Jaccard) or TF-IDF vectors (cosine), all rows against all.
 
-Words are ordered by how few classes hold them. Two texts can only reach the wanted similarity if they
+Word sets: words are ordered by how few classes hold them. Two texts can only reach the wanted similarity if they
 share a word of both their prefixes (the rare words that the rest cannot make up for), so texts meet by
-equality on prefix words and never as a product. At a meeting, size, position, word-set signature or the
-norms of what follows bound the similarity from above; what passes is compared exactly. The bounds hold
-at the first word a pair shares, where every true pair meets, so none is lost.
+equality on prefix words and never as a product. At a meeting, size, position and word-set signature bound the
+similarity from above; what passes is compared exactly. The bounds hold at the first word a pair shares,
+where every true pair meets, so none is lost.
+
+Vectors: at a low cosine nearly all words belong to the prefix, and pairs that pass such a bound are a
+share of all pairs. All pairs of vectors are multiplied instead, block by block in tasks that send counts
+alone: time is quadratic, but no table holds more than a few copies of each vector.
 
 Rows with equal words form a class; classes are compared, copies only counted. Words held by very many
 prefixes are cut into pairs of blocks, so no task gets a whole posting list.
@@ -12,8 +16,11 @@ prefixes are cut into pairs of blocks, so no task gets a whole posting list.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import io
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +30,10 @@ from millrace.session import materialize
 BLOCK = 4096
 #: A word or class found in more than one of this many rows is looked up by broadcast (its number is bounded by this times the words of a mean text).
 HOT_SHARE = 1000
+#: Words of the texts that one packet of vectors holds, about; terms of all vectors that meet in a task as one block, about; blocks at least.
+PACKET_WORDS, BLOCK_TERMS, LEAST_BLOCKS = 200_000, 5_000_000, 5
+#: Words multiplied as a matrix, and products of two vectors held at once.
+OFTEN, TILE_CELLS = 128, 4_000_000
 _SLACK = 1e-9
 
 
@@ -60,35 +71,173 @@ def cosine_links(df: DataFrame, keys: Sequence[str], words: str, least: float =
     """As :func:`set_links`, for the cosine of TF-IDF vectors: word count times ``ln(rows / rows with the word) + 1``.
 
     Rows are alike as a class when they hold the same words equally often. All rows, empty ones too, count in the weights.
+    Classes are packed some thousand to a row, with word numbers for words; every block of packets meets every other in one task,
+    which multiplies all their vectors and sends counts alone. Neither pairs nor the words of a pair are ever written.
     """
     bag = F.array_sort(F.filter(words, lambda w: w.isNotNull()))
-    rows, classes, terms, total = _terms(df, keys, bag)
-    weighed = terms.withColumn("w", F.col("times") * (F.log(F.lit(float(max(total, 1))) / F.col("rows_with")) + 1))
-    per = Window.partitionBy("class_id")
-    unit = weighed.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(per)))
-    # squared norm of this word and all later ones, read from the far end
-    onward = F.sum(F.col("w") * F.col("w")).over(per.orderBy(F.desc("held"), F.desc("word")).rowsBetween(Window.unboundedPreceding, 0))
-    vectors = materialize(unit.select("class_id", "word", "w", onward.alias("onward")), "vectors")
-    prefix = vectors.where(F.col("onward") >= least * least - _SLACK).withColumn("after", F.greatest(F.col("onward") - F.col("w") * F.col("w"), F.lit(0.0)))
+    rows, classes, total = _classes(df, keys, bag)
+    packets = _packets(classes)
+    terms = packets.agg(F.sum("terms")).first()[0] or 0
+    blocks = max(LEAST_BLOCKS, -(-terms // BLOCK_TERMS))
+    own = packets.select("packet", "body", F.pmod(F.xxhash64("packet"), F.lit(blocks)).cast("int").alias("own"))
+    # the block pair (i, j), i <= j, gets block i from the left and block j from the right
+    left = own.select("packet", "body", F.explode(F.sequence("own", F.lit(blocks - 1))).alias("j"), F.col("own").alias("i"))
+    right = own.select("packet", "body", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
+    pairs = blocks * (blocks + 1) // 2
+    met = left.repartition(pairs, "i", "j").groupBy("i", "j").cogroup(right.repartition(pairs, "i", "j").groupBy("i", "j"))
 
-    def bound(a: str, b: str) -> Column:
-        return F.col(f"{a}.w") * F.col(f"{b}.w") + F.sqrt(F.col(f"{a}.after") * F.col(f"{b}.after")) >= least - _SLACK
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"class_id": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64")})
+        ids, n = _count_links(_unpack(a["body"], total), _unpack(b["body"], total), a["i"].iloc[0] == a["j"].iloc[0], least - _SLACK)
+        return pd.DataFrame({"class_id": ids, "n": n})
 
-    def alike(x: Column, y: Column) -> Column:
-        return F.aggregate(F.array_intersect(F.map_keys(x), F.map_keys(y)), F.lit(0.0), lambda acc, k: acc + x[k] * y[k]) >= least - _SLACK
+    partners = met.applyInPandas(compare, "class_id long, n long").groupBy("class_id").agg(F.sum("n").alias("others"))
+    return _linked(rows, keys, classes, partners)
 
-    bags = vectors.groupBy("class_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "w"))).alias("bag")).join(classes.select("class_id", "copies"), "class_id")
-    return _links(rows, keys, classes, _meet(prefix, bound), bags, alike)
 
-
-def _terms(df: DataFrame, keys: Sequence[str], bag: Column) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """Rows with their class, classes with bag and copies, and words per class with the numbers of classes and rows that hold them."""
+def _classes(df: DataFrame, keys: Sequence[str], bag: Column) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with their class's digest, classes with bag and copies, and the number of rows."""
     bagged = df.select(*keys, F.coalesce(bag, F.array().cast("array<string>")).alias("bag")).withColumn("digest", F.sha2(F.to_json("bag"), 256))
     bagged = materialize(bagged, "bags")
     classes = bagged.groupBy("digest").agg(F.any_value("bag").alias("bag"), F.count("*").alias("copies"))
     # a short number stands for the digest in all tables of words; it holds once the classes are written
     classes = materialize(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
-    rows, total = bagged.select(*keys, "digest"), bagged.count()
+    return bagged.select(*keys, "digest"), classes, bagged.count()
+
+
+def _packets(classes: DataFrame) -> DataFrame:
+    """Word counts of the classes, packed with what weighs them: ``packet, terms, body``; ``terms`` counts those of words of two and more classes.
+
+    A packet lists its words, each once; these lists, not the words of every class, meet the table of all words.
+    """
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = batch["bag"].map(len).to_numpy()
+            cuts = np.cumsum(sizes) // PACKET_WORDS
+            for at in np.unique(cuts):
+                part, n = batch[cuts == at], sizes[cuts == at]
+                code, words = pd.factorize(np.concatenate(part["bag"].tolist()) if n.sum() else np.array([], dtype=object))
+                row, word, times = _counted(np.repeat(np.arange(len(part)), n), code)
+                copies = part["copies"].to_numpy("int64")
+                yield pd.DataFrame({
+                    "packet": [int(part["class_id"].iloc[0])], "words": [list(words)],
+                    "held": [np.bincount(word, minlength=len(words)).astype("int64")],
+                    "rows_with": [np.bincount(word, copies[row], minlength=len(words)).astype("int64")],
+                    "body": [_zip(part["class_id"].to_numpy("int64"), copies, row.astype("int32"), word.astype("int32"), times.astype("int32"))]})
+
+    packed = classes.select("class_id", "copies", "bag").mapInPandas(pack, "packet long, words array<string>, held array<long>, rows_with array<long>, body binary")
+    packed = materialize(packed, "packets")
+    listed = packed.select("packet", F.posexplode(F.arrays_zip("words", "held", "rows_with")).alias("place", "w")).select("packet", "place", "w.*")
+    # a word stands once in a packet, so even a word of every text has no more rows here than there are packets
+    known = listed.groupBy("words").agg(F.sum("held").alias("all_held"), F.sum("rows_with").alias("all_rows"))
+    known = materialize(known.withColumn("word", F.monotonically_increasing_id()), "words")
+    told = listed.select("packet", "place", "words").join(known, "words").groupBy("packet").agg(
+        F.sort_array(F.collect_list(F.struct("place", F.when(F.col("all_held") > 1, F.col("word")).otherwise(-1).alias("word"), "all_rows"))).alias("told"))
+    joined = packed.select("packet", "body").join(told, "packet", "left").select("packet", "body", F.col("told.word").alias("word"), F.col("told.all_rows").alias("all_rows"))
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for p in batch.itertuples(index=False):
+                arrays = _unzip(p.body)
+                if len(arrays[2]):
+                    word = np.asarray(p.word, "int64")
+                    terms = int((word[arrays[3]] >= 0).sum())
+                    yield pd.DataFrame({"packet": [p.packet], "terms": [terms], "body": [_zip(*arrays, word, np.asarray(p.all_rows, "int64"))]})
+
+    return materialize(joined.mapInPandas(tell, "packet long, terms long, body binary"), "vectors")
+
+
+def _counted(row: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, code) in order, and how often each occurs."""
+    width = int(code.max()) + 1 if len(code) else 1
+    pairs, times = np.unique(row * width + code, return_counts=True)
+    return pairs // width, pairs % width, times
+
+
+def _zip(*arrays: np.ndarray) -> bytes:
+    out = io.BytesIO()
+    np.savez_compressed(out, *arrays)
+    return out.getvalue()
+
+
+def _unzip(body: bytes) -> list[np.ndarray]:
+    with np.load(io.BytesIO(body)) as f:
+        return [f[name] for name in f.files]
+
+
+def _unpack(bodies: pd.Series, total: int) -> tuple[np.ndarray, ...]:
+    """Class ids, copies, and (row, word, weight) of the terms of all packets, rows numbered through; words of one class are left out."""
+    made, start = [], 0
+    for body in bodies:
+        ids, copies, row, place, times, word, rows_with = _unzip(body)
+        weight = times * (np.log(max(total, 1) / rows_with) + 1)[place]
+        weight = weight / np.sqrt(np.bincount(row, weight * weight, minlength=len(ids)))[row]
+        kept = word[place] >= 0
+        made.append((ids, copies, row[kept].astype("int64") + start, word[place[kept]], weight[kept]))
+        start += len(ids)
+    return tuple(np.concatenate(parts) for parts in zip(*made))
+
+
+def _count_links(a: tuple, b: tuple, same: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the classes of two blocks that have partners in the other one, with the partners' copies. ``same``: a block and itself.
+
+    Words that most vectors hold are multiplied as a matrix, all others along lists of the vectors that hold them.
+    """
+    ids_a, copies_a, row_a, word_a, x_a = a
+    ids_b, copies_b, row_b, word_b, x_b = b
+    words, word_b = np.unique(word_b, return_inverse=True)
+    at = np.searchsorted(words, word_a)
+    known = at < len(words)
+    known[known] = words[at[known]] == word_a[known]
+    row_a, word_a, x_a = row_a[known], at[known], x_a[known]
+    often = np.argsort(-np.bincount(word_b, minlength=len(words)), kind="stable")[:OFTEN]
+    column = np.full(len(words), -1)
+    column[often] = np.arange(len(often))
+
+    def split(row, word, x, n):
+        dense = column[word] >= 0
+        matrix = np.zeros((n, len(often)))
+        matrix[row[dense], column[word[dense]]] = x[dense]
+        return matrix, row[~dense], word[~dense], x[~dense]
+
+    dense_a, row_a, word_a, x_a = split(row_a, word_a, x_a, len(ids_a))
+    dense_b, row_b, word_b, x_b = split(row_b, word_b, x_b, len(ids_b))
+    order = np.argsort(word_b, kind="stable")
+    row_b, x_b = row_b[order], x_b[order]
+    ends = np.searchsorted(word_b[order], np.arange(len(words) + 1))
+    order = np.argsort(row_a, kind="stable")
+    row_a, word_a, x_a = row_a[order], word_a[order], x_a[order]
+    n_b, n_links_a, n_links_b = len(ids_b), np.zeros(len(ids_a), "int64"), np.zeros(len(ids_b), "int64")
+    step = max(1, TILE_CELLS // n_b)
+    for low in range(0, len(ids_a), step):
+        high = min(low + step, len(ids_a))
+        near = dense_a[low:high] @ dense_b.T
+        first, last = np.searchsorted(row_a, (low, high))
+        size = ends[word_a[first:last] + 1] - ends[word_a[first:last]]
+        upto = np.cumsum(size)
+        start = 0
+        while start < last - first:  # as many postings at once as the tile has cells, one list at least
+            stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + TILE_CELLS, "right")))
+            n = size[start:stop]
+            pick = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[word_a[first + start:first + stop]], n)
+            cell = np.repeat((row_a[first + start:first + stop] - low) * n_b, n) + row_b[pick]
+            np.add.at(near.reshape(-1), cell, np.repeat(x_a[first + start:first + stop], n) * x_b[pick])
+            start = stop
+        i, j = np.nonzero(near >= least)
+        i += low
+        if same:  # each pair once; no class with itself
+            i, j = i[i < j], j[i < j]
+        np.add.at(n_links_a, i, copies_b[j])
+        np.add.at(n_links_b, j, copies_a[i])
+    ids, n = np.concatenate([ids_a, ids_b]), np.concatenate([n_links_a, n_links_b])
+    return ids[n > 0], n[n > 0]
+
+
+def _terms(df: DataFrame, keys: Sequence[str], bag: Column) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Rows with their class, classes with bag and copies, and words per class with the numbers of classes and rows that hold them."""
+    rows, classes, total = _classes(df, keys, bag)
     terms = classes.select("class_id", "copies", F.explode("bag").alias("word")).groupBy("class_id", "copies", "word").agg(F.count("*").alias("times"))
     terms = materialize(terms, "terms")
     held = materialize(terms.groupBy("word").agg(F.count("*").alias("held"), F.sum("copies").alias("rows_with")), "words")
@@ -123,7 +272,11 @@ def _links(rows: DataFrame, keys: Sequence[str], classes: DataFrame, pairs: Data
     b = bags.select(F.col("class_id").alias("b"), F.col("bag").alias("bag_b"), F.col("copies").alias("copies_b"))
     true_pairs = pairs.join(a, "a").join(b, "b").where(alike(F.col("bag_a"), F.col("bag_b")))
     ends = F.explode(F.array(F.struct(F.col("a").alias("class_id"), F.col("copies_b").alias("n")), F.struct(F.col("b").alias("class_id"), F.col("copies_a").alias("n"))))
-    partners = true_pairs.select(ends.alias("e")).select("e.*").groupBy("class_id").agg(F.sum("n").alias("others"))
+    return _linked(rows, keys, classes, true_pairs.select(ends.alias("e")).select("e.*").groupBy("class_id").agg(F.sum("n").alias("others")))
+
+
+def _linked(rows: DataFrame, keys: Sequence[str], classes: DataFrame, partners: DataFrame) -> DataFrame:
+    """The rows with their class's copies and links; ``partners`` holds the rows of other classes linked to a class."""
     same = F.when(F.size("bag") > 0, F.col("copies") - 1).otherwise(F.lit(0))
     counted = classes.join(partners, "class_id", "left").select("digest", "copies", (same + F.coalesce("others", F.lit(0))).cast("long").alias("links"))
     counted = materialize(counted, "links")

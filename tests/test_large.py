@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from millrace.operators import aggregates, ann, ordered
+from millrace.operators import aggregates, ann, ordered, similar
 from millrace.operators.ordered import OrderedGroups
 from millrace.sources import snapshots
 
@@ -86,3 +86,23 @@ def test_text_lists_of_a_hot_key_are_dealt_out(spark, chunks_of_100):
     made = aggregates.text_lists(rows, ["k"], ["id"], "t", "lines", " ", 50)
     assert len(parts_of(made, spark)) > 30  # four before
     assert {r.segment: (r.texts, r.lines) for r in made.collect()} == {s: (50, " ".join(str(50 * s + i) for i in range(50))) for s in range(120)}
+
+
+def test_cosine_links_in_small_packets_and_blocks(spark, monkeypatch):
+    """Many packets, blocks and tiles; the answer is that of all pairs."""
+    monkeypatch.setattr(similar, "PACKET_WORDS", 60)
+    monkeypatch.setattr(similar, "BLOCK_TERMS", 150)
+    monkeypatch.setattr(similar, "OFTEN", 3)
+    monkeypatch.setattr(similar, "TILE_CELLS", 40)
+    rng = random.Random(4)
+    rows = [(i % 70, rng.choices([f"w{int(rng.random() ** 2 * 60)}" for _ in range(60)], k=rng.randrange(0, 12))) for i in range(120)]
+    rows += [rows[0]] * 3 + [(None, ["w1", None, "w2"]), (5, None), (6, ["alone"])]
+    made = similar.cosine_links(spark.createDataFrame(rows, "id long, w array<string>").repartition(3), ["id"], "w", 0.3)
+    counts = [{w: (b or []).count(w) for w in b or [] if w is not None} for _, b in rows]
+    held = {w: sum(w in c for c in counts) for c in counts for w in c}
+    vectors = [{w: n * (np.log(len(rows) / held[w]) + 1) for w, n in c.items()} for c in counts]
+    vectors = [{w: x / np.sqrt(sum(y * y for y in v.values())) for w, x in v.items()} for v in vectors]
+    links = [sum(i != j and sum(x * b.get(w, 0.0) for w, x in a.items()) >= 0.3 - 1e-9 for j, b in enumerate(vectors)) for i, a in enumerate(vectors)]
+    got = sorted((str(r.id), r.links, r.copies) for r in made.collect())
+    assert got == sorted((str(k), n, counts.count(c) if c else counts.count({})) for (k, _), n, c in zip(rows, links, counts))
+    assert sum(links) > 500
