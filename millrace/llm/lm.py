@@ -17,17 +17,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
-from collections import Counter
-from collections.abc import Iterator
-from itertools import groupby
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import chain, groupby
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import in_fold, map_slices, raw_texts, with_text, worker_state
+from millrace.llm.common import in_fold, raw_texts, with_text, worker_state
 from millrace.session import materialize
 
 FOLDS, HELD_OUT_FOLD = 7, 2
@@ -45,42 +46,40 @@ SENT_WINDOWS = 8_192
 ROUNDS, BATCH, RATE = 2, 64, 0.1
 #: Windows that one task trains on in a round, on average.
 PART_WINDOWS = 65_536
-MAX_WORDS, FLUSH_WORDS, BLOCK_BYTES = 300_000, 200_000, 1 << 21
+#: Words whose ids a worker keeps, ids that are counted at once, bytes of text that are cut into words at once (one text at least).
+MAX_WORDS, FLUSH_IDS, BLOCK_BYTES = 300_000, 1_000_000, 1 << 21
 MASKED = np.float32(-1e9)
 
 
-def text_blocks(text: bytes) -> Iterator[list[bytes]]:
-    """Lower-case (A-Z) words of a text between ASCII white space, in blocks."""
-    at = 0
-    while at < len(text):
-        end = min(at + BLOCK_BYTES, len(text))
-        while end < len(text) and text[end] not in b" \t\n\v\f\r":
-            end += 1
-        yield text[at:end].lower().split()
-        at = end
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about BLOCK_BYTES in a column, or one longer text."""
+    for batch in batches:
+        ends, at = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_BYTES, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-case (A-Z) words of texts between ASCII white space, text after text, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, at = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space at an end of a text leaves an empty one
+    before = np.append(0, np.cumsum(real))
+    return words.filter(pa.array(real)), np.diff(before[at])
 
 
 # ---- counts of words and of pairs of ids ----------------------------------------------------------------------------
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """word, n over all texts; tasks count for themselves first and send a word about once each."""
+    """word, n over all texts; tasks count slices for themselves first, and Spark adds these up before it sends them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.binary()).cast(pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
-            counts.clear()
-            return made
-
-        for batch in batches:
-            for text in raw_texts(batch):
-                for words in text_blocks(text):
-                    counts.update(words)
-                if len(counts) > FLUSH_WORDS:
-                    yield flush()
-        yield flush()
+        for part in text_slices(batches):
+            counts = pc.value_counts(split_words(part.column("text"))[0])
+            yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], ["word", "n"])
 
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -111,6 +110,7 @@ class Vocabulary:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_file.splitlines())}
         self.encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
+        self.kind = np.dtype(np.uint16 if self.end < 1 << 16 else np.int32)
         self.starts_word = np.zeros(self.end + 1, bool)
         self.starts_word[[i for token, i in ranks.items() if token[:1] == b" "]] = True
         self.starts_word[self.end] = True
@@ -127,23 +127,29 @@ def pair_counts(words: DataFrame, ranks, pattern: str) -> DataFrame:
     """before, id, n: how often an id follows another within a word (before is -1 at its start), over all counted words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, counts = vocabulary(ranks.value, pattern), Counter()
+        vocab, keys, times, held = vocabulary(ranks.value, pattern), [], [], 0
+        base = vocab.end + 1
 
         def flush() -> pa.RecordBatch:
-            before, after = zip(*counts) if counts else ((), ())
-            made = pa.RecordBatch.from_pydict({"before": pa.array(before, pa.int32()), "id": pa.array(after, pa.int32()), "n": pa.array(list(counts.values()), pa.int64())})
-            counts.clear()
-            return made
+            key, which = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.zeros(len(key), np.int64)
+            np.add.at(n, which, np.concatenate(times))
+            return pa.RecordBatch.from_pydict({"before": (key // base - 1).astype(np.int32), "id": (key % base).astype(np.int32), "n": n})
 
         for batch in batches:
-            for word, n in zip(raw_texts(batch, "word"), batch.column("n").to_pylist()):
-                before = -1
-                for i in vocab.ids(word):
-                    counts[before, i] += n
-                    before = i
-            if len(counts) > FLUSH_WORDS:
+            lists = list(map(vocab.ids, raw_texts(batch, "word")))
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            ids = np.fromiter(chain.from_iterable(lists), np.int64, sizes.sum())
+            before = np.append(0, ids[:-1] + 1)[:len(ids)]
+            before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
+            keys.append(before * base + ids)
+            times.append(np.repeat(batch.column("n").to_numpy(), sizes))
+            held += len(ids)
+            if held > FLUSH_IDS:
                 yield flush()
-        yield flush()
+                keys, times, held = [], [], 0
+        if keys:
+            yield flush()
 
     return words.mapInArrow(run, "before int, id int, n long").groupBy("before", "id").agg(F.sum("n").alias("n"))
 
@@ -222,59 +228,77 @@ def unflatten(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.nda
 def causal(distance: np.ndarray, queries: int, keys: int) -> np.ndarray:
     """What is added to attention scores: the weight of the distance back, or a mask for what comes later."""
     back = (np.arange(queries)[:, None] + keys - queries) - np.arange(keys)
-    return np.where(back >= 0, distance[np.maximum(back, 0)], MASKED).astype(np.float32)
+    return np.append(distance, MASKED).astype(np.float32).take(np.where(back >= 0, back, len(distance)))
 
 
 _Q, _K, _V, _L = slice(0, HEAD_WIDTH), slice(HEAD_WIDTH, 2 * HEAD_WIDTH), slice(2 * HEAD_WIDTH, 3 * HEAD_WIDTH), slice(3 * HEAD_WIDTH, WIDTH)
 
 
 class Trainer:
-    """Adagrad over batches of windows of LENGTH + 1 rows (-1 pads): each row but the first is predicted from those before."""
+    """Adagrad over batches of windows of LENGTH + 1 rows (-1 pads): each row but the first is predicted from those before.
+
+    Exponentials stay without their sums: what divides by them, or weighs the goals, goes to the narrow factors of a
+    product instead of the wide one. The wide arrays of a step are made once and used again by the next.
+    """
 
     def __init__(self, weights: dict[str, np.ndarray], class_of: np.ndarray):
         self.weights, self.class_of = {k: v.copy() for k, v in weights.items()}, class_of
         self.seen = {k: np.full(v.shape, 1e-4, np.float32) for k, v in weights.items()}
         self.steps = 0
-        self.back = np.arange(LENGTH)[:, None] - np.arange(LENGTH)
-        self.below = self.back >= 0
+        back = np.arange(LENGTH)[:, None] - np.arange(LENGTH)
+        self.below, self.back = np.flatnonzero(back >= 0), back[back >= 0]
+        self.room: dict[str, np.ndarray] = {}
+
+    def _room(self, windows: int) -> Iterator[np.ndarray]:
+        """Attention of places to places, its gradients, features (the last one stays 1), classes, gradients of ids."""
+        if not self.room or len(self.room["a"]) < windows:
+            shapes = {"a": LENGTH, "ds": LENGTH, "f": HEAD_WIDTH + LAST_WIDTH + 1, "p": CLASSES, "de": WIDTH}
+            self.room = {k: np.ones((windows, LENGTH, v), np.float32) for k, v in shapes.items()}
+        return (v[:windows] for v in self.room.values())
 
     def step(self, part: np.ndarray) -> None:
-        w, seen = self.weights, self.seen
-        real = (part[:, 1:] >= 0).ravel()
-        rows, goal = np.maximum(part[:, :-1], 0), self.class_of[np.maximum(part[:, 1:], 0)]
+        w, seen, n = self.weights, self.seen, len(part) * LENGTH
+        a, ds, f, p, de = self._room(len(part))
+        real = part[:, 1:].ravel() >= 0
+        rows, goal = np.maximum(part[:, :-1], 0), self.class_of.take(np.maximum(part[:, 1:], 0).ravel())
         e = w["ids"].take(rows, axis=0)
-        q, k, v, last = e[..., _Q], e[..., _K], e[..., _V], e[..., _L]
-        s = np.matmul(q, k.transpose(0, 2, 1))
-        s += causal(w["distance"], LENGTH, LENGTH)
-        a, total = _exp_rows(s.reshape(-1, LENGTH))
-        a /= total[:, None]
-        a = a.reshape(s.shape)
-        f = np.concatenate([np.matmul(a, v), last], 2).reshape(-1, HEAD_WIDTH + LAST_WIDTH)
-        z = f @ w["out"]
-        z += w["bias"]
-        p, total = _exp_rows(z)
-        weight = real / np.float32(max(1, real.sum()))
-        p *= (weight / total)[:, None]
-        p[np.arange(len(p)), goal.ravel()] -= weight
-        grad = {"out": f.T @ p, "bias": p.sum(0)}
-        df = (p @ w["out"].T).reshape(*rows.shape, -1)
-        dh, de = df[..., :HEAD_WIDTH], np.empty_like(e)
-        ds = np.matmul(dh, v.transpose(0, 2, 1))
-        ds -= np.einsum("bqk,bqk->bq", ds, a)[..., None]
+        q, k, v, h = e[..., _Q], e[..., _K], e[..., _V], f[..., :HEAD_WIDTH]
+        keys, added, out = k.transpose(0, 2, 1), causal(w["distance"], LENGTH, LENGTH), np.vstack([w["out"], w["bias"]])
+        a_total = _exp_rows(lambda: np.add(np.matmul(q, keys, out=a), added, out=a), a.reshape(n, LENGTH)).reshape(-1, LENGTH, 1)
+        np.divide(np.matmul(a, v), a_total, out=h)
+        f[..., HEAD_WIDTH:-1] = e[..., _L]
+        flat = p.reshape(n, CLASSES)
+        total = _exp_rows(lambda: np.matmul(f, out, out=p), flat)
+        flat.reshape(-1)[np.arange(0, n * CLASSES, CLASSES) + goal] -= total
+        weight = (real / (total * np.float32(max(1, real.sum())))).reshape(-1, LENGTH, 1)
+        g = _outer(f * weight, p)
+        grad = {"out": g[:-1], "bias": g[-1]}
+        df = np.matmul(flat, w["out"].T).reshape(-1, LENGTH, HEAD_WIDTH + LAST_WIDTH)
+        df *= weight
+        de[..., _L] = df[..., HEAD_WIDTH:]
+        dh = df[..., :HEAD_WIDTH] / a_total
+        np.matmul(dh, v.transpose(0, 2, 1), out=ds)
+        ds -= np.einsum("bqd,bqd->bq", dh, h)[..., None]
         ds *= a
-        de[..., _Q], de[..., _K], de[..., _V], de[..., _L] = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dh), df[..., HEAD_WIDTH:]
-        grad["distance"] = np.bincount(self.back[self.below], ds.sum(0)[self.below], LENGTH).astype(np.float32)
+        np.matmul(ds, k, out=de[..., _Q])
+        np.matmul(ds.transpose(0, 2, 1), q, out=de[..., _K])
+        np.matmul(a.transpose(0, 2, 1), dh, out=de[..., _V])
+        grad["distance"] = np.bincount(self.back, ds.sum(0).take(self.below), LENGTH).astype(np.float32)
         for name, g in grad.items():
             seen[name] += g * g
             w[name] -= 0.5 * RATE * g / np.sqrt(seen[name])
-        by = np.argsort(rows, axis=None, kind="stable")
-        ordered = rows.ravel()[by]
+        by = np.argsort(rows.astype(np.uint16), axis=None, kind="stable")  # at most OWN_IDS + 1 rows
+        ordered = rows.ravel().take(by)
         first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-        hit = ordered[first]
-        g = np.add.reduceat(de.reshape(-1, WIDTH)[by], first)
-        more = seen["ids"][hit] + g * g
+        hit = ordered.take(first)
+        # numbers are added in pairs, as complex ones
+        g = np.add.reduceat(de.reshape(n, WIDTH).take(by, axis=0).view(np.complex64), first).view(np.float32)
+        more = seen["ids"].take(hit, axis=0)
+        more += g * g
         seen["ids"][hit] = more
-        w["ids"][hit] -= RATE * g / np.sqrt(more)
+        g /= np.sqrt(more, out=more)
+        g *= RATE
+        w["ids"][hit] -= g
         self.steps += 1
 
     def passes(self, windows: np.ndarray, rng: np.random.Generator, steps: int) -> None:
@@ -329,44 +353,57 @@ class Model:
         goal_class = self.class_of[goals]
         made = np.empty(len(goals), np.float64)
         reach = np.arange(-BACK, STRIDE)
+        # the last feature stays 1, for the bias
+        a, features, classes = (np.ones((batch, STRIDE, width), np.float32) for width in (LENGTH, len(out), CLASSES))
         for at in range(0, len(base), batch):
             b = base[at:at + batch]
             place = b[:, None] + reach
             e = w["ids"].take(inputs.take(place, mode="clip"), axis=0)
-            s = np.matmul(e[:, BACK:, _Q], e[..., _K].transpose(0, 2, 1))
-            s += self.added
-            s[nth[at:at + batch] == 0, :, :BACK] = MASKED
-            a, total = _exp_rows(s.reshape(-1, LENGTH))
-            f = np.empty((len(b), STRIDE, len(out)), np.float32)
-            np.matmul(a.reshape(s.shape), e[..., _V], out=f[..., :HEAD_WIDTH])
-            f[..., :HEAD_WIDTH] /= total.reshape(len(b), STRIDE, 1)
+            q, k, first = e[:, BACK:, _Q], e[..., _K].transpose(0, 2, 1), np.flatnonzero(nth[at:at + batch] == 0)
+            s, f, p = a[:len(b)], features[:len(b)], classes[:len(b)]
+
+            def scores() -> None:
+                np.add(np.matmul(q, k, out=s), self.added, out=s)
+                s[first, :, :BACK] = MASKED
+
+            total = _exp_rows(scores, s.reshape(-1, LENGTH))
+            np.divide(np.matmul(s, e[..., _V]), total.reshape(-1, STRIDE, 1), out=f[..., :HEAD_WIDTH])
             f[..., HEAD_WIDTH:-1] = e[:, BACK:, _L]
-            f[..., -1] = 1
-            z = f.reshape(-1, len(out)) @ out
+            flat = p.reshape(-1, CLASSES)
+            total = _exp_rows(lambda: np.matmul(f, out, out=p), flat)
             place = place[:, BACK:].ravel()
             real = np.flatnonzero(place < np.repeat(stop[at:at + batch], STRIDE))
             place = place[real]
-            p, total = _exp_rows(z)
-            made[place] = np.log(np.maximum(p[real, goal_class[place]], 1e-30)) - np.log(total[real])
+            made[place] = np.log(np.maximum(flat.reshape(-1).take(real * CLASSES + goal_class[place]), 1e-30)) - np.log(total[real])
         made /= math.log(10)
         before = self.before[goals]
         made += self.within[np.where(before < 0, self.class_of[inputs], before), goals]
         return made
 
 
-def _exp_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials of rows, each up to a factor of its own, and their sums.
+def _exp_rows(fill: Callable[[], object], x: np.ndarray) -> np.ndarray:
+    """Turns the rows of ``x``, which ``fill`` writes, into their exponentials, each up to a factor of its own; returns their sums.
 
     The largest of a row is taken off first only where plain exponentials would leave the range of floats.
     """
     ones = np.ones(x.shape[1], np.float32)
+    fill()
     if x.max() < 60:
-        made = np.exp(x)
-        total = made @ ones
+        total = np.exp(x, out=x) @ ones
         if total.min() > 1e-25:
-            return made, total
-    made = np.exp(x - x.max(1, keepdims=True))
-    return made, made @ ones
+            return total
+        fill()
+    x -= x.max(1, keepdims=True)
+    return np.exp(x, out=x) @ ones
+
+
+def _outer(x: np.ndarray, y: np.ndarray, block: int = 8) -> np.ndarray:
+    """Sum over windows and places of the products of two vectors, in blocks of windows that the cache holds."""
+    whole = len(x) // block * block
+    made = np.matmul(x[:whole].reshape(-1, block * LENGTH, x.shape[2]).transpose(0, 2, 1), y[:whole].reshape(-1, block * LENGTH, y.shape[2])).sum(0)
+    if whole < len(x):
+        made += x[whole:].reshape(-1, x.shape[2]).T @ y[whole:].reshape(-1, y.shape[2])
+    return made
 
 
 class Head(dict):
@@ -379,54 +416,108 @@ class Head(dict):
 # ---- the jobs ------------------------------------------------------------------------------------------------------
 
 
-def cut_windows(rows: np.ndarray) -> np.ndarray:
-    """Consecutive windows of LENGTH + 1 rows of a text that has its end before and after it; -1 after the last.
+class Words(dict):
+    """Packed ids of a word; bounded."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        self.code = "H" if vocab.kind.itemsize == 2 else "i"
+
+    def __missing__(self, word: bytes) -> bytes:
+        made = array(self.code, self.vocab.ids(word)).tobytes()
+        if len(self) >= MAX_WORDS:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = made
+        return made
+
+
+def encode_texts(texts: DataFrame, ranks, pattern: str, counted=None) -> DataFrame:
+    """What training and scoring need of every text, so that its words are cut and looked up once: doc_id, held_out (if there), ids, deal, n_tokens, known, base, rest.
+
+    ``ids`` holds the ids of the words, as many bytes each as the vocabulary needs; ``deal`` is a hash of the text and its
+    doc_id; ``rest`` has the words that ``counted`` (broadcast: :class:`Head`, log10 probability of the end and whether it
+    is known) does not have, and how often each stands in the text; ``base`` sums the values of the others, ``known`` counts
+    them. Each distinct word of a slice is looked up once, the rest is done on arrays.
+    """
+    key = ("window-words", pattern, crc32(ranks.value))
+    kept = [c for c in ("doc_id", "held_out") if c in texts.columns]
 
-    The last row of a window is the first of the next, so that every row but the first is predicted once.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern)))
+        head, end = (Head(), (0.0, 0)) if counted is None else counted.value
+        for part in text_slices(batches):
+            rows = part.num_rows
+            words, n_words = split_words(part.column("text"))
+            coded = words.dictionary_encode()
+            which, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.binary()).to_pylist()
+            own = list(map(packed.__getitem__, distinct))
+            at = np.append(0, np.cumsum(n_words))
+            # the packed ids of a text are those of its words, one after another
+            sizes = np.append(0, np.cumsum(np.fromiter(map(len, own), np.int64, len(own))[which]))[at]
+            ids = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(sizes.astype(np.int32).tobytes()), pa.py_buffer(b"".join(map(own.__getitem__, which.tolist())))])
+            names = part.column("doc_id").to_pylist() if "doc_id" in kept else [None] * rows
+            deal = [crc32(text, crc32(str(name).encode())) for text, name in zip(raw_texts(part), names)]
+            value = np.fromiter(map(head.__getitem__, distinct), np.float64, len(distinct))[which]
+            text, missing = np.repeat(np.arange(rows), n_words), np.isnan(value)
+            base = end[0] + np.bincount(text, np.where(missing, 0, value), rows)
+            known = end[1] + np.bincount(text[~missing], minlength=rows)
+            one, times = np.unique(text[missing] * len(distinct) + which[missing], return_counts=True)
+            text, name = np.divmod(one, max(1, len(distinct)))
+            rest = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(name)), pa.array(times)], ["word", "times"])
+            yield pa.RecordBatch.from_pydict({c: part.column(c) for c in kept} | {
+                "ids": ids, "deal": pa.array(deal, pa.int64()), "n_tokens": n_words + 1, "known": known, "base": base,
+                "rest": pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(rows + 1)), pa.int32()), rest)})
+
+    types = {"doc_id": "doc_id long, ", "held_out": "held_out boolean, "}
+    return texts.select("text", *kept).mapInArrow(run, "".join(types[c] for c in kept) + "ids binary, deal long, n_tokens long, known long, base double, rest array<struct<word:string,times:long>>")
+
+
+def joined_ids(ids: pa.Array, vocab_end: int, kind: np.dtype, before: int, after: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts one after another, each with so many ends before and after it, and how many each then has."""
+    sizes = pc.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // kind.itemsize
+    own = np.frombuffer(b"".join(ids.to_pylist()), kind)
+    made = np.full(len(own) + (before + after) * len(sizes), vocab_end, np.int32)
+    made[np.arange(len(own)) + np.repeat(before + (before + after) * np.arange(len(sizes)), sizes)] = own
+    return made, sizes + before + after
+
+
+def cut_windows(rows: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Text, place in it, and LENGTH + 1 rows of consecutive windows of texts of these sizes, SENT_WINDOWS at a time; -1 after the last row.
+
+    A text has its end before and after it. The last row of a window is the first of the next, so that every row but the
+    first is predicted once.
     """
-    n = -(-(len(rows) - 1) // LENGTH)
-    padded = np.full(n * LENGTH + 1, -1, rows.dtype)
-    padded[:len(rows)] = rows
-    return np.lib.stride_tricks.sliding_window_view(padded, LENGTH + 1)[::LENGTH]
+    n = -(-(sizes - 1) // LENGTH)
+    first, stop = np.cumsum(n) - n, np.cumsum(sizes)
+    for at in range(0, int(n.sum()), SENT_WINDOWS):
+        window = np.arange(at, min(at + SENT_WINDOWS, int(n.sum())))
+        text = np.searchsorted(first, window, "right") - 1
+        nth = window - first[text]
+        place = ((stop - sizes)[text] + nth * LENGTH)[:, None] + np.arange(LENGTH + 1)
+        yield text, nth, np.where(place < stop[text][:, None], rows.take(place, mode="clip"), rows.dtype.type(-1))
 
 
 def training_windows(texts: DataFrame, ranks, pattern: str, rows) -> DataFrame:
     """One row per window of :func:`cut_windows` over every whole text: LENGTH + 1 rows of ids as two bytes each.
 
-    ``at`` is a hash of the text, its doc_id where there is one, and the window's place in it: copies under other ids,
-    and windows of one long text, get other values.
+    ``texts`` may have gone through :func:`encode_texts` before. ``at`` is a hash of the text, its doc_id where there is one,
+    and the window's place in it: copies under other ids, and windows of one long text, get other values.
     """
-    key = ("window-words", pattern, crc32(ranks.value))
-    named = "doc_id" in texts.columns
-
-    def sent(made: list[np.ndarray], at: list[np.ndarray]) -> pa.RecordBatch:
-        flat = np.concatenate(made)
-        fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (LENGTH + 1)), len(flat), [None, pa.py_buffer(flat.tobytes())])
-        return pa.RecordBatch.from_pydict({"at": pa.array(np.concatenate(at)), "window": fixed.cast(pa.binary())})
+    coded = texts if "ids" in texts.columns else encode_texts(texts, ranks, pattern)
+    vocab = vocabulary(ranks.value, pattern)
+    end, kind = vocab.end, vocab.kind
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern)))
-        end = np.array([packed.vocab.end], np.int32).tobytes()
         row_of = rows.value.astype(np.int16)  # at most OWN_IDS + 1 rows
-        made, at, n = [], [], 0
-        for batch in batches:
-            names = batch.column("doc_id").to_pylist() if named else [None] * batch.num_rows
-            for text, name in zip(raw_texts(batch), names):
-                parts = [end]
-                for block in text_blocks(text):
-                    parts.append(b"".join(map(packed.__getitem__, block)))
-                parts.append(end)
-                made.append(cut_windows(row_of[np.frombuffer(b"".join(parts), np.int32)]))
-                start = crc32(text, crc32(str(name).encode())) << 31
-                at.append(start ^ np.arange(len(made[-1]), dtype=np.int64))
-                n += len(made[-1])
-                if n >= SENT_WINDOWS:
-                    yield sent(made, at)
-                    made, at, n = [], [], 0
-        if made:
-            yield sent(made, at)
-
-    return texts.select("text", *["doc_id"] * named).mapInArrow(run, "at long, window binary")
+        for part in text_slices(batches, "ids"):
+            ids, sizes = joined_ids(part.column("ids"), end, kind, 1, 1)
+            start = part.column("deal").to_numpy() << 31
+            for text, nth, made in cut_windows(row_of.take(ids), sizes):
+                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (LENGTH + 1)), len(made), [None, pa.py_buffer(made.tobytes())])
+                yield pa.RecordBatch.from_pydict({"at": pa.array(start[text] ^ nth), "window": fixed.cast(pa.binary())})
+
+    return coded.select("ids", "deal").mapInArrow(run, "at long, window binary")
 
 
 def training_parts(windows: DataFrame, parts: int) -> DataFrame:
@@ -472,18 +563,17 @@ def _average(weights: dict[str, np.ndarray], windows: DataFrame, parts: int, cla
 
             trainer = Trainer(*sent.value)
             trainer.stream(counted(), np.random.default_rng((seed, part)))
-            made = flatten(trainer.weights).astype(np.float64) * n
-            yield pa.RecordBatch.from_pydict({"branch": pa.array([part % fan], pa.int32()), "n": pa.array([float(n)]), "total": pa.array([made.tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"branch": pa.array([part % fan], pa.int32()), "n": pa.array([float(n)]), "weights": pa.array([flatten(trainer.weights).tobytes()], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0.0, None
         for batch in batches:
-            for more, data in zip(batch.column("n").to_pylist(), batch.column("total").to_pylist()):
-                n, total = n + more, np.frombuffer(data) + (0 if total is None else total)
+            for more, data in zip(batch.column("n").to_pylist(), batch.column("weights").to_pylist()):
+                n, total = n + more, np.frombuffer(data, np.float32).astype(np.float64) * more + (0 if total is None else total)
         if total is not None:
             yield pa.RecordBatch.from_pydict({"n": pa.array([n]), "total": pa.array([total.tobytes()], pa.binary())})
 
-    sums = windows.mapInArrow(fit, "branch int, n double, total binary").repartition(fan, "branch").select("n", "total").mapInArrow(add, "n double, total binary")
+    sums = windows.mapInArrow(fit, "branch int, n double, weights binary").repartition(fan, "branch").select("n", "weights").mapInArrow(add, "n double, total binary")
     n, total = 0.0, 0.0
     for row in sums.toLocalIterator():  # about the root of the number of partitions
         n, total = n + row.n, total + np.frombuffer(row.total)
@@ -491,7 +581,7 @@ def _average(weights: dict[str, np.ndarray], windows: DataFrame, parts: int, cla
 
 
 def fit_model(train: DataFrame, words: DataFrame, ranks, pattern: str, n_texts: int) -> tuple[Classes, Model]:
-    """Classes from counts over all training texts, then attention by rounds of averaged training."""
+    """Classes from counts over all training texts (encoded or not), then attention by rounds of averaged training."""
     spark = train.sparkSession
     vocab = vocabulary(ranks.value, pattern)
     pairs = materialize(pair_counts(words, ranks, pattern), "id-pairs")
@@ -523,21 +613,6 @@ def fit_model(train: DataFrame, words: DataFrame, ranks, pattern: str, n_texts:
     return classes, Model(weights, classes.class_of, classes.starts_word, within)
 
 
-class Words(dict):
-    """Packed ids of a word; bounded."""
-
-    def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
-
-    def __missing__(self, word: bytes) -> bytes:
-        made = np.array(self.vocab.ids(word), np.int32).tobytes()
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = made
-        return made
-
-
 def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int = FOLDS, held_out: int = HELD_OUT_FOLD,
                 head_words: int = HEAD_WORDS) -> DataFrame:
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_ids.
@@ -561,46 +636,28 @@ def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int
     log_all = math.log10(total + distinct + 1)
     with open(ranks_path, "rb") as file:
         ranks = spark.sparkContext.broadcast(file.read())
-    classes, model = fit_model(train, words, ranks, pattern, n_texts)
     head = Head((r.word.encode(), math.log10(r.n + 1) - log_all) for r in frequent_words(words, head_words).toLocalIterator())
-    end = (math.log10(n_texts + 1) - log_all, int(n_texts > 0))
-    sent = spark.sparkContext.broadcast((head, classes.row_of, classes.uneven, model))
-    key = ("lm", total, distinct, float(model.weights["ids"].sum()), float(model.weights["out"].sum()))
+    counted = spark.sparkContext.broadcast((head, (math.log10(n_texts + 1) - log_all, int(n_texts > 0))))
+    coded = materialize(encode_texts(texts, ranks, pattern, counted).withColumn("row", F.monotonically_increasing_id()), "encoded")
+    classes, model = fit_model(coded.where("not held_out"), words, ranks, pattern, n_texts)
+    sent = spark.sparkContext.broadcast((classes.row_of, classes.uneven, model))
+    vocab = vocabulary(ranks.value, pattern)
+    stop, kind = vocab.end, vocab.kind
 
-    def work(batch: pa.RecordBatch) -> dict:
-        head, row_of, uneven, model = sent.value
-        packed = worker_state(key, lambda: Words(Vocabulary(ranks.value, pattern)))
-        sequences, n_tokens, base, known, rest = [], [], [], [], []
-        for text in raw_texts(batch):
-            parts, n, value, unknown = [], 1, end[0], Counter()
-            for block in text_blocks(text):
-                parts.append(b"".join(map(packed.__getitem__, block)))
-                found = np.fromiter(map(head.__getitem__, block), np.float64, len(block))
-                missing = np.isnan(found)
-                unknown.update([block[i] for i in np.flatnonzero(missing).tolist()])
-                n += len(block)
-                value += float(found[~missing].sum())
-            sequences.append(np.frombuffer(b"".join(parts), np.int32))
-            n_tokens.append(n)
-            base.append(value)
-            known.append(n - 1 - unknown.total() + end[1])
-            rest.append([{"word": w.decode(), "times": c} for w, c in unknown.items()])
-        sizes = np.array([len(x) + 1 for x in sequences])
-        stop = np.array([packed.vocab.end], np.int32)
-        inputs = np.concatenate([y for x in sequences for y in (stop, x)])
-        goals = np.concatenate([y for x in sequences for y in (x, stop)])
-        scores = np.add.reduceat(model.log10(row_of[inputs], row_of[goals], sizes) + uneven[goals], np.cumsum(sizes) - sizes)
-        return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()), "known": pa.array(known, pa.int64()),
-                "base": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64()), "n_ids": pa.array(sizes, pa.int64()),
-                "rest": pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])))}
-
-    scored = map_slices(texts, work, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_ids long, "
-                        "rest array<struct<word:string,times:long>>")
-    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.times")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row_of, uneven, model = sent.value
+        for part in text_slices(batches, "ids"):
+            inputs, sizes = joined_ids(part.column("ids"), stop, kind, 1, 0)
+            goals, _ = joined_ids(part.column("ids"), stop, kind, 0, 1)
+            scores = np.add.reduceat(model.log10(row_of[inputs], row_of[goals], sizes) + uneven[goals], np.cumsum(sizes) - sizes)
+            yield pa.RecordBatch.from_pydict({c: part.column(c) for c in same} | {"score": scores, "n_ids": sizes})
+
+    same = ("row", "doc_id", "held_out", "n_tokens", "known", "base")
+    scored = coded.select(*same, "ids").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_ids long")
+    rare = coded.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.times")
     met = (rare.join(words, "word", "left").groupBy("row")
            .agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
                 F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 1) - log_all)).alias("more_base")))
-    return scored.drop("rest").join(met, "row", "left").select(
+    return scored.join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score", "n_ids")

@@ -267,3 +267,56 @@ def test_streamed_training_sees_every_window(small, monkeypatch):
     groups = np.arange(5 * 100).reshape(5, 100, 1).repeat(lm.LENGTH + 1, 2) % classes.rows
     lm.Trainer(lm.start_weights(classes), classes.class_of).stream(iter(groups.astype(np.int32)), np.random.default_rng(1))
     assert seen == collections.Counter((np.arange(500) % classes.rows).tolist())
+
+
+def test_texts_are_encoded_once_for_training_and_scoring(spark, odd):
+    send = spark.sparkContext.broadcast
+    ranks, head = send(open(RANKS, "rb").read()), lm.Head({b"text": -1.5, b"one": -2.0, b"a": -0.5})
+    vocab = lm.vocabulary(ranks.value, public_tokenizers.PATTERN)
+    texts = odd.selectExpr("doc_id", "coalesce(text, '') text").coalesce(1)
+    coded = lm.encode_texts(texts, ranks, public_tokenizers.PATTERN, send((head, (-3.0, 1)))).cache()
+    for given, made in zip(texts.collect(), coded.collect(), strict=True):
+        own = tokens(given.text)[:-1]
+        assert given.doc_id == made.doc_id and made.n_tokens == len(own) + 1
+        assert np.frombuffer(made.ids, vocab.kind).tolist() == [i for w in own for i in vocab.ids(w)]
+        assert {r.word.encode(): r.times for r in made.rest} == collections.Counter(w for w in own if w not in head)
+        assert made.known == 1 + sum(w in head for w in own)
+        assert made.base == pytest.approx(-3 + sum(head[w] for w in own if w in head))
+    rows = send(np.arange(vocab.end + 1, dtype=np.int32) % 8_000)
+    one, other = (lm.training_windows(t, ranks, public_tokenizers.PATTERN, rows).collect() for t in (coded, texts))
+    assert one == other and len({r.at for r in one}) == len(one) - sum(-(-(len(made.ids) // 2 + 1) // lm.LENGTH) for made in coded.where("doc_id = 5").limit(1).collect())
+
+
+def test_a_step_follows_the_plain_gradient(small):
+    classes, model = small
+    rng = np.random.default_rng(3)
+    part = rng.integers(0, classes.rows, (11, lm.LENGTH + 1)).astype(np.int32)
+    part[2, 9:] = part[7, 1:] = -1
+    start = {k: v.astype(float) for k, v in model.weights.items()}
+
+    def loss(w):
+        total = 0.0
+        for window in part:
+            for at in np.flatnonzero(window[1:] >= 0):
+                e = w["ids"][window[:at + 1]]
+                a = np.exp(e[:, 8:16] @ e[-1, :8] + w["distance"][np.arange(at, -1, -1)])
+                z = np.concatenate([a / a.sum() @ e[:, 16:24], e[-1, 24:]]) @ w["out"] + w["bias"]
+                total += np.log(np.exp(z).sum()) - z[classes.class_of[window[at + 1]]]
+        return total / (part[:, 1:] >= 0).sum()
+
+    trainer = lm.Trainer(model.weights, classes.class_of)
+    trainer.step(np.repeat(part, 3, 0))  # a larger batch first, so that the next one is a part of the room it made
+    fresh = lm.Trainer(model.weights, classes.class_of)
+    trainer.weights, trainer.seen = fresh.weights, fresh.seen
+    trainer.step(part)
+    for name, rate in (("ids", lm.RATE), ("out", 0.5 * lm.RATE), ("bias", 0.5 * lm.RATE), ("distance", 0.5 * lm.RATE)):
+        moved = (trainer.weights[name] - model.weights[name]) / -rate
+        for _ in range(6):
+            where = (part[rng.integers(0, 2), rng.integers(0, 8)], rng.integers(0, lm.WIDTH)) if name == "ids" else tuple(rng.integers(0, n) for n in start[name].shape)
+            sides = []
+            for change in (1e-5, -1e-5):
+                w = {k: v.copy() for k, v in start.items()}
+                w[name][where] += change
+                sides.append(loss(w))
+            g = (sides[0] - sides[1]) / 2e-5
+            assert moved[where] == pytest.approx(g / math.sqrt(1e-4 + g * g), rel=2e-2, abs=2e-4)
