@@ -225,10 +225,14 @@ def unflatten(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.nda
     return made
 
 
-def causal(distance: np.ndarray, queries: int, keys: int) -> np.ndarray:
+def places_back(queries: int, keys: int) -> np.ndarray:
+    """How far back a key is from a query; -1 for what comes later."""
+    return np.maximum((np.arange(queries)[:, None] + keys - queries) - np.arange(keys), -1)
+
+
+def causal(distance: np.ndarray, back: np.ndarray) -> np.ndarray:
     """What is added to attention scores: the weight of the distance back, or a mask for what comes later."""
-    back = (np.arange(queries)[:, None] + keys - queries) - np.arange(keys)
-    return np.append(distance, MASKED).astype(np.float32).take(np.where(back >= 0, back, len(distance)))
+    return np.append(distance, MASKED).astype(np.float32)[back]
 
 
 _Q, _K, _V, _L = slice(0, HEAD_WIDTH), slice(HEAD_WIDTH, 2 * HEAD_WIDTH), slice(2 * HEAD_WIDTH, 3 * HEAD_WIDTH), slice(3 * HEAD_WIDTH, WIDTH)
@@ -245,8 +249,8 @@ class Trainer:
         self.weights, self.class_of = {k: v.copy() for k, v in weights.items()}, class_of
         self.seen = {k: np.full(v.shape, 1e-4, np.float32) for k, v in weights.items()}
         self.steps = 0
-        back = np.arange(LENGTH)[:, None] - np.arange(LENGTH)
-        self.below, self.back = np.flatnonzero(back >= 0), back[back >= 0]
+        self.back = places_back(LENGTH, LENGTH)
+        self.below = np.flatnonzero(self.back >= 0)
         self.room: dict[str, np.ndarray] = {}
 
     def _room(self, windows: int) -> Iterator[np.ndarray]:
@@ -263,7 +267,7 @@ class Trainer:
         rows, goal = np.maximum(part[:, :-1], 0), self.class_of.take(np.maximum(part[:, 1:], 0).ravel())
         e = w["ids"].take(rows, axis=0)
         q, k, v, h = e[..., _Q], e[..., _K], e[..., _V], f[..., :HEAD_WIDTH]
-        keys, added, out = k.transpose(0, 2, 1), causal(w["distance"], LENGTH, LENGTH), np.vstack([w["out"], w["bias"]])
+        keys, added, out = k.transpose(0, 2, 1), causal(w["distance"], self.back), np.vstack([w["out"], w["bias"]])
         a_total = _exp_rows(lambda: np.add(np.matmul(q, keys, out=a), added, out=a), a.reshape(n, LENGTH)).reshape(-1, LENGTH, 1)
         np.divide(np.matmul(a, v), a_total, out=h)
         f[..., HEAD_WIDTH:-1] = e[..., _L]
@@ -274,16 +278,15 @@ class Trainer:
         g = _outer(f * weight, p)
         grad = {"out": g[:-1], "bias": g[-1]}
         df = np.matmul(flat, w["out"].T).reshape(-1, LENGTH, HEAD_WIDTH + LAST_WIDTH)
-        df *= weight
-        de[..., _L] = df[..., HEAD_WIDTH:]
-        dh = df[..., :HEAD_WIDTH] / a_total
+        np.multiply(df[..., HEAD_WIDTH:], weight, out=de[..., _L])
+        dh = df[..., :HEAD_WIDTH] * (weight / a_total)
         np.matmul(dh, v.transpose(0, 2, 1), out=ds)
         ds -= np.einsum("bqd,bqd->bq", dh, h)[..., None]
         ds *= a
         np.matmul(ds, k, out=de[..., _Q])
         np.matmul(ds.transpose(0, 2, 1), q, out=de[..., _K])
         np.matmul(a.transpose(0, 2, 1), dh, out=de[..., _V])
-        grad["distance"] = np.bincount(self.back, ds.sum(0).take(self.below), LENGTH).astype(np.float32)
+        grad["distance"] = np.bincount(self.back.take(self.below), ds.sum(0).take(self.below), LENGTH).astype(np.float32)
         for name, g in grad.items():
             seen[name] += g * g
             w[name] -= 0.5 * RATE * g / np.sqrt(seen[name])
@@ -336,7 +339,7 @@ class Model:
     def __init__(self, weights: dict[str, np.ndarray], class_of: np.ndarray, starts_word: np.ndarray, within: np.ndarray):
         self.weights, self.class_of, self.within = weights, class_of, within
         self.before = np.where(starts_word, CLASSES, -1)
-        self.added = causal(weights["distance"], STRIDE, LENGTH)
+        self.added = causal(weights["distance"], places_back(STRIDE, LENGTH))
 
     def log10(self, inputs: np.ndarray, goals: np.ndarray, sizes: np.ndarray, batch: int = 96) -> np.ndarray:
         """log10 probability of each goal given the inputs up to its place; texts of these sizes follow each other.
@@ -654,6 +657,7 @@ def score_texts(documents: DataFrame, ranks_path: str, pattern: str, folds: int
 
     same = ("row", "doc_id", "held_out", "n_tokens", "known", "base")
     scored = coded.select(*same, "ids").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_ids long")
+    scored = materialize(scored, "scored")
     rare = coded.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.times")
     met = (rare.join(words, "word", "left").groupBy("row")
            .agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
